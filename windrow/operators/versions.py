@@ -1,0 +1,462 @@
+"""Tables that keep every version, as plain parquet and DataFrame operations.
+
+Under the table's folder lie
+
+``adds/_version=N``     rows that commit N added; an updated row names the row it replaces
+``removes/_version=N``  identities of rows that commit N deleted
+``history/commit=N``    one JSON record, written last: without it commit N does not exist
+
+A row is identified by the commit that added it and a number inside that commit, since
+equal rows are legal. A commit costs what it changes, not what the table holds. A read
+takes the folders of the version asked for and drops the replaced and deleted rows by a
+left anti join against identities, in the touched folders only. How many identities
+there are is recorded, so the join is a broadcast whose size is known; a commit that
+takes them over ``PENDING_LIMIT`` is followed by a compaction, so reads stay free of
+shuffles.
+
+One writer at a time is assumed.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, replace
+from datetime import datetime, timedelta
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from windrow.operators.changes import check_merge_source, fit_to, is_true, merged_schema, same_columns, updated_columns
+from windrow.session import scratch_dir
+
+# Identities (16 bytes each) that a read may broadcast.
+PENDING_LIMIT = 1_000_000
+
+HISTORY = T.StructType(
+    [
+        T.StructField("version", T.LongType()),
+        T.StructField("committed_at", T.TimestampType()),
+        T.StructField("operation", T.StringType()),
+        T.StructField("parameters", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("rows_added", T.LongType()),
+        T.StructField("rows_removed", T.LongType()),
+        T.StructField("live_rows", T.LongType()),
+        T.StructField("payload_schema", T.StringType()),
+        T.StructField("touched", T.ArrayType(T.LongType())),
+        T.StructField("kept", T.ArrayType(T.LongType())),
+        T.StructField("restores", T.LongType()),
+    ]
+)
+
+IDENTITY = "_version long, _row long"
+INSERTING = ("create", "append")
+
+
+class VersionError(ValueError):
+    """No such table, version or point in time."""
+
+
+class PlainTable(ValueError):
+    """A change was asked of files that keep no versions."""
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """Which folders make up one version."""
+
+    version: int
+    schema: T.StructType
+    parts: tuple[int, ...] = ()
+    deleted_in: tuple[int, ...] = ()
+    updated_in: tuple[int, ...] = ()
+    touched: frozenset[int] = field(default_factory=frozenset)
+    pending: int = 0
+    rows: int = 0
+
+
+class VersionedTable:
+    """A table at ``root``. Make one with ``create``, open one by the constructor."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        try:
+            rows = spark.read.schema(HISTORY).json(f"{self.root}/history").select(*HISTORY.names).collect()
+        except AnalysisException as error:
+            raise PlainTable(f"{root} keeps no versions; convert it with VersionedTable.create") from error
+        self._records = sorted((r.asDict() for r in rows), key=lambda r: r["version"])
+
+    @classmethod
+    def create(cls, spark: SparkSession, root: str, df: DataFrame) -> VersionedTable:
+        """Convert a DataFrame: version 0 holds its rows."""
+        table = cls.__new__(cls)
+        table.spark, table.root, table._records = spark, root.rstrip("/"), []
+        table._commit("create", df.schema, adds=df)
+        return table
+
+    # -- reading -------------------------------------------------------------------
+
+    @property
+    def version(self) -> int:
+        return self._records[-1]["version"]
+
+    def schema(self, version: int | None = None) -> T.StructType:
+        return self._snapshot(version).schema
+
+    def read(self, version: int | None = None, timestamp: datetime | None = None) -> DataFrame:
+        """The rows at a version, at a point in time, or now, with that version's columns."""
+        if timestamp is not None:
+            version = self.version_at(timestamp)
+        snapshot = self._snapshot(version)
+        return self._state(snapshot).select(*[f"`{n}`" for n in snapshot.schema.names])
+
+    def version_at(self, timestamp: datetime) -> int:
+        """The last version committed at or before a point in time."""
+        if timestamp.tzinfo is not None:
+            timestamp = timestamp.astimezone().replace(tzinfo=None)  # as Spark hands them out
+        known = [r["version"] for r in self._records if r["committed_at"] <= timestamp]
+        if not known:
+            raise VersionError(f"the table has no version as early as {timestamp}")
+        return known[-1]
+
+    def history(self) -> DataFrame:
+        """One row per commit, newest first."""
+        records = self.spark.read.schema(HISTORY).json(f"{self.root}/history")
+        return records.select(*HISTORY.names).orderBy(F.desc("version"))
+
+    def commit_record(self, version: int) -> DataFrame:
+        """The record of one commit."""
+        self._snapshot(version)
+        return self.spark.read.schema(HISTORY).json(self._record_path(version))
+
+    def changes(self, after: int, upto: int | None = None) -> DataFrame:
+        """What the commits after one version up to another did, row by row.
+
+        Adds ``_change`` (insert, delete, update_before, update_after) and ``_commit``.
+        """
+        last = self._snapshot(upto)
+        records = [r for r in self._records if after < r["version"] <= last.version]
+        by_kind: dict[str, list[int]] = {}
+        for record in records:
+            by_kind.setdefault(record["operation"], []).append(record["version"])
+
+        def versions(*kinds: str) -> list[int]:
+            return sorted(v for kind in kinds for v in by_kind.get(kind, []))
+
+        columns = [f"`{n}`" for n in last.schema.names]
+        parts = [self._adds([], last.schema).select(*columns, F.lit("").alias("_change"), F.lit(0).cast("long").alias("_commit"))]
+        added = versions("create", "append", "update", "merge", "overwrite")
+        if added:
+            kind = F.when(F.col("_replaces_row").isNull(), "insert").otherwise("update_after")
+            parts.append(
+                self._adds(added, last.schema).select(*columns, kind.alias("_change"), F.col("_version").alias("_commit"))
+            )
+        gone = self._gone(versions("delete"), versions("update", "merge"))
+        if gone is not None:
+            touched = sorted({p for r in records if r["operation"] in ("delete", "update", "merge") for p in r["touched"]})
+            if sum(r["rows_removed"] for r in records) <= PENDING_LIMIT:
+                gone = F.broadcast(gone)
+            parts.append(
+                self._adds(touched, last.schema)
+                .join(gone, ["_version", "_row"])
+                .select(*columns, F.col("_kind").alias("_change"), F.col("_gone_in").alias("_commit"))
+            )
+        for record in records:
+            if record["operation"] in ("overwrite", "restore"):
+                parts.extend(self._swap_changes(record, last.schema, columns))
+        result = parts[0]
+        for part in parts[1:]:
+            result = result.unionByName(part)
+        return result
+
+    def stream(self, ignore_changes: bool = False, files_per_batch: int | None = None) -> DataFrame:
+        """The rows as a stream that follows new commits.
+
+        A file stream sees added rows only, so a table with other changes is refused
+        unless they are to be ignored. ``files_per_batch`` bounds each micro-batch.
+        """
+        other = sorted({r["operation"] for r in self._records} - set(INSERTING))
+        if other and not ignore_changes:
+            raise PlainTable(f"only inserts can be streamed; the table also has {other}")
+        schema = self._snapshot(None).schema
+        reader = self.spark.readStream.schema(T.StructType(schema.fields + [T.StructField("_version", T.LongType())]))
+        if files_per_batch:
+            reader = reader.option("maxFilesPerTrigger", files_per_batch)
+        return reader.parquet(f"{self.root}/adds").select(*[f"`{n}`" for n in schema.names])
+
+    # -- changing ------------------------------------------------------------------
+
+    def append(self, df: DataFrame, merge_schema: bool = False) -> int:
+        """Add rows. Another set of columns is an error unless ``merge_schema`` is set."""
+        schema = self.schema()
+        if merge_schema:
+            schema = merged_schema(schema, df.schema)
+        else:
+            same_columns(schema, df.schema)
+        given = {c.lower() for c in df.columns}
+        rows = df.select(*[F.col(f"`{n}`").alias(n) for n in schema.names if n.lower() in given])
+        return self._commit("append", schema, adds=rows, parameters={"merge_schema": str(merge_schema).lower()})
+
+    def insert(self, rows: Sequence[Sequence[object]]) -> int:
+        """Add a few literal rows, positions as in the table."""
+        return self.append(self.spark.createDataFrame(list(rows), self.schema()).coalesce(1))
+
+    def overwrite(self, df: DataFrame) -> int:
+        """Replace all rows; old versions stay readable."""
+        return self._commit("overwrite", df.schema, adds=df)
+
+    def delete_where(self, test: Column | str) -> int:
+        """Remove the rows where the test is true."""
+        snapshot = self._snapshot(None)
+        hit = self._state(snapshot).filter(is_true(test))
+        return self._commit("delete", snapshot.schema, removes=hit, parameters={"test": str(test)})
+
+    def update_where(self, test: Column | str, values: Mapping[str, Column | object]) -> int:
+        """Set columns where the test is true."""
+        snapshot = self._snapshot(None)
+        hit = self._state(snapshot).filter(is_true(test))
+        changed = hit.select(*updated_columns(snapshot.schema, test, values), *self._pointer())
+        parameters = {"test": str(test), "columns": ",".join(values)}
+        return self._commit("update", snapshot.schema, adds=changed, parameters=parameters)
+
+    def merge(self, source: DataFrame, keys: Sequence[str]) -> int:
+        """Update the rows whose key the source has, insert the source's other rows.
+
+        The source is written down first: it is read several times, must not change in
+        between, and its file size lets Spark choose the join. Of the table only the key
+        columns are read.
+        """
+        keys = list(keys)
+        snapshot = self._snapshot(None)
+        staged = scratch_dir(self.spark, "merge-source")
+        schema = snapshot.schema
+        fit_to(source, schema).write.parquet(staged)
+        source = self.spark.read.schema(schema).parquet(staged)
+        target = self._state(snapshot).select(*keys, "_version", "_row")
+        check_merge_source(target, source, keys)
+        updated = target.join(source, keys).select(*[f"`{n}`" for n in schema.names], *self._pointer())
+
+        def inserted(written: DataFrame) -> DataFrame:
+            return source.join(written.select(*keys).distinct(), keys, "left_anti")
+
+        return self._commit("merge", schema, adds=updated, then=inserted, parameters={"keys": ",".join(keys)})
+
+    def rollback(self, version: int) -> int:
+        """Make an old version the current one again, as a new commit without data."""
+        old = self._snapshot(version)
+        return self._commit("restore", old.schema, restores=version, parameters={"version": str(version)})
+
+    def compact(self, full: bool = False) -> int:
+        """Write the live rows of touched folders (or of all) anew; content stays the same."""
+        snapshot = self._snapshot(None)
+        kept = [] if full else [p for p in snapshot.parts if p not in snapshot.touched]
+        rewritten = replace(snapshot, parts=tuple(p for p in snapshot.parts if p not in kept))
+        rows = self._state(rewritten).select(*[f"`{n}`" for n in snapshot.schema.names])
+        return self._commit("compact", snapshot.schema, adds=rows, kept=kept)
+
+    # -- versions --------------------------------------------------------------------
+
+    def _snapshot(self, version: int | None) -> Snapshot:
+        version = self.version if version is None else version
+        if not any(r["version"] == version for r in self._records):
+            raise VersionError(f"version {version} does not exist; the last one is {self.version}")
+        snapshot = None
+        for record in self._records[: version + 1]:
+            snapshot = self._after(snapshot, record)
+        return snapshot
+
+    def _after(self, before: Snapshot | None, record: Mapping) -> Snapshot:
+        """The snapshot that one commit record makes of the one before."""
+        version, kind = record["version"], record["operation"]
+        schema = T.StructType.fromJson(json.loads(record["payload_schema"]))
+        new = (version,) if record["rows_added"] else ()
+        if kind == "restore":
+            return replace(self._snapshot(record["restores"]), version=version)
+        if kind in ("create", "overwrite"):
+            return Snapshot(version, schema, new, rows=record["live_rows"])
+        if kind == "compact":
+            return Snapshot(version, schema, tuple(record["kept"]) + new, rows=record["live_rows"])
+        removed = (version,) if record["rows_removed"] else ()
+        return replace(
+            before,
+            version=version,
+            schema=schema,
+            parts=before.parts + new,
+            deleted_in=before.deleted_in + (removed if kind == "delete" else ()),
+            updated_in=before.updated_in + (removed if kind in ("update", "merge") else ()),
+            touched=before.touched | set(record["touched"]),
+            pending=before.pending + record["rows_removed"],
+            rows=record["live_rows"],
+        )
+
+    def _state(self, snapshot: Snapshot) -> DataFrame:
+        """Live rows with their identities."""
+        clean = [p for p in snapshot.parts if p not in snapshot.touched]
+        touched = [p for p in snapshot.parts if p in snapshot.touched]
+        if not touched:
+            return self._adds(clean, snapshot.schema)
+        gone = self._gone(snapshot.deleted_in, snapshot.updated_in).select("_version", "_row")
+        if snapshot.pending <= PENDING_LIMIT:
+            gone = F.broadcast(gone)
+        live = self._adds(touched, snapshot.schema).join(gone, ["_version", "_row"], "left_anti")
+        return self._adds(clean, snapshot.schema).unionByName(live) if clean else live
+
+    def _adds(self, versions: Sequence[int], schema: T.StructType) -> DataFrame:
+        """Rows that the given commits added; columns they lack are null."""
+        full = T.StructType(list(schema.fields))
+        for name in ("_row", "_replaces_version", "_replaces_row", "_version"):
+            full = full.add(name, T.LongType())
+        return self._folders("adds", versions, full)
+
+    def _gone(self, deleted_in: Sequence[int], updated_in: Sequence[int]) -> DataFrame | None:
+        """Identities that the given commits deleted or replaced, with the commit."""
+        parts = []
+        if deleted_in:
+            gone = self._folders("removes", deleted_in, "_gone_version long, _gone_row long, _version long")
+            parts.append(
+                gone.select(
+                    F.col("_gone_version").alias("_version"),
+                    F.col("_gone_row").alias("_row"),
+                    F.col("_version").alias("_gone_in"),
+                    F.lit("delete").alias("_kind"),
+                )
+            )
+        if updated_in:
+            replaced = self._folders("adds", updated_in, "_replaces_version long, _replaces_row long, _version long")
+            parts.append(
+                replaced.filter(F.col("_replaces_row").isNotNull()).select(
+                    F.col("_replaces_version").alias("_version"),
+                    F.col("_replaces_row").alias("_row"),
+                    F.col("_version").alias("_gone_in"),
+                    F.lit("update_before").alias("_kind"),
+                )
+            )
+        if not parts:
+            return None
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+    def _swap_changes(self, record: Mapping, schema: T.StructType, columns: list[str]) -> list[DataFrame]:
+        """Rows that an overwrite or a rollback took away, and those a rollback brought back."""
+        before = self._snapshot(record["version"] - 1)
+        wide = replace(before, schema=schema)
+        old = self._state(wide).select(*columns, "_version", "_row")
+        commit = F.lit(record["version"]).cast("long").alias("_commit")
+        if record["operation"] == "overwrite":
+            return [old.select(*columns, F.lit("delete").alias("_change"), commit)]
+        now = self._state(replace(self._snapshot(record["version"]), schema=schema)).select(*columns, "_version", "_row")
+        identity = ["_version", "_row"]
+        lost = old.join(now.select(*identity), identity, "left_anti")
+        back = now.join(old.select(*identity), identity, "left_anti")
+        return [
+            lost.select(*columns, F.lit("delete").alias("_change"), commit),
+            back.select(*columns, F.lit("insert").alias("_change"), commit),
+        ]
+
+    def _folders(self, kind: str, versions: Sequence[int], schema: T.StructType | str) -> DataFrame:
+        if not versions:
+            return self.spark.createDataFrame([], schema)
+        base = f"{self.root}/{kind}"
+        paths = [f"{base}/_version={v}" for v in versions]
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
+
+    # -- commits ---------------------------------------------------------------------
+
+    @staticmethod
+    def _pointer() -> list[Column]:
+        return [F.col("_version").alias("_replaces_version"), F.col("_row").alias("_replaces_row")]
+
+    def _record_path(self, version: int) -> str:
+        return f"{self.root}/history/commit={version:020d}"
+
+    def _write_adds(self, df: DataFrame, version: int, row: Column, mode: str) -> None:
+        for name in ("_replaces_version", "_replaces_row"):
+            if name not in df.columns:
+                df = df.withColumn(name, F.lit(None).cast("long"))
+        df.withColumn("_row", row).write.mode(mode).parquet(f"{self.root}/adds/_version={version}")
+
+    def _commit(
+        self,
+        operation: str,
+        schema: T.StructType,
+        adds: DataFrame | None = None,
+        removes: DataFrame | None = None,
+        then=None,
+        kept: Sequence[int] = (),
+        restores: int | None = None,
+        parameters: Mapping[str, str] | None = None,
+    ) -> int:
+        """Write the data of a commit, then the record that makes it count.
+
+        Leftovers of a commit that never got its record are overwritten.
+        """
+        hidden = [n for n in schema.names if n.startswith("_")]
+        if hidden:
+            raise ValueError(f"column names with a leading underscore are reserved: {hidden}")
+        version = self.version + 1 if self._records else 0
+        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+        rows_added, removed = 0, []
+        if adds is not None:
+            number = F.monotonically_increasing_id()
+            self._write_adds(adds, version, number, "overwrite")
+            written = self._adds([version], schema)
+            if then is not None:
+                # rows of the second write count downwards, so numbers never meet
+                self._write_adds(then(written), version, -1 - number, "append")
+                written = self._adds([version], schema)
+            counts = written.groupBy("_replaces_version").agg(F.count(F.lit(1)).alias("n")).collect()
+            rows_added = sum(r["n"] for r in counts)
+            removed = [(r["_replaces_version"], r["n"]) for r in counts if r["_replaces_version"] is not None]
+        if removes is not None:
+            path = f"{self.root}/removes/_version={version}"
+            removes.select(
+                F.col("_version").alias("_gone_version"), F.col("_row").alias("_gone_row")
+            ).write.mode("overwrite").parquet(path)
+            gone = self._folders("removes", [version], "_gone_version long, _version long")
+            counts = gone.groupBy("_gone_version").agg(F.count(F.lit(1)).alias("n")).collect()
+            removed = [(r["_gone_version"], r["n"]) for r in counts]
+        rows_removed = sum(n for _, n in removed)
+        before = self._snapshot(None).rows if self._records else 0
+        if restores is not None:
+            live = self._snapshot(restores).rows
+        elif operation == "overwrite":
+            rows_removed, live = before, rows_added
+        elif operation == "compact":
+            live = before
+        else:
+            live = before + rows_added - rows_removed
+        now = datetime.now()
+        now = now.replace(microsecond=now.microsecond // 1000 * 1000)  # JSON keeps milliseconds
+        if self._records:
+            now = max(now, self._records[-1]["committed_at"] + timedelta(milliseconds=1))
+        record = {
+            "version": version,
+            "committed_at": now,
+            "operation": operation,
+            "parameters": dict(parameters or {}),
+            "rows_added": rows_added,
+            "rows_removed": rows_removed,
+            "live_rows": live,
+            "payload_schema": schema.json(),
+            "touched": sorted(v for v, _ in removed),
+            "kept": list(kept),
+            "restores": restores,
+        }
+        row = [tuple(record[n] for n in HISTORY.names)]
+        self.spark.createDataFrame(row, HISTORY).coalesce(1).write.json(self._record_path(version))
+        self._records.append(record)
+        if self._snapshot(None).pending > PENDING_LIMIT:
+            self.compact()
+        return version
+
+
+def change_target(spark: SparkSession, path: str) -> VersionedTable:
+    """Open the table for a change; files that keep no versions are refused clearly."""
+    return VersionedTable(spark, path)
+
+
+def convert(df: DataFrame, root: str) -> VersionedTable:
+    """Bring a DataFrame into versioned form."""
+    return VersionedTable.create(df.sparkSession, root, df)
