@@ -1,0 +1,208 @@
+import json
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from windrow.operators import versions
+from windrow.operators.changes import AmbiguousMerge, SchemaMismatch
+from windrow.operators.versions import PlainTable, VersionedTable, VersionError, convert
+from windrow.plans.versions import change_loans
+from windrow.sources.readers import local_frame
+
+KV = "k string, v bigint"
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def totals(df):
+    got = df.agg(F.count("*"), F.count_distinct("addr_state"), F.sum("count")).first()
+    keys = {r[0]: r[1] for r in df.groupBy("addr_state").agg(F.sum("count")).collect()}
+    return (*got, *[keys.get(k) for k in ("7", "11", "3", "99")])
+
+
+# Fixed values at sf0.01: rows, keys, total, and the sums of keys 7, 11, 3 and 99.
+GOLDEN = {
+    0: (25, 25, 1500, 73, 73, 67, None),
+    6: (31, 25, 4200, 2773, 73, 67, None),
+    7: (24, 24, 1427, None, 73, 67, None),
+    8: (24, 24, 4054, None, 2700, 67, None),
+    9: (26, 26, 6487, 0, 2700, 2500, 0),
+    10: (52, 26, 9008, 0, 4127, 2891, 0),
+}
+
+
+@pytest.fixture(scope="module")
+def walked(spark, medium):
+    return change_loans(spark, medium)
+
+
+def test_golden_chain(walked):
+    assert {v: totals(walked.read(v)) for v in GOLDEN} == GOLDEN
+    top = walked.read().groupBy("addr_state").agg(F.sum("amount").alias("a")).orderBy(F.desc_nulls_last("a")).limit(3)
+    assert [(r[0], round(r[1], 2)) for r in top.collect()] == [("11", 14270400.03), ("3", 3914361.98), ("2", 724202.58)]
+
+
+def test_old_versions_keep_their_columns(walked):
+    assert walked.read(9).columns == ["addr_state", "count"]
+    assert walked.read(10).columns == ["addr_state", "count", "amount"]
+
+
+def test_history_and_records(spark, walked):
+    history = walked.history().collect()
+    assert [r["version"] for r in history] == list(range(10, -1, -1))
+    assert [r["operation"] for r in history][::-1] == ["create"] + ["append"] * 6 + ["delete", "update", "merge", "append"]
+    record = walked.commit_record(10).first()
+    assert record["live_rows"] == 52 and record["parameters"] == {"merge_schema": "true"}
+    assert [f["name"] for f in json.loads(record["payload_schema"])["fields"]] == ["addr_state", "count", "amount"]
+    reopened = VersionedTable(spark, walked.root)
+    assert reopened._records == walked._records
+
+
+def test_versions_out_of_range(spark, walked):
+    with pytest.raises(VersionError):
+        walked.read(11)
+    with pytest.raises(VersionError):
+        walked.read(timestamp=datetime(2000, 1, 1))
+    with pytest.raises(PlainTable):
+        VersionedTable(spark, "/tmp/no-such-table")
+
+
+def test_reading_by_time(walked):
+    times = {r["version"]: r["committed_at"] for r in walked.history().collect()}
+    assert walked.version_at(times[7]) == 7
+    assert walked.version_at(times[7] - timedelta(microseconds=1)) == 6
+    assert walked.version_at(datetime.now() + timedelta(days=1)) == 10
+
+
+def test_plain_files_refuse_changes(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "plain"))
+    for change in ("delete_where", "update_where"):
+        with pytest.raises(PlainTable):
+            getattr(versions.change_target(spark, str(tmp_path / "plain")), change)("id = 1", {})
+
+
+def test_failed_changes_make_no_version(spark, tmp_path):
+    table = convert(local_frame(spark, [("a", 1), ("b", 2)], KV), str(tmp_path / "t"))
+    with pytest.raises(SchemaMismatch):
+        table.append(local_frame(spark, [("c", 1, 2.0)], "k string, v bigint, amount double"))
+    with pytest.raises(AmbiguousMerge):
+        table.merge(local_frame(spark, [("a", 5), ("a", 6)], KV), ["k"])
+    assert VersionedTable(spark, table.root).version == 0
+    assert rows(table.read()) == [("a", 1), ("b", 2)]
+
+
+def test_leftovers_of_a_commit_without_record_do_not_count(spark, tmp_path):
+    root = str(tmp_path / "t")
+    table = convert(local_frame(spark, [("a", 1), ("b", 2)], KV), root)
+    crashed = local_frame(spark, [("x", 9)], KV).select(
+        "*", F.lit(0).cast("long").alias("_row"),
+        F.lit(0).cast("long").alias("_replaces_version"), F.lit(0).cast("long").alias("_replaces_row"),
+    )
+    crashed.write.parquet(f"{root}/adds/_version=1")
+    gone = local_frame(spark, [(0, 0)], "_gone_version bigint, _gone_row bigint")
+    gone.write.parquet(f"{root}/removes/_version=1")
+    assert rows(VersionedTable(spark, root).read()) == [("a", 1), ("b", 2)]
+    table.insert([("c", 3)])
+    assert rows(VersionedTable(spark, root).read()) == [("a", 1), ("b", 2), ("c", 3)]
+
+
+def random_walk(table, spark, pick, steps):
+    """Random changes; returns the expected rows of every version."""
+    states = [[tuple(r) for r in table.read().collect()]]
+    for _ in range(steps):
+        now = list(states[-1])
+        kind = pick.choice(["insert", "append", "delete", "update", "merge", "overwrite", "rollback", "compact"])
+        if kind in ("insert", "append"):
+            new = [(pick.choice("abcdef"), pick.randrange(9)) for _ in range(pick.randrange(1, 5))]
+            table.insert(new) if kind == "insert" else table.append(local_frame(spark, new, KV))
+            now += new
+        elif kind == "delete":
+            cut = pick.randrange(9)
+            table.delete_where(F.col("v") > cut)
+            now = [r for r in now if not (r[1] is not None and r[1] > cut)]
+        elif kind == "update":
+            key = pick.choice("abcdef")
+            table.update_where(F.col("k") == key, {"v": F.col("v") + 1})
+            now = [(k, v + 1 if v is not None else None) if k == key else (k, v) for k, v in now]
+        elif kind == "merge":
+            source = [(k, pick.choice([None, 3, 7])) for k in pick.sample("abcdefgh", 3)]
+            table.merge(local_frame(spark, source, KV), ["k"])
+            change, have = dict(source), {k for k, _ in now}
+            now = [(k, change.get(k, v) if k in change else v) for k, v in now]
+            now += [(k, v) for k, v in source if k not in have]
+        elif kind == "overwrite":
+            now = [(pick.choice("abc"), pick.randrange(5)) for _ in range(4)]
+            table.overwrite(local_frame(spark, now, KV))
+        elif kind == "rollback":
+            back = pick.randrange(len(states))
+            table.rollback(back)
+            now = list(states[back])
+        else:
+            table.compact(full=pick.random() < 0.5)
+        states.append(now)
+    return states
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_any_walk_equals_its_replay(spark, tmp_path, seed):
+    pick = random.Random(seed)
+    start = [(pick.choice("abcdef"), pick.randrange(9)) for _ in range(12)]
+    table = convert(local_frame(spark, start, KV), str(tmp_path / "t"))
+    states = random_walk(table, spark, pick, 9)
+    reopened = VersionedTable(spark, table.root)
+    assert reopened.version == len(states) - 1
+    for version, want in enumerate(states):
+        assert rows(reopened.read(version)) == sorted(want, key=repr), version
+    live = [r["live_rows"] for r in reopened._records]
+    assert live == [len(s) for s in states]
+    # the changes from any version to a later one lead from its rows to the later rows
+    for after, upto in ((0, len(states) - 1), (2, 6), (4, 5)):
+        bag = {}
+        for r in states[after]:
+            bag[r] = bag.get(r, 0) + 1
+        for r in reopened.changes(after, upto).collect():
+            sign = 1 if r["_change"] in ("insert", "update_after") else -1
+            bag[(r["k"], r["v"])] = bag.get((r["k"], r["v"]), 0) + sign
+        left = sorted((r for r, n in bag.items() for _ in range(n)), key=repr)
+        assert min(bag.values()) >= 0
+        assert left == sorted(states[upto], key=repr), (after, upto)
+
+
+def test_rollback_writes_no_data(spark, tmp_path):
+    table = convert(local_frame(spark, [("a", 1), ("b", 2)], KV), str(tmp_path / "t"))
+    table.delete_where("k = 'a'")
+    table.rollback(0)
+    assert rows(table.read()) == [("a", 1), ("b", 2)]
+    assert not (tmp_path / "t" / "adds" / "_version=2").exists()
+
+
+def test_many_removed_rows_lead_to_compaction(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(versions, "PENDING_LIMIT", 10)
+    table = convert(spark.range(100).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v")), str(tmp_path / "t"))
+    table.append(local_frame(spark, [("x", -1)], KV))
+    table.delete_where("v >= 0 and v < 5")
+    assert table.version == 2
+    table.delete_where("v >= 5 and v < 50")
+    assert [r["operation"] for r in table._records][-2:] == ["delete", "compact"]
+    assert table._snapshot(None).pending == 0 and table._snapshot(None).parts == (1, 4)
+    assert sorted(r["v"] for r in table.read().collect()) == [-1, *range(50, 100)]
+    assert table.read(2).count() == 96 and table.read(3).count() == 51
+
+
+def test_reserved_names_are_refused(spark, tmp_path):
+    with pytest.raises(ValueError):
+        convert(spark.range(1).withColumnRenamed("id", "_row"), str(tmp_path / "t"))
+
+
+def test_a_table_emptied_and_filled_again(spark, tmp_path):
+    table = convert(local_frame(spark, [], KV), str(tmp_path / "t"))
+    assert table.read().count() == 0
+    table.insert([("a", 1)])
+    table.delete_where(F.lit(True))
+    assert table.read().count() == 0
+    table.merge(local_frame(spark, [("a", 2)], KV), ["k"])
+    assert rows(table.read()) == [("a", 2)]

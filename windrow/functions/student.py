@@ -10,13 +10,24 @@ import math
 
 import numpy as np
 
-MAX_STEPS = 400
+# Degrees of freedom from which on the normal form is used.
+MANY = 1e5
+MAX_STEPS = 3000
 TINY = 1e-300
 
 
-def _log_gamma(values: np.ndarray) -> np.ndarray:
-    distinct, where = np.unique(values, return_inverse=True)
-    return np.array([math.lgamma(v) for v in distinct])[where]
+def _log_beta_half(a: np.ndarray) -> np.ndarray:
+    """log B(a, 1/2), by a series for large a, where log gammas would cancel."""
+    distinct, where = np.unique(a, return_inverse=True)
+    gain = np.array(
+        [
+            math.lgamma(v + 0.5) - math.lgamma(v)
+            if v < 50
+            else 0.5 * math.log(v) - 1 / (8 * v) + 1 / (192 * v**3) - 1 / (640 * v**5)
+            for v in distinct
+        ]
+    )
+    return 0.5 * math.log(math.pi) - gain[where]
 
 
 def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -40,13 +51,13 @@ def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     return value
 
 
-def incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray, rest: np.ndarray) -> np.ndarray:
-    """Regularised incomplete beta I_x(a, b), with ``rest`` = 1 - x given exactly."""
-    with np.errstate(divide="ignore", invalid="ignore"):
-        log_front = (
-            _log_gamma(a + b) - _log_gamma(a) - _log_gamma(b) + a * np.log(x) + b * np.log(rest)
-        )
-    front = np.exp(log_front)
+def _beta_half(a: np.ndarray, x: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """Regularised incomplete beta I_x(a, 1/2), with ``rest`` = 1 - x given exactly."""
+    b = np.full(a.shape, 0.5)
+    with np.errstate(divide="ignore"):
+        log_x = np.where(x < 0.5, np.log(x), np.log1p(-rest))
+        log_rest = np.where(rest < 0.5, np.log(rest), np.log1p(-x))
+        front = np.exp(a * log_x + b * log_rest - _log_beta_half(a))
     low = x < (a + 1.0) / (a + b + 2.0)
     aa, bb, xx = np.where(low, a, b), np.where(low, b, a), np.where(low, x, rest)
     part = front * _beta_fraction(aa, bb, xx) / aa
@@ -54,6 +65,12 @@ def incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray, rest: np.ndarra
     return np.where(x <= 0, 0.0, np.where(rest <= 0, 1.0, result))
 
 
+def _near_normal(t: np.ndarray, df: np.ndarray) -> np.ndarray:
+    """Wallace's normal form of t, to nine digits or more for many degrees of freedom."""
+    z = np.sqrt(df * np.log1p(t * t / df)) * (8 * df + 1) / (8 * df + 3)
+    return np.array([math.erfc(v / math.sqrt(2.0)) for v in z])
+
+
 def two_sided_p(t: np.ndarray, df: np.ndarray) -> np.ndarray:
     """P(|T| >= |t|) for df degrees of freedom; nan where either is nan, 0 for infinite t."""
     t, df = np.asarray(t, dtype=float), np.asarray(df, dtype=float)
@@ -61,9 +78,10 @@ def two_sided_p(t: np.ndarray, df: np.ndarray) -> np.ndarray:
     known = ~np.isnan(t) & ~np.isnan(df) & (df > 0)
     result[known & np.isinf(t)] = 0.0
     use = known & np.isfinite(t)
-    if use.any():
-        tt, nu = t[use], df[use]
-        total = nu + tt * tt
-        half = np.full(nu.shape, 0.5)
-        result[use] = incomplete_beta(nu / 2.0, half, nu / total, tt * tt / total)
+    many, few = use & (df > MANY), use & (df <= MANY)
+    if many.any():
+        result[many] = _near_normal(t[many], df[many])
+    if few.any():
+        square, nu = t[few] ** 2, df[few]
+        result[few] = _beta_half(nu / 2.0, nu / (nu + square), square / (nu + square))
     return result

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from windrow.sources.readers import local_frame
+
 
 class SchemaMismatch(ValueError):
     """New rows do not fit the table's columns."""
@@ -49,7 +51,7 @@ def updated_columns(schema: T.StructType, test: Column | str, values: Mapping[st
 
 def insert_rows(df: DataFrame, rows: Sequence[Sequence[object]]) -> DataFrame:
     """Add literal rows, positions as in the table; equal rows are all kept."""
-    return df.unionByName(df.sparkSession.createDataFrame(list(rows), df.schema))
+    return df.unionByName(local_frame(df.sparkSession, rows, df.schema))
 
 
 def same_columns(target: T.StructType, new: T.StructType) -> None:

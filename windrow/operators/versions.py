@@ -22,15 +22,16 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from windrow.operators.changes import check_merge_source, fit_to, is_true, merged_schema, same_columns, updated_columns
 from windrow.session import scratch_dir
+from windrow.sources.readers import local_frame
 
 # Identities (16 bytes each) that a read may broadcast.
 PENDING_LIMIT = 1_000_000
@@ -87,7 +88,7 @@ class VersionedTable:
             rows = spark.read.schema(HISTORY).json(f"{self.root}/history").select(*HISTORY.names).collect()
         except AnalysisException as error:
             raise PlainTable(f"{root} keeps no versions; convert it with VersionedTable.create") from error
-        self._records = sorted((r.asDict() for r in rows), key=lambda r: r["version"])
+        self._records = sorted((self._loaded(r) for r in rows), key=lambda r: r["version"])
 
     @classmethod
     def create(cls, spark: SparkSession, root: str, df: DataFrame) -> VersionedTable:
@@ -97,6 +98,12 @@ class VersionedTable:
         table._commit("create", df.schema, adds=df)
         return table
 
+    @staticmethod
+    def _loaded(row: Row) -> dict:
+        record = row.asDict()
+        record["committed_at"] = record["committed_at"].astimezone(timezone.utc)
+        return record
+
     # -- reading -------------------------------------------------------------------
 
     @property
@@ -115,8 +122,7 @@ class VersionedTable:
 
     def version_at(self, timestamp: datetime) -> int:
         """The last version committed at or before a point in time."""
-        if timestamp.tzinfo is not None:
-            timestamp = timestamp.astimezone().replace(tzinfo=None)  # as Spark hands them out
+        timestamp = timestamp.astimezone(timezone.utc)  # without a zone: local, as Spark hands them out
         known = [r["version"] for r in self._records if r["committed_at"] <= timestamp]
         if not known:
             raise VersionError(f"the table has no version as early as {timestamp}")
@@ -202,7 +208,8 @@ class VersionedTable:
 
     def insert(self, rows: Sequence[Sequence[object]]) -> int:
         """Add a few literal rows, positions as in the table."""
-        return self.append(self.spark.createDataFrame(list(rows), self.schema()).coalesce(1))
+        schema = self.schema()
+        return self._commit("append", schema, adds=local_frame(self.spark, rows, schema), rows_known=len(rows))
 
     def overwrite(self, df: DataFrame) -> int:
         """Replace all rows; old versions stay readable."""
@@ -377,6 +384,12 @@ class VersionedTable:
                 df = df.withColumn(name, F.lit(None).cast("long"))
         df.withColumn("_row", row).write.mode(mode).parquet(f"{self.root}/adds/_version={version}")
 
+    def _counts(self, kind: str, version: int, column: str) -> dict[int | None, int]:
+        """Rows written, by the commit whose rows they take away: counted in the files, so
+        that tasks run twice do not count twice."""
+        written = self._folders(kind, [version], f"{column} long, _version long")
+        return {r[column]: r["n"] for r in written.groupBy(column).agg(F.count(F.lit(1)).alias("n")).collect()}
+
     def _commit(
         self,
         operation: str,
@@ -386,6 +399,7 @@ class VersionedTable:
         then=None,
         kept: Sequence[int] = (),
         restores: int | None = None,
+        rows_known: int | None = None,
         parameters: Mapping[str, str] | None = None,
     ) -> int:
         """Write the data of a commit, then the record that makes it count.
@@ -397,27 +411,23 @@ class VersionedTable:
             raise ValueError(f"column names with a leading underscore are reserved: {hidden}")
         version = self.version + 1 if self._records else 0
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
-        rows_added, removed = 0, []
+        rows_added, removed = 0, {}
         if adds is not None:
             number = F.monotonically_increasing_id()
             self._write_adds(adds, version, number, "overwrite")
-            written = self._adds([version], schema)
             if then is not None:
                 # rows of the second write count downwards, so numbers never meet
-                self._write_adds(then(written), version, -1 - number, "append")
-                written = self._adds([version], schema)
-            counts = written.groupBy("_replaces_version").agg(F.count(F.lit(1)).alias("n")).collect()
-            rows_added = sum(r["n"] for r in counts)
-            removed = [(r["_replaces_version"], r["n"]) for r in counts if r["_replaces_version"] is not None]
+                self._write_adds(then(self._adds([version], schema)), version, -1 - number, "append")
+            counts = {None: rows_known} if rows_known is not None else self._counts("adds", version, "_replaces_version")
+            rows_added = sum(counts.values())
+            removed = {part: n for part, n in counts.items() if part is not None}
         if removes is not None:
             path = f"{self.root}/removes/_version={version}"
             removes.select(
                 F.col("_version").alias("_gone_version"), F.col("_row").alias("_gone_row")
             ).write.mode("overwrite").parquet(path)
-            gone = self._folders("removes", [version], "_gone_version long, _version long")
-            counts = gone.groupBy("_gone_version").agg(F.count(F.lit(1)).alias("n")).collect()
-            removed = [(r["_gone_version"], r["n"]) for r in counts]
-        rows_removed = sum(n for _, n in removed)
+            removed = self._counts("removes", version, "_gone_version")
+        rows_removed = sum(removed.values())
         before = self._snapshot(None).rows if self._records else 0
         if restores is not None:
             live = self._snapshot(restores).rows
@@ -427,7 +437,7 @@ class VersionedTable:
             live = before
         else:
             live = before + rows_added - rows_removed
-        now = datetime.now()
+        now = datetime.now(timezone.utc)
         now = now.replace(microsecond=now.microsecond // 1000 * 1000)  # JSON keeps milliseconds
         if self._records:
             now = max(now, self._records[-1]["committed_at"] + timedelta(milliseconds=1))
@@ -440,12 +450,12 @@ class VersionedTable:
             "rows_removed": rows_removed,
             "live_rows": live,
             "payload_schema": schema.json(),
-            "touched": sorted(v for v, _ in removed),
+            "touched": sorted(removed),
             "kept": list(kept),
             "restores": restores,
         }
-        row = [tuple(record[n] for n in HISTORY.names)]
-        self.spark.createDataFrame(row, HISTORY).coalesce(1).write.json(self._record_path(version))
+        row = tuple(record[n] for n in HISTORY.names)
+        local_frame(self.spark, [row], HISTORY).write.json(self._record_path(version))
         self._records.append(record)
         if self._snapshot(None).pending > PENDING_LIMIT:
             self.compact()

@@ -7,9 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def register(df: DataFrame, name: str | None) -> DataFrame:
@@ -119,8 +121,16 @@ def sequence_ids(spark: SparkSession, n: int) -> DataFrame:
 def local_frame(
     spark: SparkSession, rows: Iterable[Sequence[object]], schema: T.StructType | str
 ) -> DataFrame:
-    """A small driver-side list of rows as a DataFrame."""
-    return spark.createDataFrame(list(rows), schema)
+    """A small driver-side list of rows as a DataFrame.
+
+    Sent as one Arrow table, so Spark knows its size and can choose joins by it.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) or [() for _ in schema.fields]
+    kinds = to_arrow_schema(schema)
+    table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kinds)], schema=kinds)
+    return spark.createDataFrame(table, schema)
 
 
 def choose_columns(spark: SparkSession, table: str, **choices: str) -> DataFrame:
