@@ -63,7 +63,8 @@ def main() -> None:
     from windrow.session import open_session
 
     spark = open_session(
-        master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="8g"
+        master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="8g",
+        spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
     sf_dir, names = sys.argv[1], sys.argv[2:] or list(QUERIES)

@@ -34,19 +34,15 @@ def jitter_widths(df: DataFrame, group: str, x: str) -> DataFrame:
     the distinct values are cut into ranges, gaps are taken inside each range, and the
     ranges' ends (one row per range) are compared in a second, small step.
     """
-    spread = F.max("_x") - F.min("_x")
+    values = df.select(F.col(group), F.col(x).cast("double").alias("_x")).dropna().distinct()
+    spread = F.nullif(F.max("_x") - F.min("_x"), F.lit(0.0))
     magnitude = (
-        df.select(F.col(group), F.col(x).cast("double").alias("_x"))
-        .dropna()
-        .groupBy(group)
-        .agg(F.coalesce(F.nullif(spread, F.lit(0.0)), F.nullif(F.abs(F.min("_x")), F.lit(0.0)), F.lit(1.0)).alias("_z"))
+        values.groupBy(group)
+        .agg(F.coalesce(spread, F.nullif(F.abs(F.min("_x")), F.lit(0.0)), F.lit(1.0)).alias("_z"))
         .select(group, "_z", F.pow(F.lit(10.0), 3 - F.floor(F.log10("_z"))).alias("_scale"))
     )
     distinct = (
-        df.select(F.col(group), F.col(x).cast("double").alias("_x"))
-        .dropna()
-        .distinct()
-        .join(magnitude, group)
+        values.join(magnitude, group)
         .select(group, "_z", (F.round(F.col("_x") * F.col("_scale")) / F.col("_scale")).alias("_x"))
         .distinct()
     )

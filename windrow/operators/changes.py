@@ -117,19 +117,20 @@ def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataF
     return source.join(hit_keys(target, source, keys), list(keys), "left_anti")
 
 
-def check_merge_source(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:
+def check_merge_source(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> bool:
     """Raise if a target row is matched by several source rows. Runs Spark jobs.
 
-    The target is looked at only where the source repeats a key at all.
+    Returns whether the source's keys are unique; only if not, the target is looked at.
     """
     repeated = (
         source.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(*keys)
     )
     if repeated.isEmpty():
-        return
-    clash = replaced_rows(target.select(*keys), repeated, keys).limit(1).collect()
+        return True
+    clash = target.select(*keys).join(repeated, list(keys), "left_semi").limit(1).collect()
     if clash:
         raise AmbiguousMerge(f"several source rows match key {tuple(clash[0])}")
+    return False
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], check: bool = True) -> DataFrame:
@@ -138,15 +139,16 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], chec
     One left join keeps or replaces every target row. A source that Spark knows to be
     small is broadcast there, so the target is not shuffled; otherwise adaptive
     execution can split a hot key on the target side, which a full outer join forbids.
-    Matches are told by a flag, never by a null in the data.
+    Matches are told by a flag, never by a null in the data. Without ``check`` the caller
+    vouches that the source's keys are unique.
     """
     keys = list(keys)
     source = fit_to(source, target.schema)
-    if check:
-        check_merge_source(target, source, keys)
+    unique = check_merge_source(target, source, keys) if check else True
     hits = hit_keys(target, source, keys)
-    # only rows that match go into the join below: their keys are unique
-    change = source.join(hits, keys, "left_semi").select(
+    # a key repeated in the source is new to the target: such rows stay out of this join
+    matching = source if unique else source.join(hits, keys, "left_semi")
+    change = matching.select(
         *[F.col(f"`{k}`") for k in keys],
         F.struct(*[F.col(f"`{c}`") for c in source.columns]).alias("_new"),
         F.lit(True).alias("_matched"),
