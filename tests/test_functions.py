@@ -25,6 +25,13 @@ def test_hash_split_is_disjoint_complete_and_fixed(spark, medium):
     assert sum(p.count() for p in thirds) == 1500
 
 
+def test_random_samples(spark):
+    df = spark.range(10000)
+    assert 700 < sampling.simple_sample(df, 0.1, 3).count() < 1300
+    parts = sampling.random_split(df, [0.02, 0.98], 206)
+    assert sum(p.count() for p in parts) == 10000 and 100 < parts[0].count() < 320
+
+
 def test_text_to_number(spark):
     df = local_frame(spark, [("1.5",), ("NA",), (None,), (" 7 ",)], "t string")
     assert [r[0] for r in df.select(numbers.to_number(F.col("t"))).collect()] == [1.5, None, None, 7.0]

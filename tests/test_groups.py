@@ -115,3 +115,16 @@ def test_reduced_groups_equal_whole_groups(spark):
     )
     a, b = (dict(map(tuple, d.collect())) for d in (merged, whole))
     assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-12 for k in a)
+
+
+def test_every_type_goes_there_and_back(spark):
+    df = spark.sql(
+        """SELECT id, cast(id as int) i, cast(id as double) d, cast(id as string) s, id % 2 = 0 b,
+        timestamp'2024-03-01 12:00:00' + make_interval(0, 0, 0, cast(id as int)) ts,
+        timestamp_ntz'2024-03-01 12:00:00' ntz, date'2024-02-29' day, cast(id as decimal(18,2)) m,
+        array(id, null) a, named_struct('x', id, 'y', 'z') st, map('k', id) mp, cast('ab' as binary) bin FROM range(5)"""
+    )
+    holes = df.select(*[F.when(F.col("id") != 3, F.col(c)).alias(c) for c in df.columns])
+    for frame in (df, holes):
+        back = groups.apply_partitions(frame, lambda rows: rows, frame.schema)
+        assert sorted(map(str, back.collect())) == sorted(map(str, frame.collect()))

@@ -118,6 +118,25 @@ def test_global_fit_equals_the_group_fit(spark, medium):
         assert tuple(a)[1:] == pytest.approx(tuple(b)[2:], rel=1e-7)
 
 
+def test_fit_on_all_other_columns_equals_the_library(spark, medium):
+    rows = spark.read.parquet(f"{medium}/lineitem.parquet").select("l_extendedprice", "l_quantity", "l_discount", "l_tax")
+    features = ["l_quantity", "l_discount", "l_tax"]
+    library = models.tidy_model(spark, models.fit_line(rows, "l_extendedprice"), features).collect()
+    for a, b in zip(models.ols(rows, "l_extendedprice").collect(), library):
+        assert a["term"] == b["term"] and tuple(a)[1:] == pytest.approx(tuple(b)[1:], rel=1e-6)
+
+
+def test_fit_of_an_exact_plane_and_of_too_few_rows(spark):
+    df = spark.range(20).select((F.col("id") % 5).alias("a"), (F.col("id") * F.col("id") % 7).alias("b"))
+    plane = df.withColumn("y", F.lit(3) + F.col("a") * 2 - F.col("b"))
+    got = {r["term"]: r for r in models.ols(plane, "y").collect()}
+    assert [got[t]["estimate"] for t in ("(Intercept)", "a", "b")] == pytest.approx([3, 2, -1])
+    assert [got[t]["std_error"] for t in ("(Intercept)", "a", "b")] == [0.0, 0.0, 0.0]
+    assert got["a"]["p_value"] == 0.0
+    with pytest.raises(ValueError):
+        models.ols(plane.limit(2), "y")
+
+
 def test_saved_model_predicts_the_same(spark, tmp_path):
     df = spark.range(50).select((F.col("id") * 2.0 + 1).alias("y"), F.col("id").cast("double").alias("x"))
     model = models.fit_line(df, "y")

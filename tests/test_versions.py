@@ -206,3 +206,9 @@ def test_a_table_emptied_and_filled_again(spark, tmp_path):
     assert table.read().count() == 0
     table.merge(local_frame(spark, [("a", 2)], KV), ["k"])
     assert rows(table.read()) == [("a", 2)]
+
+
+def test_detail(walked):
+    detail = walked.detail().first()
+    assert (detail["version"], detail["live_rows"], detail["location"]) == (10, 52, walked.root)
+    assert detail["num_files"] >= 9 and detail["size_bytes"] > 0

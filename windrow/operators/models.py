@@ -14,11 +14,13 @@ from pyspark.sql import types as T
 
 from windrow.functions.student import two_sided_p
 from windrow.operators.groups import reduce_groups
+from windrow.sources.readers import local_frame
 
 # A residual below this share of the total is rounding: the line is exact.
 EXACT_FIT = 1e-12
 
-MOMENTS = ["n", "mx", "my", "sxx", "syy", "sxy"]
+# Pairs of columns that one aggregation can hold in compiled code.
+MOST_FEATURES = 20
 
 
 @F.pandas_udf(T.DoubleType())
@@ -28,17 +30,18 @@ def p_value(statistic: pd.Series, df: pd.Series) -> pd.Series:
 
 def group_moments(df: DataFrame, group: str, y: str, x: str) -> DataFrame:
     """Counts, means and centred sums per group, in one native aggregation."""
+    rows = F.count(F.lit(1))
     return (
         df.select(group, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
         .dropna()
         .groupBy(group)
         .agg(
-            F.count(F.lit(1)).alias("n"),
+            rows.alias("n"),
             F.avg("_x").alias("mx"),
             F.avg("_y").alias("my"),
-            F.regr_sxx("_y", "_x").alias("sxx"),
-            F.regr_syy("_y", "_x").alias("syy"),
-            F.regr_sxy("_y", "_x").alias("sxy"),
+            (F.var_pop("_x") * rows).alias("sxx"),
+            (F.var_pop("_y") * rows).alias("syy"),
+            (F.covar_pop("_x", "_y") * rows).alias("sxy"),
         )
     )
 
@@ -161,6 +164,55 @@ def group_ols_by_function(df: DataFrame, group: str, y: str, x: str) -> DataFram
     )
 
 
+def ols(df: DataFrame, y: str, features: Sequence[str] | None = None) -> DataFrame:
+    """Regression of y on the given columns, or on all others, as a tidy coefficient table.
+
+    One aggregation gives the means and covariances, a handful of numbers from which the
+    driver solves the normal equations. ``fit_line`` gives a model to save and apply.
+    """
+    features = list(features) if features is not None else [c for c in df.columns if c != y]
+    if len(features) > MOST_FEATURES:
+        raise ValueError(f"more than {MOST_FEATURES} features; use fit_line")
+    names = [*features, y]
+    rows = df.select(*[F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(names)]).dropna()
+    size = range(len(names))
+    pairs = [(i, j) for i in size for j in size if i <= j]
+    sums = rows.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.avg(f"v{i}").alias(f"m{i}") for i in size],
+        *[F.covar_pop(f"v{i}", f"v{j}").alias(f"c{i}_{j}") for i, j in pairs],
+    ).first()
+    n = sums["n"]
+    free = n - len(names)
+    if free < 0:
+        raise ValueError(f"{n} complete rows are too few for {len(names)} coefficients")
+    means = np.array([sums[f"m{i}"] for i in size])
+    cross = np.zeros((len(names), len(names)))
+    for i, j in pairs:
+        cross[i, j] = cross[j, i] = sums[f"c{i}_{j}"] * n
+    spread, with_y, total = cross[:-1, :-1], cross[:-1, -1], cross[-1, -1]
+    inverse = np.linalg.inv(spread)
+    slopes = inverse @ with_y
+    rest = total - slopes @ with_y
+    variance = (0.0 if rest <= EXACT_FIT * total else rest) / free if free else np.nan
+    center = means[:-1]
+    estimates = np.concatenate([[means[-1] - slopes @ center], slopes])
+    spreads = np.concatenate([[1 / n + center @ inverse @ center], np.diag(inverse)])
+    return _coefficients(df.sparkSession, features, estimates, np.sqrt(variance * spreads), free)
+
+
+def _coefficients(
+    spark: SparkSession, features: Sequence[str], estimates: np.ndarray, errors: np.ndarray, free: float
+) -> DataFrame:
+    terms = ["(Intercept)", *features]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        statistics = estimates / errors
+    p = two_sided_p(statistics, np.full(len(terms), float(free)))
+    known = [[None if np.isnan(v) else float(v) for v in row] for row in zip(estimates, errors, statistics, p)]
+    rows = [(t, *values) for t, values in zip(terms, known)]
+    return local_frame(spark, rows, "term string, estimate double, std_error double, statistic double, p_value double")
+
+
 def fit_line(df: DataFrame, y: str, features: Sequence[str] | None = None) -> LinearRegressionModel:
     """Least squares of y on the given columns, or on all others."""
     features = list(features) if features is not None else [c for c in df.columns if c != y]
@@ -177,16 +229,10 @@ def predict(model: LinearRegressionModel, df: DataFrame, features: Sequence[str]
 def tidy_model(spark: SparkSession, model: LinearRegressionModel, features: Sequence[str]) -> DataFrame:
     """Coefficient table of a fitted model, intercept first."""
     summary = model.summary
-    terms = ["(Intercept)", *features]
-    estimates = np.array([model.intercept, *model.coefficients])
     errors = np.array(summary.coefficientStandardErrors)
     errors = np.concatenate([errors[-1:], errors[:-1]])  # the summary has the intercept last
-    statistics = estimates / errors
-    p = two_sided_p(statistics, np.full(len(terms), float(summary.degreesOfFreedom)))
-    rows = [
-        (t, float(e), float(s), float(v), float(q)) for t, e, s, v, q in zip(terms, estimates, errors, statistics, p)
-    ]
-    return spark.createDataFrame(rows, "term string, estimate double, std_error double, statistic double, p_value double")
+    estimates = np.array([model.intercept, *model.coefficients])
+    return _coefficients(spark, features, estimates, errors, summary.degreesOfFreedom)
 
 
 def save_model(model: LinearRegressionModel, path: str) -> None:

@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from windrow.operators.changes import check_merge_source, fit_to, is_true, merged_schema, same_columns, updated_columns
 from windrow.session import scratch_dir
+from windrow.sources.catalog import table_detail
 from windrow.sources.readers import local_frame
 
 # Identities (16 bytes each) that a read may broadcast.
@@ -138,6 +139,20 @@ class VersionedTable:
         self._snapshot(version)
         return self.spark.read.schema(HISTORY).json(self._record_path(version))
 
+    def detail(self) -> DataFrame:
+        """One row: location, version, live rows, and the files of all versions."""
+        snapshot = self._snapshot(None)
+        return table_detail(self.spark, f"{self.root}/adds").select(
+            "format",
+            F.lit(self.root).alias("location"),
+            F.lit(snapshot.version).cast("long").alias("version"),
+            F.lit(snapshot.rows).cast("long").alias("live_rows"),
+            "num_files",
+            "size_bytes",
+            "created_at",
+            "last_modified",
+        )
+
     def changes(self, after: int, upto: int | None = None) -> DataFrame:
         """What the commits after one version up to another did, row by row.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,6 +59,11 @@ def carrier_newcol_prepend(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def task_random() -> np.random.Generator:
+    """Random numbers fixed by the partition, so that a task run again draws the same."""
+    return np.random.default_rng([206, TaskContext.get().partitionId()])
+
+
 @query(
     "jitter_partition",
     f"""SELECT COUNT(*) AS n_rows, CAST(SUM("DepDelay") AS BIGINT) AS delay, CAST(0 AS BIGINT) AS n_outside,
@@ -70,7 +76,7 @@ def jitter_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     def jitter(rows: pd.DataFrame) -> pd.DataFrame:
         x = rows["DepDelay"].to_numpy(float)
         width = jitter_width(x)
-        noise = np.random.default_rng().uniform(-width, width, len(x))
+        noise = task_random().uniform(-width, width, len(x))
         return pd.DataFrame({"DepDelay": rows["DepDelay"], "jitteredDelay": x + noise, "width": width})
 
     jittered = groups.apply_partitions(delays, jitter, "DepDelay int, jitteredDelay double, width double", whole=True)
@@ -96,7 +102,7 @@ def first_per_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
         head = frame.head(1)
         x = head["o_orderkey"].to_numpy(float)
         width = jitter_width(x)
-        moved = x + np.random.default_rng().uniform(-width, width, 1)
+        moved = x + task_random().uniform(-width, width, 1)
         return head.assign(jittered=moved, width=width)
 
     firsts = groups.apply_partitions(

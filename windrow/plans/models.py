@@ -104,8 +104,7 @@ SELECT term, round(estimate, 3) AS estimate, round(std_error, 3) AS std_error, r
 def global_ols(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One regression on all other columns."""
     items = load(spark, sf_dir, "lineitem").select("l_extendedprice", "l_quantity", "l_discount")
-    model = models.fit_line(items, "l_extendedprice")
-    table = models.tidy_model(spark, model, ["l_quantity", "l_discount"])
+    table = models.ols(items, "l_extendedprice")
     return table.select(
         "term", F.round("estimate", 3).alias("estimate"), F.round("std_error", 3).alias("std_error"),
         F.round("statistic", 4).alias("statistic"),
