@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from windrow.operators import changes, groups, models  # noqa: E402
+from windrow.operators.sampling import hash_split  # noqa: E402
 from windrow.operators.versions import convert  # noqa: E402
 from windrow.plans import QUERIES  # noqa: E402
 from windrow.plans.groups import half, half_by_row  # noqa: E402
@@ -102,9 +103,10 @@ def table_jobs(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], objec
 
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     for percent in (1, 50):
-        source = orders.filter(F.pmod(F.xxhash64("o_orderkey"), F.lit(100)) < percent).withColumn(
-            "o_totalprice", F.col("o_totalprice") + 1
-        )
+        part, _ = hash_split(orders, [percent, 100 - percent], [F.col("o_orderkey")], 1)
+        staged = scratch_dir(spark, "p5")
+        part.withColumn("o_totalprice", F.col("o_totalprice") + 1).write.parquet(staged)
+        source = spark.read.parquet(staged)
         flagged = source.withColumnsRenamed({"o_custkey": "c", "o_totalprice": "p"}).withColumn("hit", F.lit(True))
         outer = orders.join(flagged, "o_orderkey", "full").select(
             "o_orderkey",

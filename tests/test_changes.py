@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from windrow.operators import changes
@@ -42,8 +43,13 @@ def test_merge_writes_nulls_of_a_matching_row(spark):
 
 def test_merge_refuses_two_rows_for_one(spark):
     target = local_frame(spark, [("a", 1), ("b", 2)], KV)
+    twice = local_frame(spark, [("a", 2), ("a", 3)], KV)
+    merged = changes.merge_upsert(target, twice, ["k"])
+    for action in (merged.collect, merged.count):
+        with pytest.raises(SparkRuntimeException, match="several source rows"):
+            action()
     with pytest.raises(changes.AmbiguousMerge):
-        changes.merge_upsert(target, local_frame(spark, [("a", 2), ("a", 3)], KV), ["k"])
+        changes.check_merge_source(target, twice, ["k"])
     unmatched = local_frame(spark, [("z", 2), ("z", 3)], KV)
     assert rows(changes.merge_upsert(target, unmatched, ["k"])) == [("a", 1), ("b", 2), ("z", 2), ("z", 3)]
 

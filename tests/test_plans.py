@@ -83,7 +83,7 @@ def test_merge_with_a_small_source_does_not_shuffle_the_table(spark, medium):
 def test_upserts_never_use_a_full_outer_join(spark, medium):
     orders = spark.read.parquet(f"{medium}/orders.parquet")
     batch = orders.withColumn("o_orderkey", F.col("o_orderkey") + 5)
-    text = plan(changes.merge_upsert(orders, batch, ["o_orderkey"], check=False))
+    text = plan(changes.merge_upsert(orders, batch, ["o_orderkey"]))
     assert "FullOuter" not in text
 
 

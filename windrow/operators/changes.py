@@ -117,49 +117,44 @@ def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataF
     return source.join(hit_keys(target, source, keys), list(keys), "left_anti")
 
 
-def check_merge_source(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> bool:
+def check_merge_source(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:
     """Raise if a target row is matched by several source rows. Runs Spark jobs.
 
-    Returns whether the source's keys are unique; only if not, the target is looked at.
+    The target is looked at only where the source repeats a key at all.
     """
     repeated = (
         source.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(*keys)
     )
     if repeated.isEmpty():
-        return True
+        return
     clash = target.select(*keys).join(repeated, list(keys), "left_semi").limit(1).collect()
     if clash:
         raise AmbiguousMerge(f"several source rows match key {tuple(clash[0])}")
-    return False
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], check: bool = True) -> DataFrame:
+def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Update target rows whose key the source has, insert the source's other rows.
 
     One left join keeps or replaces every target row. A source that Spark knows to be
     small is broadcast there, so the target is not shuffled; otherwise adaptive
     execution can split a hot key on the target side, which a full outer join forbids.
-    Matches are told by a flag, never by a null in the data. Without ``check`` the caller
-    vouches that the source's keys are unique.
+    The source comes to the join with one row and a count per key: the count tells a
+    match (never a null in the data), and a match of several source rows fails the job.
     """
     keys = list(keys)
     source = fit_to(source, target.schema)
-    unique = check_merge_source(target, source, keys) if check else True
-    hits = hit_keys(target, source, keys)
-    # a key repeated in the source is new to the target: such rows stay out of this join
-    matching = source if unique else source.join(hits, keys, "left_semi")
-    change = matching.select(
-        *[F.col(f"`{k}`") for k in keys],
-        F.struct(*[F.col(f"`{c}`") for c in source.columns]).alias("_new"),
-        F.lit(True).alias("_matched"),
+    change = source.groupBy(*keys).agg(
+        F.first(F.struct(*[F.col(f"`{c}`") for c in source.columns])).alias("_new"),
+        F.count(F.lit(1)).alias("_matches"),
     )
-    kept = target.join(change, keys, "left").select(
-        *[
-            F.when(F.col("_matched"), F.col(f"_new.`{c}`")).otherwise(F.col(f"`{c}`")).alias(c)
-            for c in target.columns
-        ]
+    clash = F.raise_error(F.lit("several source rows match one target row")).cast("boolean")
+    matched = F.col("_matches").isNotNull()
+    kept = (
+        target.join(change, keys, "left")
+        .filter(F.when(F.col("_matches") > 1, clash).otherwise(True))
+        .select(*[F.when(matched, F.col(f"_new.`{c}`")).otherwise(F.col(f"`{c}`")).alias(c) for c in target.columns])
     )
-    added = source.join(hits, keys, "left_anti")
+    added = new_rows(target, source, keys)
     return kept.unionByName(added.select(*target.columns))
 
 

@@ -197,7 +197,8 @@ class VersionedTable:
         """The rows as a stream that follows new commits.
 
         A file stream sees added rows only, so a table with other changes is refused
-        unless they are to be ignored. ``files_per_batch`` bounds each micro-batch.
+        unless they are to be ignored. It also sees rows whose commit broke off between
+        its data and its record. ``files_per_batch`` bounds each micro-batch.
         """
         other = sorted({r["operation"] for r in self._records} - set(INSERTING))
         if other and not ignore_changes:

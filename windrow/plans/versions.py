@@ -207,13 +207,13 @@ def clog_full_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "versioned_orders",
     """SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'P' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
-    o_orderstatus FROM orders WHERE o_custkey % 10 <> 0""",
+    o_orderstatus FROM orders WHERE NOT o_totalprice < 50000""",
 )
 def versioned_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A large table through delete, update and compaction."""
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
     table = convert(orders, scratch_dir(spark, "orders"))
-    table.delete_where(F.col("o_custkey") % 10 == 0)
+    table.delete_where("o_totalprice < 50000")
     table.update_where("o_orderstatus = 'P'", {"o_totalprice": F.col("o_totalprice") + 1})
     table.compact()
     return table.read()
