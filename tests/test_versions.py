@@ -142,7 +142,7 @@ def random_walk(table, spark, pick, steps):
             table.rollback(back)
             now = list(states[back])
         else:
-            table.compact(full=pick.random() < 0.5)
+            table.compact(below=pick.choice([0, 3]), full=pick.random() < 0.4)
         states.append(now)
     return states
 
@@ -193,6 +193,23 @@ def test_many_removed_rows_lead_to_compaction(spark, tmp_path, monkeypatch):
     assert table.read(2).count() == 96 and table.read(3).count() == 51
 
 
+def test_compaction_of_small_commits_keeps_large_folders(spark, tmp_path):
+    table = convert(spark.range(100), str(tmp_path / "t"))
+    for i in range(5):
+        table.insert([(1000 + i,)])
+    table.compact(below=50)
+    assert table._snapshot(None).parts == (0, 6)
+    assert sorted(r["id"] for r in table.read().collect()) == [*range(100), *range(1000, 1005)]
+    assert table.changes(5).count() == 0
+
+
+def test_reads_are_pruned_to_the_columns_asked_for(spark, tmp_path):
+    table = convert(local_frame(spark, [("a", 1)], KV), str(tmp_path / "t"))
+    table.delete_where("v = 0")
+    plan = table.read().select("k")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<k:string>" in plan
+
+
 def test_reserved_names_are_refused(spark, tmp_path):
     with pytest.raises(ValueError):
         convert(spark.range(1).withColumnRenamed("id", "_row"), str(tmp_path / "t"))

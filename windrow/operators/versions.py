@@ -196,9 +196,10 @@ class VersionedTable:
     def stream(self, ignore_changes: bool = False, files_per_batch: int | None = None) -> DataFrame:
         """The rows as a stream that follows new commits.
 
-        A file stream sees added rows only, so a table with other changes is refused
-        unless they are to be ignored. It also sees rows whose commit broke off between
-        its data and its record. ``files_per_batch`` bounds each micro-batch.
+        A file stream sees written rows only: it misses removals, and updates, restated
+        rows and compactions come as new rows. So a table with such commits is refused
+        unless ``ignore_changes`` is set. Rows whose commit broke off between its data and
+        its record are seen too. ``files_per_batch`` bounds each micro-batch.
         """
         other = sorted({r["operation"] for r in self._records} - set(INSERTING))
         if other and not ignore_changes:
@@ -272,10 +273,16 @@ class VersionedTable:
         old = self._snapshot(version)
         return self._commit("restore", old.schema, restores=version, parameters={"version": str(version)})
 
-    def compact(self, full: bool = False) -> int:
-        """Write the live rows of touched folders (or of all) anew; content stays the same."""
+    def compact(self, below: int = 0, full: bool = False) -> int:
+        """Write live rows anew; content stays the same.
+
+        Folders that lost rows are rewritten, and with ``below`` also those of commits
+        that added fewer rows: many small commits become one folder while large, clean
+        ones stay as they are. ``full`` rewrites everything.
+        """
         snapshot = self._snapshot(None)
-        kept = [] if full else [p for p in snapshot.parts if p not in snapshot.touched]
+        size = {r["version"]: r["rows_added"] for r in self._records}
+        kept = [p for p in snapshot.parts if not full and p not in snapshot.touched and size[p] >= below]
         rewritten = replace(snapshot, parts=tuple(p for p in snapshot.parts if p not in kept))
         rows = self._state(rewritten).select(*[f"`{n}`" for n in snapshot.schema.names])
         return self._commit("compact", snapshot.schema, adds=rows, kept=kept)
