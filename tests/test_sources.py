@@ -35,10 +35,19 @@ def test_flight_schema_has_27_fields(spark):
 
 
 def test_csv_keeps_quotes_separators_and_text_with_blanks(spark, tmp_path):
-    rows = [(1, 'say "hi", twice'), (2, "a|b\tc"), (3, "back\\slash")]
+    rows = [(1, 'say "hi", twice'), (2, "a|b\tc"), (3, "back\\slash"), (4, "NA"), (5, 'quote " only')]
     df = readers.local_frame(spark, rows, "id int, text string")
-    writers.write_csv(df, str(tmp_path / "q"))
-    back = spark.read.option("escape", '"').schema(df.schema).csv(str(tmp_path / "q"), header=True)
+    for sep in (",", "\t", "|"):
+        path = str(tmp_path / f"q{ord(sep)}")
+        writers.write_csv(df, path, sep=sep)
+        assert sorted(map(tuple, readers.read_csv(spark, path, schema=df.schema, sep=sep).collect())) == rows
+
+
+def test_csv_with_line_breaks(spark, tmp_path):
+    rows = [(1, "two\nlines"), (2, 'a "b"\n,c')]
+    df = readers.local_frame(spark, rows, "id int, text string")
+    writers.write_csv(df, str(tmp_path / "m"))
+    back = readers.read_csv(spark, str(tmp_path / "m"), schema=df.schema, multiline=True)
     assert sorted(map(tuple, back.collect())) == rows
 
 

@@ -130,9 +130,10 @@ def random_walk(table, spark, pick, steps):
             now = [(k, v + 1 if v is not None else None) if k == key else (k, v) for k, v in now]
         elif kind == "merge":
             source = [(k, pick.choice([None, 3, 7])) for k in pick.sample("abcdefgh", 3)]
+            source += [(None, 1), ("new", 8), ("new", 8)] if pick.random() < 0.5 and "new" not in dict(now) else []
             table.merge(local_frame(spark, source, KV), ["k"])
-            change, have = dict(source), {k for k, _ in now}
-            now = [(k, change.get(k, v) if k in change else v) for k, v in now]
+            change, have = {k: v for k, v in source if k is not None}, {k for k, _ in now} - {None}
+            now = [(k, change[k] if k in change else v) for k, v in now]
             now += [(k, v) for k, v in source if k not in have]
         elif kind == "overwrite":
             now = [(pick.choice("abc"), pick.randrange(5)) for _ in range(4)]
@@ -147,7 +148,7 @@ def random_walk(table, spark, pick, steps):
     return states
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(4))
 def test_any_walk_equals_its_replay(spark, tmp_path, seed):
     pick = random.Random(seed)
     start = [(pick.choice("abcdef"), pick.randrange(9)) for _ in range(12)]

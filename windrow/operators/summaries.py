@@ -36,10 +36,8 @@ def exact_sum(column: Column | str) -> Column:
 def pivot_count(df: DataFrame, row: str, column: str, values: Sequence[object] | None = None) -> DataFrame:
     """Rows by columns with counts; cells without rows are null.
 
-    The row and column are counted first, so only the counts are pivoted. ``values``
-    fixes the columns and saves the pass that looks for them.
+    ``values`` fixes the columns and saves the pass that looks for them.
     """
-    counts = count_by(df, row, column)
-    grouped = counts.groupBy(row)
+    grouped = df.groupBy(row)
     pivoted = grouped.pivot(column, list(values)) if values is not None else grouped.pivot(column)
-    return pivoted.agg(F.sum("n"))
+    return pivoted.agg(F.count(F.lit(1)))

@@ -95,8 +95,8 @@ def jitter_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def first_per_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per partition, its first: as many results as partitions hold rows."""
-    rows = load(spark, sf_dir, "orders").select("o_orderkey").sortWithinPartitions("o_orderkey")
-    rows = rows.withColumn("part", F.spark_partition_id())
+    orders = load(spark, sf_dir, "orders").select("o_orderkey")
+    rows = orders.sortWithinPartitions("o_orderkey").withColumn("part", F.spark_partition_id())
 
     def first(frame: pd.DataFrame) -> pd.DataFrame:
         head = frame.head(1)
@@ -108,7 +108,7 @@ def first_per_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     firsts = groups.apply_partitions(
         rows, first, "o_orderkey long, part int, jittered double, width double", whole=True
     ).withColumn("n", F.lit(0))
-    counted = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("low"))
+    counted = orders.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("low"))
     both = firsts.unionByName(counted, allowMissingColumns=True)
     per_part = both.groupBy("part").agg(
         F.sum("n").alias("n"),

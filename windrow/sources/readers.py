@@ -8,8 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -39,13 +38,17 @@ def read_csv(
     infer: bool = False,
     missing: str | None = None,
     sep: str = ",",
+    multiline: bool = False,
 ) -> DataFrame:
     """Separated text. ``missing`` is the text that stands for null.
 
+    Quotes inside values are doubled, as ``write_csv`` and most programs do. Values with
+    line breaks need ``multiline``; such files cannot be split among tasks.
+
     Under inference, a column that holds a missing marker which was not declared turns
     into text as a whole. Under a schema, names are given by position.
     """
-    options = {"header": header, "sep": sep}
+    options = {"header": header, "sep": sep, "escape": '"', "multiLine": multiline}
     if schema is None:
         options["inferSchema"] = infer
     if missing is not None:
@@ -145,8 +148,3 @@ def choose_columns(spark: SparkSession, table: str, **choices: str) -> DataFrame
             raise ValueError(f"{role}={column!r} is not a column of {table}")
     chosen = ", ".join(f"identifier(:{role}) AS {role}" for role in choices)
     return spark.sql(f"SELECT {chosen} FROM identifier(:source_table)", args={**choices, "source_table": table})
-
-
-def text_or_null(column: Column, missing: str) -> Column:
-    """The column with the missing marker turned into null."""
-    return F.nullif(column, F.lit(missing))
