@@ -6,6 +6,7 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
+from windrow.functions.jitter import jitter_keyed
 from windrow.operators import changes, models, shaping, summaries, versions
 from windrow.plans import QUERIES
 from windrow.plans.models import december
@@ -97,3 +98,65 @@ def test_no_cross_join_and_no_single_task_window(spark, small, name):
 def test_splits_are_filters(spark, small):
     assert "Exchange" not in plan(QUERIES["hash_split"](spark, small))
     assert "Exchange" not in plan(QUERIES["stratified_sample"](spark, small))
+
+
+@pytest.fixture
+def small_partitions(spark):
+    """Settings under which small test data counts as skewed, and nothing is broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in old.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def hot_frames(spark, n=60000):
+    """A target with a third of its rows in one key, spread over many tasks, and a source."""
+    target = spark.range(0, n, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, -5).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
+    )
+    source = spark.range(0, 30000, 1, 4).select((F.col("id") * 7 - 5).alias("k"), (-F.col("id")).alias("v"))
+    return target, source
+
+
+def final_tree(df) -> list[str]:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+
+
+def final_joins(df) -> list[str]:
+    return [line for line in final_tree(df) if "SortMergeJoin" in line]
+
+
+def test_hot_keys_of_a_merge_are_split(spark, small_partitions):
+    target, source = hot_frames(spark)
+    tree = final_tree(changes.merge_upsert(target, source, ["k"]))
+    joins = [line for line in tree if "SortMergeJoin" in line]
+    assert any("skew=true" in j and "LeftOuter" in j for j in joins), joins
+    # a key alone compresses too well to be skewed here; both sides must be shuffled right below
+    at = next(i for i, line in enumerate(tree) if "LeftSemi" in line)
+    assert "Sort" in tree[at + 1] and ("ShuffleQueryStage" in tree[at + 2] or "AQEShuffleRead" in tree[at + 2])
+    depth = tree[at + 1].index(":-")
+    right = next(i for i, line in enumerate(tree) if i > at and line[depth:].startswith("+-"))
+    assert "Sort" in tree[right] and ("ShuffleQueryStage" in tree[right + 1] or "AQEShuffleRead" in tree[right + 1])
+
+
+def test_hot_new_keys_of_a_source_are_split(spark, small_partitions):
+    source, target = hot_frames(spark)
+    joins = final_joins(changes.new_rows(target, source, ["k"]))
+    assert any("skew=true" in j and "LeftAnti" in j for j in joins), joins
+
+
+def test_hot_groups_of_a_jitter_are_split(spark, small_partitions):
+    target, _ = hot_frames(spark, 600000)
+    joins = final_joins(jitter_keyed(target, "k", "v", [F.col("v")], 1).agg(F.sum("jittered")))
+    assert len(joins) == 2 and all("skew=true" in j for j in joins), joins

@@ -32,19 +32,23 @@ def jitter_widths(df: DataFrame, group: str, x: str) -> DataFrame:
 
     A group may hold most of the table, so its values are never sorted in one task:
     the distinct values are cut into ranges, gaps are taken inside each range, and the
-    ranges' ends (one row per range) are compared in a second, small step.
+    ranges' ends (one row per range) are compared in a second, small step. Groupings by
+    one struct keep joins from reusing their shuffle, which would keep adaptive execution
+    from splitting such a group.
     """
+    whole = F.struct(group).alias("_group")
     values = df.select(F.col(group), F.col(x).cast("double").alias("_x")).dropna().distinct()
     spread = F.nullif(F.max("_x") - F.min("_x"), F.lit(0.0))
     magnitude = (
-        values.groupBy(group)
+        values.groupBy(whole)
         .agg(F.coalesce(spread, F.nullif(F.abs(F.min("_x")), F.lit(0.0)), F.lit(1.0)).alias("_z"))
-        .select(group, "_z", F.pow(F.lit(10.0), 3 - F.floor(F.log10("_z"))).alias("_scale"))
+        .select("_group.*", "_z", F.pow(F.lit(10.0), 3 - F.floor(F.log10("_z"))).alias("_scale"))
     )
     distinct = (
         values.join(magnitude, group)
-        .select(group, "_z", (F.round(F.col("_x") * F.col("_scale")) / F.col("_scale")).alias("_x"))
+        .select(F.struct(group, "_z", (F.round(F.col("_x") * F.col("_scale")) / F.col("_scale")).alias("_x")).alias("_row"))
         .distinct()
+        .select("_row.*")
     )
     ranges = distinct.repartitionByRange(group, "_x").withColumn("_range", F.spark_partition_id())
     inside = Window.partitionBy(group, "_range").orderBy("_x")
@@ -60,13 +64,12 @@ def jitter_widths(df: DataFrame, group: str, x: str) -> DataFrame:
     )
     across = Window.partitionBy(group).orderBy("_range")
     steps = ends.withColumn("_step", F.least("_gap", F.col("_low") - F.lag("_high").over(across)))
-    return steps.groupBy(group).agg(
-        F.coalesce(
-            F.min("_step") / 5,
-            F.abs(F.nullif(F.min("_low"), F.lit(0.0))) / 50,
-            F.first("_z") / 50,
-        ).alias("width")
+    width = F.coalesce(
+        F.min("_step") / 5,
+        F.abs(F.nullif(F.min("_low"), F.lit(0.0))) / 50,
+        F.first("_z") / 50,
     )
+    return steps.groupBy(whole).agg(width.alias("width")).select("_group.*", "width")
 
 
 def jitter_keyed(df: DataFrame, group: str, x: str, key: list[Column], seed: int, name: str = "jittered") -> DataFrame:

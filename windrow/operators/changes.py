@@ -97,19 +97,29 @@ def fit_to(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def key_set(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each key once, for use in a join.
+
+    Adaptive execution splits a hot key only where both sides of a join are shuffled right
+    below it. Grouping by one struct keeps the join from reusing this shuffle, so the keys
+    (at most one row each) are shuffled again, and rows that meet them can be split.
+    """
+    return df.select(F.struct(*keys).alias("_key")).distinct().select("_key.*")
+
+
 def replaced_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key the source has."""
-    return target.join(source.select(*keys).distinct(), list(keys), "left_semi")
+    return target.join(key_set(source, keys), list(keys), "left_semi")
 
 
 def unaffected_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key the source lacks."""
-    return target.join(source.select(*keys).distinct(), list(keys), "left_anti")
+    return target.join(key_set(source, keys), list(keys), "left_anti")
 
 
 def hit_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys present on both sides, once each: at most as many as the source has."""
-    return replaced_rows(target.select(*keys), source, keys).distinct()
+    return key_set(replaced_rows(target.select(*keys), source, keys), keys)
 
 
 def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -122,9 +132,8 @@ def check_merge_source(target: DataFrame, source: DataFrame, keys: Sequence[str]
 
     The target is looked at only where the source repeats a key at all.
     """
-    repeated = (
-        source.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(*keys)
-    )
+    counts = source.select(*keys).dropna().groupBy(F.struct(*keys).alias("_key")).count()
+    repeated = counts.filter(F.col("count") > 1).select("_key.*")
     if repeated.isEmpty():
         return
     clash = target.select(*keys).join(repeated, list(keys), "left_semi").limit(1).collect()
@@ -143,9 +152,13 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     """
     keys = list(keys)
     source = fit_to(source, target.schema)
-    change = source.groupBy(*keys).agg(
-        F.first(F.struct(*[F.col(f"`{c}`") for c in source.columns])).alias("_new"),
-        F.count(F.lit(1)).alias("_matches"),
+    change = (
+        source.groupBy(F.struct(*keys).alias("_key"))  # one struct: see key_set
+        .agg(
+            F.first(F.struct(*[F.col(f"`{c}`") for c in source.columns])).alias("_new"),
+            F.count(F.lit(1)).alias("_matches"),
+        )
+        .select("_key.*", "_new", "_matches")
     )
     clash = F.raise_error(F.lit("several source rows match one target row")).cast("boolean")
     matched = F.col("_matches").isNotNull()

@@ -29,7 +29,15 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from windrow.operators.changes import check_merge_source, fit_to, is_true, merged_schema, same_columns, updated_columns
+from windrow.operators.changes import (
+    check_merge_source,
+    fit_to,
+    is_true,
+    key_set,
+    merged_schema,
+    same_columns,
+    updated_columns,
+)
 from windrow.session import scratch_dir
 from windrow.sources.catalog import table_detail
 from windrow.sources.readers import local_frame
@@ -264,7 +272,7 @@ class VersionedTable:
         updated = target.join(source, keys).select(*[f"`{n}`" for n in schema.names], *self._pointer())
 
         def inserted(written: DataFrame) -> DataFrame:
-            return source.join(written.select(*keys).distinct(), keys, "left_anti")
+            return source.join(key_set(written, keys), keys, "left_anti")
 
         return self._commit("merge", schema, adds=updated, then=inserted, parameters={"keys": ",".join(keys)})
 
