@@ -32,13 +32,17 @@ def line_key(line: Column) -> Column:
 
 def shared_lines(lines: DataFrame, min_docs: int) -> DataFrame:
     """Keys in at least ``min_docs`` documents, with the smallest document holding each."""
-    per_key = lines.groupBy("h1", "h2")
+    # Grouped by a struct, the keys found are dealt anew for the join, whose both sides are then
+    # plain shuffles: adaptive execution can split a line that very many documents hold.
+    key = F.struct("h1", "h2").alias("key")
     if min_docs <= 2:
-        found = per_key.agg(F.min("doc").alias("keeper"), F.max("doc").alias("last"))
-        return found.where((F.col("keeper") != F.col("last")) | F.lit(min_docs < 2)).drop("last")
-    once = lines.groupBy("h1", "h2", "doc").agg(F.lit(1).alias("one"))
-    found = once.groupBy("h1", "h2").agg(F.min("doc").alias("keeper"), F.count("*").alias("docs"))
-    return found.where(F.col("docs") >= min_docs).drop("docs")
+        found = lines.groupBy(key).agg(F.min("doc").alias("keeper"), F.max("doc").alias("last"))
+        found = found.where((F.col("keeper") != F.col("last")) | F.lit(min_docs < 2))
+    else:
+        once = lines.select("h1", "h2", "doc").distinct()
+        found = once.groupBy(key).agg(F.min("doc").alias("keeper"), F.count("*").alias("docs"))
+        found = found.where(F.col("docs") >= min_docs)
+    return found.select("key.h1", "key.h2", "keeper")
 
 
 def dedup_lines(

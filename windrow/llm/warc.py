@@ -162,9 +162,12 @@ def response_records(pages: DataFrame, page_id: str, url: str, payload: str) ->
 def resolve_revisits(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
     """The id that each revisit repeats: ``id, digest, refers_to``, revisits only."""
     large = headers.where(F.col("payload_bytes") >= min_bytes).select("id", "digest")
-    newest = large.groupBy("digest").agg(F.max("id").alias("refers_to"), F.count("*").alias("copies"))
+    # Grouped by a struct, the few rows found are dealt anew for the join, whose both sides are
+    # then plain shuffles: adaptive execution can split a digest with very many records.
+    newest = large.groupBy(F.struct("digest").alias("key")).agg(F.max("id").alias("refers_to"), F.count("*").alias("copies"))
+    newest = newest.where("copies > 1 and refers_to is not null").select("key.digest", "refers_to")
     return (
-        large.join(newest.where("copies > 1 and refers_to is not null").drop("copies"), "digest")
+        large.join(newest, "digest")
         .where(~F.col("id").eqNullSafe(F.col("refers_to")))
         .select("id", "digest", "refers_to")
         .distinct()
