@@ -17,14 +17,13 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from windrow.llm.common import in_batches, load
+from windrow.llm.common import in_batches, kept, load
 from windrow.llm.pair_merge import LONG, PairTable, merge_all, merge_one
 from windrow.llm.pretokens import Pieces
 from windrow.llm.registry import query
@@ -115,9 +114,8 @@ class Encoder:
         return made
 
 
-@lru_cache(maxsize=2)
 def vocabulary(path: str, pattern: str) -> tuple[Pieces[bytes], list[bytes]]:
-    """The encoder and the token of every id; one per worker process and file."""
+    """The encoder and the token of every id; one is kept per worker."""
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     tokens = [b""] * (max(ranks.values(), default=-1) + 1)
@@ -146,7 +144,7 @@ def encode_texts(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, tokens = vocabulary(path, pattern)
+        encoder, tokens = kept(("bitmap", path, pattern), lambda: vocabulary(path, pattern))
         for batch in batches:
             encoded = encoder.texts([t or "" for t in batch.column(1).to_pylist()])
             columns = [batch.column(0), pa.array([len(ids) // 4 for ids in encoded], pa.int64())]

@@ -14,14 +14,13 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Iterator
-from functools import lru_cache
 
 import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from windrow.llm.common import in_batches, load
+from windrow.llm.common import in_batches, kept, load
 from windrow.llm.pair_merge import LONG, PairTable, merge_all, merge_one
 from windrow.llm.pretokens import Pieces
 from windrow.llm.registry import query
@@ -92,7 +91,6 @@ class Counter:
         return counts
 
 
-@lru_cache(maxsize=2)
 def tokenizer(path: str, pattern: str) -> tuple[Pieces[int], regex.Pattern | None]:
     """The counter of a byte-level vocabulary file and the pattern of its special tokens."""
     with open(path, encoding="utf-8") as file:
@@ -121,7 +119,7 @@ def count_tokens(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, marks = tokenizer(path, pattern)
+        counts, marks = kept(("heap", path, pattern), lambda: tokenizer(path, pattern))
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             parts = [marks.split(t) if marks else [t] for t in texts]

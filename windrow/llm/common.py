@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +19,21 @@ BLANKS = " \t\n\x0b\x0c\r"
 BATCH_BYTES = 8 << 20
 
 
+T = TypeVar("T")
+
+
+def kept(key: tuple, make: Callable[[], T]) -> T:
+    """What ``make`` gives, made once in the life of a worker process.
+
+    The package travels to the workers by value, so its own modules start anew with every task;
+    this is kept on the interpreter instead.
+    """
+    store = sys.__dict__.setdefault("_windrow_kept", {})
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
