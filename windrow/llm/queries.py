@@ -1,6 +1,6 @@
 """The registered queries of this subpackage."""
 
-from windrow.llm import bpe_bitmap, bpe_heap, line_dedup, piece_language, positional_index, robust_rules, warc  # noqa: F401
+from windrow.llm import bpe_bitmap, bpe_heap, line_dedup, piece_language, positional_index, robust_rules, toxicity, warc  # noqa: F401
 from windrow.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
