@@ -1,6 +1,16 @@
 """The registered queries of this subpackage."""
 
-from windrow.llm import bpe_bitmap, bpe_heap, line_dedup, piece_language, positional_index, robust_rules, toxicity, warc  # noqa: F401
+from windrow.llm import (  # noqa: F401
+    bpe_bitmap,
+    bpe_heap,
+    line_dedup,
+    line_quality,
+    piece_language,
+    positional_index,
+    robust_rules,
+    toxicity,
+    warc,
+)
 from windrow.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
