@@ -3,6 +3,7 @@
 from windrow.llm import (  # noqa: F401
     bpe_bitmap,
     bpe_heap,
+    chosen_path,
     line_dedup,
     line_quality,
     piece_language,
