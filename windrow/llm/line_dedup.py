@@ -5,9 +5,9 @@ the smallest and the largest document holding it; they differ exactly when two d
 A key held by more documents than the threshold is counted by distinct documents. Only
 (hash, id, position) is shuffled by line; the texts move once, by document.
 
-- null or empty text: one empty line, kept;
+- null or empty text: one empty line, kept; a null stays null;
 - a line repeated inside one document only: kept; repeated inside the keeping document: kept;
-- rows with one ``doc_id``: one document for the counts; each row keeps or loses its lines;
+- rows with one ``doc_id``: one document for the counts; each row loses its own lines;
 - null ``doc_id``: the row is left as it is and counts for no line;
 - extra columns are ignored: the result has the columns named below only.
 """
@@ -46,38 +46,49 @@ def shared_lines(lines: DataFrame, min_docs: int) -> DataFrame:
 
 
 def dedup_lines(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_length: int = 10, min_docs: int = 2
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    min_length: int = 10,
+    min_docs: int = 2,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Each row's id, its text without shared lines, the lines before and the lines dropped.
 
-    Returns ``doc_id, kept_text, n_lines, n_dropped``.
+    Returns ``doc_id, kept_text, n_lines, n_dropped`` and ``carried``, a struct of the columns
+    to carry along.
     """
     # The lines travel as an array, split once; a lambda over the text would split it per line.
-    body = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
-    given = docs.select(F.col(doc_id).alias("doc"), body.alias("body"))
+    given = docs.select(
+        F.col(doc_id).alias("doc"),
+        F.xxhash64(text).alias("row"),
+        F.split(F.col(text), "\n", -1).alias("body"),
+        F.struct(F.lit(None).cast("boolean").alias("none"), *carry).alias("carried"),
+    )
     lines = (
         given.where(F.col("doc").isNotNull())
-        .select("doc", F.posexplode("body").alias("at", "line"))
-        .select("doc", "at", line_key(F.col("line")).alias("key"))
+        .select("doc", "row", F.posexplode("body").alias("at", "line"))
+        .select("doc", "row", "at", line_key(F.col("line")).alias("key"))
         .where(F.length("key") >= min_length)
-        .select("doc", "at", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"))
+        .select("doc", "row", "at", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"))
     )
     shared = shared_lines(lines, min_docs)
     lost = (
         lines.join(shared, ["h1", "h2"])
         .where(F.col("doc") != F.col("keeper"))
-        .groupBy("doc")
+        .groupBy("doc", "row")
         .agg(F.collect_set("at").alias("lost"))
     )
     stay = F.array_except(F.sequence(F.lit(0), F.size("body") - 1), F.col("lost"))
     kept = F.when(F.col("lost").isNull(), F.array_join("body", "\n")).otherwise(
         F.array_join(F.transform(stay, lambda i: F.get(F.col("body"), i)), "\n")
     )
-    return given.join(lost, "doc", "left").select(
+    return given.join(lost, ["doc", "row"], "left").select(
         F.col("doc").alias(doc_id),
         kept.alias("kept_text"),
-        F.size("body").cast("long").alias("n_lines"),
+        F.coalesce(F.size("body"), F.lit(1)).cast("long").alias("n_lines"),
         F.coalesce(F.size("lost"), F.lit(0)).cast("long").alias("n_dropped"),
+        "carried",
     )
 
 
@@ -107,5 +118,5 @@ FROM marked GROUP BY doc_id
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line dedup of all documents, the kept text as a digest."""
     result = dedup_lines(load(spark, sf_dir, "documents"))
-    digest = F.sha2(F.col("kept_text").cast("binary"), 256)
+    digest = F.sha2(F.coalesce("kept_text", F.lit("")).cast("binary"), 256)
     return result.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
