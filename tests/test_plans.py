@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from windrow.functions.jitter import jitter_keyed
-from windrow.operators import changes, models, shaping, summaries, versions
+from windrow.operators import changes, history, models, shaping, summaries
 from windrow.plans import QUERIES
 from windrow.plans.models import december
 from windrow.sources.readers import local_frame
@@ -48,30 +48,11 @@ def test_summaries_shuffle_partial_results(spark, medium):
     assert "partial_count" in text and "ReadSchema: struct<source:string>" in text
 
 
-def test_a_version_reads_its_own_folders_only(spark, tmp_path):
-    table = versions.convert(spark.range(10), str(tmp_path / "t"))
-    table.insert([(100,)])
-    table.insert([(200,)])
-    files = table.read(1).inputFiles()
-    assert len(files) > 1 and not any("_version=2" in f for f in files)
-    assert "Exchange" not in plan(table.read())
-
-
-def test_reads_after_changes_broadcast_identities_and_do_not_shuffle(spark, tmp_path):
-    table = versions.convert(spark.range(1000), str(tmp_path / "t"))
-    table.append(spark.range(5))
-    table.delete_where("id >= 990")
-    table.update_where("id = 17", {"id": F.lit(-17)})
-    text = plan(table.read())
-    assert "BroadcastHashJoin LeftAnti" in text and "SortMergeJoin" not in text
-    assert text.split("\n\n")[0].count("BroadcastExchange") == text.split("\n\n")[0].count("Exchange")
-
-
-def test_merge_reads_only_the_keys_of_the_table(spark, tmp_path):
-    wide = spark.range(100).select("id", *[F.lit(i).alias(f"c{i}") for i in range(5)])
-    table = versions.convert(wide, str(tmp_path / "t"))
-    target = table._state(table._snapshot(None)).select("id", "_version", "_row")
-    assert "c0" not in plan(target)
+def test_states_are_partial_aggregations(spark, medium):
+    orders = spark.read.parquet(f"{medium}/orders.parquet")
+    versions = history.as_changes(orders, "insert", 0, F.current_timestamp())
+    tree = plan(history.state_at(versions, ["o_orderkey"], 3)).split("\n\n")[0]
+    assert tree.count("Exchange") == 1 and "Window" not in tree
 
 
 def test_merge_with_a_small_source_does_not_shuffle_the_table(spark, medium):
@@ -142,12 +123,15 @@ def test_hot_keys_of_a_merge_are_split(spark, small_partitions):
     tree = final_tree(changes.merge_upsert(target, source, ["k"]))
     joins = [line for line in tree if "SortMergeJoin" in line]
     assert any("skew=true" in j and "LeftOuter" in j for j in joins), joins
-    # a key alone compresses too well to be skewed here; both sides must be shuffled right below
-    at = next(i for i, line in enumerate(tree) if "LeftSemi" in line)
-    assert "Sort" in tree[at + 1] and ("ShuffleQueryStage" in tree[at + 2] or "AQEShuffleRead" in tree[at + 2])
-    depth = tree[at + 1].index(":-")
-    right = next(i for i, line in enumerate(tree) if i > at and line[depth:].startswith("+-"))
-    assert "Sort" in tree[right] and ("ShuffleQueryStage" in tree[right + 1] or "AQEShuffleRead" in tree[right + 1])
+
+
+def test_merge_scans_the_source_once_and_the_table_twice(spark, medium):
+    orders = spark.read.parquet(f"{medium}/orders.parquet").select("o_orderkey", "o_totalprice")
+    batch = orders.withColumn("o_orderkey", F.col("o_orderkey") + 5)
+    text = plan(changes.merge_upsert(orders, batch, ["o_orderkey"]))
+    tree = text.split("\n\n")[0]
+    assert text.count("orders.parquet]") == 2  # the batch is read from its working files
+    assert tree.count("Scan parquet") == 4
 
 
 def test_hot_new_keys_of_a_source_are_split(spark, small_partitions):

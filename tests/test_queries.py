@@ -31,11 +31,7 @@ def test_query(spark, answers, small, name):
     assert difference(spark, answers, name, small) == ""
 
 
-# These walk through versions of a small aggregate, which has no layout of its own.
-WALKS = {n for n in QUERIES if n.startswith(("clog_", "time_travel_", "report_"))}
-
-
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - WALKS))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_layout_does_not_matter(spark, answers, other_layout, name):
     assert difference(spark, answers, name, other_layout) == ""
 
@@ -55,4 +51,5 @@ def test_entry(spark):
     result = contract.entry(spark)
     assert result.count() == 20
     assert result.columns == ["origin", "term", "estimate", "std_error", "statistic", "p_value"]
-    assert set(contract.queries()) == set(contract.oracle_sql()) == set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+    assert set(contract.oracle_sql()) <= set(contract.queries())

@@ -121,6 +121,33 @@ def test_compaction_keeps_rows_and_does_not_shuffle(spark, tmp_path):
     assert spark.read.parquet(packed).agg(F.sum("id")).first()[0] == 499500
 
 
+def test_compaction_keeps_columns_that_only_some_files_have(spark, tmp_path):
+    small, packed = str(tmp_path / "small"), str(tmp_path / "packed")
+    spark.range(10).withColumn("a", F.col("id") * 2).write.parquet(small)
+    spark.range(10, 15).withColumn("b", F.lit("x")).write.mode("append").parquet(small)
+    copy = writers.compact_files(spark, small, packed)
+    rows = {r["id"]: (r["a"], r["b"]) for r in copy.collect()}
+    assert len(rows) == 15 and rows[4] == (8, None) and rows[12] == (None, "x")
+    assert set(readers.read_parquet(spark, small, merge_schema=True).columns) == {"id", "a", "b"}
+
+
+def test_compaction_keeps_partition_folders(spark, tmp_path):
+    small, packed = str(tmp_path / "small"), str(tmp_path / "packed")
+    df = spark.range(100).withColumn("day", (F.col("id") % 3).cast("int")).withColumn("half", F.col("id") % 2 == 0)
+    df.repartition(5).write.partitionBy("day", "half").parquet(small)
+    copy = writers.compact_files(spark, small, packed)
+    files = [r["file_path"] for r in catalog.list_files(spark, packed).collect()]
+    assert len(files) == 6 and all("/day=" in f and "/half=" in f for f in files)
+    assert sorted(map(tuple, copy.select("id", "day").collect())) == [(i, i % 3) for i in range(100)]
+
+
+def test_compaction_refuses_a_target_inside_the_source(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "small"))
+    with pytest.raises(ValueError):
+        writers.compact_files(spark, str(tmp_path / "small"), str(tmp_path / "small" / "packed"))
+    assert spark.read.parquet(str(tmp_path / "small")).count() == 3
+
+
 def test_listing_files_reads_no_content(spark, medium):
     plan = catalog.list_files(spark, f"{medium}/lineitem.parquet")._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[1]

@@ -1,32 +1,39 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from windrow.operators.versions import PlainTable, convert
 from windrow.sources.readers import local_frame
-from windrow.streaming.running import refresh_result, running_sum, write_stream
+from windrow.streaming.folders import add_batch, names_in, read_batches, stream_batches
+from windrow.streaming.running import latest_result, refresh_result, running_sum, start_running, write_stream
 
 KV = "k string, v bigint"
 
 
+def rows_of(df):
+    return sorted(map(tuple, df.collect()))
+
+
 @pytest.mark.parametrize("seed", range(2))
-def test_any_cut_into_commits_gives_the_batch_result(spark, tmp_path, seed):
+def test_any_cut_into_batches_gives_the_batch_result(spark, tmp_path, seed):
     pick = random.Random(seed)
     data = [("hot" if pick.random() < 0.4 else pick.choice("abc"), pick.randrange(100)) for _ in range(60)]
     cuts = sorted(pick.sample(range(1, 60), 3))
-    table = convert(local_frame(spark, data[: cuts[0]], KV), str(tmp_path / "t"))
-    sums = running_sum(table.stream(files_per_batch=pick.choice([1, 100])), "k", "v", "total")
+    folder = str(tmp_path / "t")
+    add_batch(local_frame(spark, data[: cuts[0]], KV), folder, "first")
+    sums = running_sum(stream_batches(spark, folder, files_per_batch=pick.choice([1, 100])), "k", "v", "total")
     where = (str(tmp_path / "result"), str(tmp_path / "checkpoint"))
-    refresh_result(sums, *where, timeout=120)
+    streamed = refresh_result(sums, *where, timeout=120)
     for a, b in zip(cuts, [*cuts[1:], 60]):
-        table.append(local_frame(spark, data[a:b], KV))
+        add_batch(local_frame(spark, data[a:b], KV), folder, f"from-{a}")
+        earlier = rows_of(streamed)
+        kept = streamed
         streamed = refresh_result(sums, *where, timeout=120)
-        batch = table.read().groupBy("k").agg(F.sum("v").alias("total"))
-        assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
-    # nothing new: the last result stays
-    again = refresh_result(sums, *where, timeout=120)
-    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, streamed.collect()))
+        assert rows_of(kept) == earlier  # stays readable until the next run
+        assert rows_of(streamed) == rows_of(read_batches(spark, folder).groupBy("k").agg(F.sum("v").alias("total")))
+    assert len(names_in(spark, where[0])) <= 2  # older results are gone
+    assert rows_of(refresh_result(sums, *where, timeout=120)) == rows_of(streamed)  # nothing new
 
 
 def test_golden_restart(spark, medium, tmp_path):
@@ -36,19 +43,41 @@ def test_golden_restart(spark, medium, tmp_path):
     assert (got["before", "7"], got["after", "7"]) == (73, 2773)
 
 
-def test_tables_with_other_changes_are_refused(spark, tmp_path):
-    table = convert(local_frame(spark, [("a", 1), ("b", 2)], KV), str(tmp_path / "t"))
-    table.delete_where("k = 'a'")
-    with pytest.raises(PlainTable):
-        table.stream()
-    assert table.stream(ignore_changes=True).isStreaming
+def test_a_broken_off_batch_is_not_seen_and_its_repetition_counts_once(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    add_batch(local_frame(spark, [("a", 1), ("b", 2)], KV), folder, "one")
+    rows = local_frame(spark, [("c", i) for i in range(5)], KV)
+    rows.write.parquet(f"{folder}/_aside/two")  # a writer that ended here
+    sums = running_sum(stream_batches(spark, folder), "k", "v", "total")
+    where = (str(tmp_path / "result"), str(tmp_path / "checkpoint"))
+    assert rows_of(refresh_result(sums, *where, timeout=120)) == [("a", 1), ("b", 2)]
+    assert add_batch(rows, folder, "two") and not add_batch(rows, folder, "two")
+    assert rows_of(refresh_result(sums, *where, timeout=120)) == [("a", 1), ("b", 2), ("c", 10)]
+    assert read_batches(spark, folder).count() == 7
+
+
+def test_a_running_stream_follows_until_it_is_stopped(spark, tmp_path):
+    folder, where = str(tmp_path / "t"), (str(tmp_path / "result"), str(tmp_path / "checkpoint"))
+    add_batch(local_frame(spark, [("a", 1)], KV), folder, "0")
+    sums = running_sum(stream_batches(spark, folder), "k", "v", "total")
+    running = start_running(sums, *where, interval="0 seconds")
+    try:
+        running.processAllAvailable()
+        for number in range(1, 5):
+            add_batch(local_frame(spark, [("a", number)], KV), folder, str(number))
+            running.processAllAvailable()
+            assert rows_of(latest_result(sums, where[0])) == [("a", sum(range(number + 1)) + 1)]
+    finally:
+        running.stop()
+    assert not running.isActive and len(names_in(spark, where[0])) <= 2
+    time.sleep(0.1)
 
 
 def test_sink_writes_each_row_once_across_runs(spark, tmp_path):
-    table = convert(local_frame(spark, [("a", 1), ("b", 2)], KV), str(tmp_path / "t"))
-    where = (str(tmp_path / "rows"), str(tmp_path / "checkpoint"))
-    write_stream(table.stream(), *where, timeout=120)
-    table.insert([("c", 3)])
-    written = write_stream(table.stream(), *where, timeout=120)
-    assert sorted(map(tuple, written.collect())) == [("a", 1), ("b", 2), ("c", 3)]
-    assert write_stream(table.stream(), *where, timeout=120).count() == 3
+    folder, where = str(tmp_path / "t"), (str(tmp_path / "rows"), str(tmp_path / "checkpoint"))
+    add_batch(local_frame(spark, [("a", 1), ("b", 2)], KV), folder, "0")
+    write_stream(stream_batches(spark, folder), *where, timeout=120)
+    add_batch(local_frame(spark, [("c", 3)], KV), folder, "1")
+    written = write_stream(stream_batches(spark, folder), *where, timeout=120)
+    assert rows_of(written) == [("a", 1), ("b", 2), ("c", 3)]
+    assert write_stream(stream_batches(spark, folder), *where, timeout=120).count() == 3

@@ -6,15 +6,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def add_date_parts(df: DataFrame, ts: Column) -> DataFrame:
-    """Add the timestamp, its date as text and its parts, later ones from earlier ones."""
-    return (
-        df.withColumn("current_ts", ts)
-        .withColumn("month", F.month("current_ts"))
-        .withColumn("year", F.year("current_ts"))
-        .withColumn("current_date", F.date_format("current_ts", "yyyy-MM-dd"))
-        .withColumn("day_of_month", F.dayofmonth("current_date"))
-    )
+PARTS = {"year": F.year, "quarter": F.quarter, "month": F.month, "week": F.weekofyear, "day": F.dayofmonth, "hour": F.hour}
+
+
+def add_date_parts(df: DataFrame, ts: Column, stamp: str, day: str, parts: dict[str, str]) -> DataFrame:
+    """Add the timestamp as ``stamp``, its date as text as ``day``, and parts by name of the new column.
+
+    Later columns are made from earlier ones: parts of the time from the stamp, those of the
+    date from its text.
+    """
+    result = df.withColumn(stamp, ts).withColumn(day, F.date_format(stamp, "yyyy-MM-dd"))
+    for name, part in parts.items():
+        result = result.withColumn(name, PARTS[part](F.col(stamp) if part == "hour" else F.to_date(day)))
+    return result
 
 
 def as_date(ts: Column, pattern: str = "yyyy-MM-dd") -> Column:

@@ -9,7 +9,7 @@ that is zero.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from windrow.functions.numbers import key_fraction
@@ -30,46 +30,30 @@ def jitter_width(values: np.ndarray) -> float:
 def jitter_widths(df: DataFrame, group: str, x: str) -> DataFrame:
     """Half width per group: columns ``group`` and ``width``.
 
-    A group may hold most of the table, so its values are never sorted in one task:
-    the distinct values are cut into ranges, gaps are taken inside each range, and the
-    ranges' ends (one row per range) are compared in a second, small step. Groupings by
-    one struct keep joins from reusing their shuffle, which would keep adaptive execution
-    from splitting such a group.
+    A group may hold most of the table, yet rounding to three digits below the magnitude of its
+    range leaves at most ten thousand and one distinct values, which one aggregation gathers
+    and sorts. Groupings by one struct keep joins from reusing their shuffle, which would keep
+    adaptive execution from splitting such a group.
     """
     whole = F.struct(group).alias("_group")
-    values = df.select(F.col(group), F.col(x).cast("double").alias("_x")).dropna().distinct()
+    values = df.select(F.col(group), F.col(x).cast("double").alias("_x")).dropna()
     spread = F.nullif(F.max("_x") - F.min("_x"), F.lit(0.0))
     magnitude = (
         values.groupBy(whole)
         .agg(F.coalesce(spread, F.nullif(F.abs(F.min("_x")), F.lit(0.0)), F.lit(1.0)).alias("_z"))
         .select("_group.*", "_z", F.pow(F.lit(10.0), 3 - F.floor(F.log10("_z"))).alias("_scale"))
     )
-    distinct = (
+    rounded = F.round(F.col("_x") * F.col("_scale")) / F.col("_scale")
+    found = (
         values.join(magnitude, group)
-        .select(F.struct(group, "_z", (F.round(F.col("_x") * F.col("_scale")) / F.col("_scale")).alias("_x")).alias("_row"))
-        .distinct()
-        .select("_row.*")
+        .groupBy(whole)
+        .agg(F.array_sort(F.collect_set(rounded)).alias("_values"), F.first("_z").alias("_z"))
     )
-    ranges = distinct.repartitionByRange(group, "_x").withColumn("_range", F.spark_partition_id())
-    inside = Window.partitionBy(group, "_range").orderBy("_x")
-    ends = (
-        ranges.withColumn("_gap", F.col("_x") - F.lag("_x").over(inside))
-        .groupBy(group, "_range")
-        .agg(
-            F.min("_gap").alias("_gap"),
-            F.min("_x").alias("_low"),
-            F.max("_x").alias("_high"),
-            F.first("_z").alias("_z"),
-        )
-    )
-    across = Window.partitionBy(group).orderBy("_range")
-    steps = ends.withColumn("_step", F.least("_gap", F.col("_low") - F.lag("_high").over(across)))
-    width = F.coalesce(
-        F.min("_step") / 5,
-        F.abs(F.nullif(F.min("_low"), F.lit(0.0))) / 50,
-        F.first("_z") / 50,
-    )
-    return steps.groupBy(whole).agg(width.alias("width")).select("_group.*", "width")
+    steps = F.transform(F.sequence(F.lit(1), F.size("_values") - 1), lambda i: F.get("_values", i) - F.get("_values", i - 1))
+    gap = F.when(F.size("_values") > 1, F.array_min(steps))
+    lowest = F.get("_values", F.lit(0))
+    width = F.coalesce(gap / 5, F.abs(F.nullif(lowest, F.lit(0.0))) / 50, F.col("_z") / 50)
+    return found.select("_group.*", width.alias("width"))
 
 
 def jitter_keyed(df: DataFrame, group: str, x: str, key: list[Column], seed: int, name: str = "jittered") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from windrow.session import scratch_dir
 from windrow.sources.readers import local_frame
 
 
@@ -35,14 +36,15 @@ def update_where(df: DataFrame, test: Column | str, values: Mapping[str, Column
 
 
 def updated_columns(schema: T.StructType, test: Column | str, values: Mapping[str, Column | object]) -> list[Column]:
-    unknown = set(values) - set(schema.names)
+    values = {name.lower(): value for name, value in values.items()}
+    unknown = set(values) - {name.lower() for name in schema.names}
     if unknown:
         raise SchemaMismatch(f"no such columns: {sorted(unknown)}")
     columns = []
     for field in schema.fields:
         column = F.col(f"`{field.name}`")
-        if field.name in values:
-            value = values[field.name]
+        if field.name.lower() in values:
+            value = values[field.name.lower()]
             value = value if isinstance(value, Column) else F.lit(value)
             column = F.when(is_true(test), value.cast(field.dataType)).otherwise(column)
         columns.append(column.alias(field.name))
@@ -117,14 +119,9 @@ def unaffected_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -
     return target.join(key_set(source, keys), list(keys), "left_anti")
 
 
-def hit_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys present on both sides, once each: at most as many as the source has."""
-    return key_set(replaced_rows(target.select(*keys), source, keys), keys)
-
-
 def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows whose key the target lacks; rows with a null key are among them."""
-    return source.join(hit_keys(target, source, keys), list(keys), "left_anti")
+    return source.join(key_set(target, keys), list(keys), "left_anti")
 
 
 def check_merge_source(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> None:
@@ -149,9 +146,14 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     execution can split a hot key on the target side, which a full outer join forbids.
     The source comes to the join with one row and a count per key: the count tells a
     match (never a null in the data), and a match of several source rows fails the job.
+    The source is evaluated once, into working files that both parts read, so one that is
+    not deterministic can't give a torn result.
     """
     keys = list(keys)
     source = fit_to(source, target.schema)
+    staged = scratch_dir(source.sparkSession, "merge")
+    source.write.parquet(staged)
+    source = source.sparkSession.read.schema(source.schema).parquet(staged)
     change = (
         source.groupBy(F.struct(*keys).alias("_key"))  # one struct: see key_set
         .agg(

@@ -8,6 +8,7 @@ of turning into a wrong number.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import Any
 
@@ -20,20 +21,11 @@ from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
 Frame = pd.DataFrame
 
-# Rows of one group that may be handed to one function call.
-GROUP_LIMIT = 1_000_000
-# Arrow bytes of one partition that may be handed to one function call.
-PARTITION_BYTES = 1 << 30
-
 
 class OutputMismatch(TypeError):
     """A function returned something else than its declared schema."""
 
 
-class GroupTooLarge(ValueError):
-    """A group does not fit one function call."""
-
-
 def as_schema(schema: T.StructType | str) -> T.StructType:
     if isinstance(schema, T.StructType):
         return schema
@@ -89,25 +81,14 @@ def apply_groups(
     columns: Sequence[str] | None = None,
     prepend_key: bool = False,
     by_position: bool = False,
-    max_group_rows: int | None = GROUP_LIMIT,
 ) -> DataFrame:
     """Call ``fn(key, frame)`` once per group with all its rows.
 
-    The whole group meets in one task, so group sizes are counted first and a larger
-    group than ``max_group_rows`` raises; ``reduce_groups`` has no such limit. Pass None
-    where the plan bounds the groups. With ``prepend_key`` the function returns its own
+    The whole group meets in one task, as the meaning asks: it must fit there. For groups
+    that may not, use ``reduce_groups``. With ``prepend_key`` the function returns its own
     columns only and the key columns are put in front.
     """
     df = _select(df, columns, keys)
-    if max_group_rows is not None:
-        large = (
-            df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_group_rows).limit(1).collect()
-        )
-        if large:
-            raise GroupTooLarge(
-                f"group {tuple(large[0])[:-1]} has {large[0]['_n']} rows, more than {max_group_rows}; "
-                "aggregate before, or use reduce_groups"
-            )
     declared = to_arrow_schema(as_schema(schema))
     key_fields = [declared.field(k) for k in keys] if prepend_key else []
     own = pa.schema([f for f in declared if f not in key_fields])
@@ -129,29 +110,27 @@ def apply_partitions(
     *,
     columns: Sequence[str] | None = None,
     whole: bool = False,
+    first: bool = False,
     by_position: bool = False,
-    max_bytes: int = PARTITION_BYTES,
 ) -> DataFrame:
     """Call ``fn(frame)`` on the rows of each partition, batch by batch.
 
-    With ``whole`` the function sees a partition at once, as its meaning may need; a
-    partition over ``max_bytes`` raises and wants a repartition first.
+    With ``whole`` the function sees a partition at once, as its meaning may need; size the
+    partitions for that by a repartition before. With ``first`` it sees the first batch that
+    has rows, and the rest of the partition is not held.
     """
     declared = to_arrow_schema(as_schema(schema))
 
     def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not whole:
-            for batch in batches:
-                yield from conform(fn(to_frame(pa.Table.from_batches([batch]))), declared, by_position).to_batches()
-            return
-        held, size = [], 0
-        for batch in batches:
-            held.append(batch)
-            size += batch.nbytes
-            if size > max_bytes:
-                raise GroupTooLarge(f"a partition holds more than {max_bytes} bytes; repartition first")
-        if sum(b.num_rows for b in held):
-            yield from conform(fn(to_frame(pa.Table.from_batches(held))), declared, by_position).to_batches()
+        full = (batch for batch in batches if batch.num_rows)
+        if first:
+            tables = [[batch] for batch in itertools.islice(full, 1)]
+        elif whole:
+            tables = [held] if (held := list(full)) else []
+        else:
+            tables = ([batch] for batch in full)
+        for table in tables:
+            yield from conform(fn(to_frame(pa.Table.from_batches(table))), declared, by_position).to_batches()
 
     return _select(df, columns).mapInArrow(call, as_schema(schema))
 
@@ -190,10 +169,12 @@ def map_elements(
     """Call ``fn(element)`` for every element of a one-column DataFrame or local list.
 
     Each call returns one row (a dict) or a small frame; the rows come back as one
-    DataFrame, not as a list on the driver. ``spread`` sets the number of tasks.
+    DataFrame, not as a list on the driver. ``spread`` sets the number of tasks; a local
+    list is spread over as many as the session runs at once.
     """
     if not isinstance(elements, DataFrame):
         elements = spark.createDataFrame([(e,) for e in elements], f"element {element_type}")
+        spread = spread or spark.sparkContext.defaultParallelism
     if len(elements.columns) != 1:
         raise ValueError("elements need exactly one column")
     if spread:
@@ -203,7 +184,9 @@ def map_elements(
     def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             results = [fn(e) for e in batch.column(0).to_pylist()]
-            frames = [r if isinstance(r, Frame) else Frame([r]) for r in results]
+            # Rows in a row become one frame; frames stay as they are.
+            runs = itertools.groupby(results, key=lambda r: isinstance(r, Frame))
+            frames = [frame for whole, run in runs for frame in (run if whole else [Frame(list(run))])]
             if frames:
                 yield from conform(pd.concat(frames, ignore_index=True), declared).to_batches()
 
@@ -216,14 +199,6 @@ def infer_output_schema(fn: Callable[[Frame], Frame], df: DataFrame, n: int = 10
     return from_arrow_schema(pa.Schema.from_pandas(fn(sample), preserve_index=False))
 
 
-def collect_bounded(df: DataFrame, max_rows: int) -> list:
-    """Rows for use as context of a function; more than ``max_rows`` raise."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise GroupTooLarge(f"more than {max_rows} rows; join instead of sending them along")
-    return rows
-
-
 def apply_with_context(
     df: DataFrame,
     fn: Callable[[Frame, Any], Frame],
@@ -235,6 +210,7 @@ def apply_with_context(
 ) -> DataFrame:
     """``apply_partitions`` with a context object sent to each executor once.
 
+    The context is a small value of the caller's own; look up a table by a join instead.
     ``modules`` are Python files that travel with the job.
     """
     context_on_executor = df.sparkSession.sparkContext.broadcast(context)

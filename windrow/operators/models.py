@@ -19,8 +19,11 @@ from windrow.sources.readers import local_frame
 # A residual below this share of the total is rounding: the line is exact.
 EXACT_FIT = 1e-12
 
-# Pairs of columns that one aggregation can hold in compiled code.
-MOST_FEATURES = 20
+# Pairs of columns that one aggregation holds, to stay within compiled code.
+PAIRS_AT_ONCE = 200
+
+# A column whose variance the columns before it explain but for this share is redundant.
+REDUNDANT = 1e-9
 
 
 @F.pandas_udf(T.DoubleType())
@@ -101,29 +104,51 @@ def group_ols(df: DataFrame, group: str, y: str, x: str) -> DataFrame:
     return tidy_lines(group_moments(df, group, y, x), group, x)
 
 
-def _partial_sums(group: str, y: str, x: str):
+def _partial_moments(group: str, y: str, x: str):
+    """Per batch and group: rows, means and centred sums. No square of a raw value is taken."""
+
     def summarise(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.dropna()
-        xs, ys = rows[x].astype(float), rows[y].astype(float)
-        sums = pd.DataFrame({group: rows[group], "n": 1, "sx": xs, "sy": ys, "sxx": xs * xs, "syy": ys * ys, "sxy": xs * ys})
-        return sums.groupby(group, as_index=False).sum()
+        values = pd.DataFrame({group: rows[group], "x": rows[x].astype(float), "y": rows[y].astype(float)})
+        means = values.groupby(group, as_index=False).agg(n=("x", "size"), mx=("x", "mean"), my=("y", "mean"))
+        apart = values.merge(means, on=group)
+        dx, dy = apart["x"] - apart["mx"], apart["y"] - apart["my"]
+        sums = pd.DataFrame({group: apart[group], "sxx": dx * dx, "syy": dy * dy, "sxy": dx * dy})
+        return means.merge(sums.groupby(group, as_index=False).sum(), on=group)
 
     return summarise
 
 
+def merged_moments(parts: Column) -> Column:
+    """One set of moments from an array of them, by pairwise merging."""
+    start = F.struct(F.lit(0).cast("long").alias("n"), *[F.lit(0.0).alias(c) for c in ("mx", "my", "sxx", "syy", "sxy")])
+
+    def merge(a: Column, b: Column) -> Column:
+        n = a["n"] + b["n"]
+        dx, dy = b["mx"] - a["mx"], b["my"] - a["my"]
+        share = b["n"] / n
+        weight = a["n"] * share
+        return F.struct(
+            n.alias("n"),
+            (a["mx"] + dx * share).alias("mx"),
+            (a["my"] + dy * share).alias("my"),
+            (a["sxx"] + b["sxx"] + dx * dx * weight).alias("sxx"),
+            (a["syy"] + b["syy"] + dy * dy * weight).alias("syy"),
+            (a["sxy"] + b["sxy"] + dx * dy * weight).alias("sxy"),
+        )
+
+    return F.aggregate(parts, start, merge)
+
+
 def _finish_lines(group: str, x: str):
     def finish(sums: pd.DataFrame) -> pd.DataFrame:
-        n = sums["n"].to_numpy(float)
-        mx, my = sums["sx"].to_numpy(float) / n, sums["sy"].to_numpy(float) / n
-        sxx = sums["sxx"].to_numpy(float) - n * mx * mx
-        syy = sums["syy"].to_numpy(float) - n * my * my
-        sxy = sums["sxy"].to_numpy(float) - n * mx * my
-        flat = sxx <= EXACT_FIT * np.abs(sums["sxx"].to_numpy(float))
+        n, mx, my, sxx, syy, sxy = (sums[c].to_numpy(float) for c in ("n", "mx", "my", "sxx", "syy", "sxy"))
+        flat = sxx == 0
         with np.errstate(divide="ignore", invalid="ignore"):
             slope = np.where(flat, np.nan, sxy / sxx)
             df = n - np.where(flat, 1, 2)
             rest = np.where(flat, syy, syy - sxy * slope)
-            rest = np.where(rest <= EXACT_FIT * sums["syy"].to_numpy(float), 0.0, rest)
+            rest = np.where(rest <= EXACT_FIT * syy, 0.0, rest)
             var = np.where(df > 0, rest / df, np.nan)
             level = np.where(flat, my, my - slope * mx)
             level_error = np.sqrt(var * (1 / n + np.where(flat, 0.0, mx * mx / sxx)))
@@ -146,58 +171,93 @@ def _finish_lines(group: str, x: str):
 
 
 def group_ols_by_function(df: DataFrame, group: str, y: str, x: str) -> DataFrame:
-    """The same regression through Python functions: sums per batch, merged by Spark.
+    """The same regression through Python functions: moments per batch, merged by Spark.
 
-    A cross-check of ``group_ols``. No group ever meets in one task.
+    A cross-check of ``group_ols``. No rows of a group meet in one task, only one set of
+    moments for each batch that holds some.
     """
     rows = df.select(group, y, x).dropna()
     kind = rows.schema[group].dataType.simpleString()
-    sums = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+    names = ["n", "mx", "my", "sxx", "syy", "sxy"]
+    merged = merged_moments(F.collect_list(F.struct(*names)))
     return reduce_groups(
         rows,
         [group],
-        _partial_sums(group, y, x),
-        f"{group} {kind}, n bigint, sx double, sy double, sxx double, syy double, sxy double",
-        [F.sum(s).alias(s) for s in sums],
+        _partial_moments(group, y, x),
+        f"{group} {kind}, n bigint, mx double, my double, sxx double, syy double, sxy double",
+        [merged[name].alias(name) for name in names],
         _finish_lines(group, x),
         f"{group} {kind}, term string, estimate double, std_error double, statistic double, p_value double",
     )
 
 
+def cross_moments(rows: DataFrame, size: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """Rows, means and centred cross products of the columns v0, v1, ...
+
+    Pairs are taken in blocks, so that any number of columns fits the compiled code.
+    """
+    pairs = [(i, j) for i in range(size) for j in range(i, size)]
+    cross, means, n = np.zeros((size, size)), np.zeros(size), 0
+    for start in range(0, len(pairs), PAIRS_AT_ONCE):
+        block = pairs[start : start + PAIRS_AT_ONCE]
+        columns = sorted({i for pair in block for i in pair})
+        sums = rows.agg(
+            F.count(F.lit(1)).alias("n"),
+            *[F.avg(f"v{i}").alias(f"m{i}") for i in columns],
+            *[F.covar_pop(f"v{i}", f"v{j}").alias(f"c{i}_{j}") for i, j in block],
+        ).first()
+        n = sums["n"]
+        if not n:
+            break
+        means[columns] = [sums[f"m{i}"] for i in columns]
+        for i, j in block:
+            cross[i, j] = cross[j, i] = sums[f"c{i}_{j}"] * n
+    return n, means, cross
+
+
+def independent_columns(spread: np.ndarray) -> list[int]:
+    """Columns that those before them don't make up, from their cross products."""
+    scale = np.sqrt(np.diag(spread))
+    chosen: list[int] = []
+    for i in range(len(spread)):
+        if scale[i] == 0:
+            continue
+        rest = 1.0
+        if chosen:
+            unit = spread[np.ix_(chosen, chosen)] / np.outer(scale[chosen], scale[chosen])
+            toward = spread[chosen, i] / (scale[chosen] * scale[i])
+            rest -= toward @ np.linalg.solve(unit, toward)
+        if rest > REDUNDANT:
+            chosen.append(i)
+    return chosen
+
+
 def ols(df: DataFrame, y: str, features: Sequence[str] | None = None) -> DataFrame:
     """Regression of y on the given columns, or on all others, as a tidy coefficient table.
 
-    One aggregation gives the means and covariances, a handful of numbers from which the
-    driver solves the normal equations. ``fit_line`` gives a model to save and apply.
+    Aggregations give means and covariances, from which the driver solves the normal equations
+    for the columns scaled to unit variance. A column that is constant or made up by those before
+    it has an empty estimate, and takes no degree of freedom. ``fit_line`` gives a model to save.
     """
     features = list(features) if features is not None else [c for c in df.columns if c != y]
-    if len(features) > MOST_FEATURES:
-        raise ValueError(f"more than {MOST_FEATURES} features; use fit_line")
     names = [*features, y]
     rows = df.select(*[F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(names)]).dropna()
-    size = range(len(names))
-    pairs = [(i, j) for i in size for j in size if i <= j]
-    sums = rows.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.avg(f"v{i}").alias(f"m{i}") for i in size],
-        *[F.covar_pop(f"v{i}", f"v{j}").alias(f"c{i}_{j}") for i, j in pairs],
-    ).first()
-    n = sums["n"]
-    free = n - len(names)
-    if free < 0:
-        raise ValueError(f"{n} complete rows are too few for {len(names)} coefficients")
-    means = np.array([sums[f"m{i}"] for i in size])
-    cross = np.zeros((len(names), len(names)))
-    for i, j in pairs:
-        cross[i, j] = cross[j, i] = sums[f"c{i}_{j}"] * n
+    n, means, cross = cross_moments(rows, len(names))
     spread, with_y, total = cross[:-1, :-1], cross[:-1, -1], cross[-1, -1]
-    inverse = np.linalg.inv(spread)
-    slopes = inverse @ with_y
-    rest = total - slopes @ with_y
+    chosen = independent_columns(spread)
+    free = n - 1 - len(chosen)
+    if free < 0 or n == 0:
+        raise ValueError(f"{n} complete rows are too few for {len(chosen) + 1} coefficients")
+    scale = np.sqrt(np.diag(spread))[chosen]
+    inverse = np.linalg.inv(spread[np.ix_(chosen, chosen)] / np.outer(scale, scale)) / np.outer(scale, scale)
+    slopes = inverse @ with_y[chosen]
+    rest = total - slopes @ with_y[chosen]
     variance = (0.0 if rest <= EXACT_FIT * total else rest) / free if free else np.nan
-    center = means[:-1]
-    estimates = np.concatenate([[means[-1] - slopes @ center], slopes])
-    spreads = np.concatenate([[1 / n + center @ inverse @ center], np.diag(inverse)])
+    center = means[:-1][chosen]
+    estimates, spreads = np.full(len(names), np.nan), np.full(len(names), np.nan)
+    places = [0, *(i + 1 for i in chosen)]
+    estimates[places] = [means[-1] - slopes @ center, *slopes]
+    spreads[places] = [1 / n + center @ inverse @ center, *np.diag(inverse)]
     return _coefficients(df.sparkSession, features, estimates, np.sqrt(variance * spreads), free)
 
 

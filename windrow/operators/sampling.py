@@ -31,9 +31,12 @@ def hash_split(df: DataFrame, weights: list[float], key: list[Column], seed: int
 
 
 def stratified_sample(df: DataFrame, stratum: str, fractions: dict[object, float], key: list[Column], seed: int) -> DataFrame:
-    """Keep the given fraction of each stratum by key; strata not named are left out."""
+    """Keep the given fraction of each stratum by key; strata not named are left out.
+
+    A null stratum is named by None.
+    """
     share = key_fraction(seed, *key)
-    cases = [((F.col(stratum) == F.lit(s)) & (share < f)) for s, f in fractions.items()]
+    cases = [(F.col(stratum).eqNullSafe(F.lit(s)) & (share < f)) for s, f in fractions.items()]
     return df.filter(reduce(lambda a, b: a | b, cases, F.lit(False)))
 
 

@@ -20,11 +20,11 @@ def count_by_desc(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
 
 def agg_by_name(df: DataFrame, keys: Sequence[str], functions: dict[str, str], names: dict[str, str] | None = None) -> DataFrame:
     """Aggregates given as column -> function name; ``names`` renames the results."""
-    result = df.groupBy(*keys).agg(functions)
+    columns = []
     for column, function in functions.items():
-        if names and column in names:
-            result = result.withColumnRenamed(f"{function}({column})", names[column])
-    return result
+        value = F.count(F.lit(1)) if column == "*" else F.call_function(function, F.col(f"`{column}`"))
+        columns.append(value.alias((names or {}).get(column, f"{function}({column})")))
+    return df.groupBy(*keys).agg(*columns)
 
 
 def exact_sum(column: Column | str) -> Column:

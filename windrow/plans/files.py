@@ -33,18 +33,22 @@ def read_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "read_json_inferred",
-    "SELECT author, COUNT(*) AS n, MAX(doc_id) AS last_id, 'bigint' AS id_type "
-    "FROM (SELECT doc_id, source AS author FROM documents) GROUP BY author",
+    "SELECT author, COUNT(*) AS n, MAX(doc_id) AS last_id, 'bigint' AS id_type, CAST(SUM(length(text)) AS BIGINT) AS text_chars, "
+    "MAX(lang) AS last_lang, CAST(SUM(n_chars) AS BIGINT) AS n_chars "
+    "FROM (SELECT * RENAME (source AS author) FROM documents) GROUP BY author",
 )
 def read_json_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines by format name, types found by Spark."""
     path = scratch_dir(spark, "json")
-    load(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("author")).write.json(path)
+    load(spark, sf_dir, "documents").withColumnRenamed("source", "author").write.json(path)
     books = readers.read_path(spark, path, "json")
     return books.groupBy("author").agg(
         F.count(F.lit(1)).alias("n"),
         F.max("doc_id").alias("last_id"),
         F.first(F.typeof("doc_id")).alias("id_type"),
+        F.sum(F.length("text")).alias("text_chars"),
+        F.max("lang").alias("last_lang"),
+        F.sum("n_chars").alias("n_chars"),
     )
 
 
@@ -92,14 +96,21 @@ def read_csv_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "read_csv_raw",
-    "SELECT CAST(c_nationkey AS VARCHAR) AS _c1, COUNT(*) AS n, MAX(c_name) AS last_name FROM customer GROUP BY 1",
+    "SELECT CAST(c_nationkey AS VARCHAR) AS nation, COUNT(*) AS n, MAX(c_name) AS last_name, MAX(c_mktsegment) AS last_segment, "
+    "CAST(SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance, MAX(CAST(c_custkey AS VARCHAR)) AS last_key "
+    "FROM customer GROUP BY 1",
 )
 def read_csv_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No options: every column is text with a name from its position."""
     path = scratch_dir(spark, "csv")
-    writers.write_csv(load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_name"), path, header=False)
-    return readers.read_csv_raw(spark, path).groupBy("_c1").agg(
-        F.count(F.lit(1)).alias("n"), F.max("_c2").alias("last_name")
+    order = ["c_custkey", "c_nationkey", "c_name", "c_mktsegment", "c_acctbal"]
+    writers.write_csv(load(spark, sf_dir, "customer").select(order), path, header=False)
+    return readers.read_csv_raw(spark, path).groupBy(F.col("_c1").alias("nation")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max("_c2").alias("last_name"),
+        F.max("_c3").alias("last_segment"),
+        exact_sum("_c4").alias("balance"),
+        F.max("_c0").alias("last_key"),
     )
 
 
@@ -124,12 +135,13 @@ def read_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "read_delimited",
-    "SELECT sep, p_brand, COUNT(*) AS n, CAST(SUM(p_size) AS BIGINT) AS sizes, MAX(p_type) AS last_type "
+    "SELECT sep, p_brand, COUNT(*) AS n, CAST(SUM(p_size) AS BIGINT) AS sizes, MAX(p_type) AS last_type, "
+    "MAX(p_name) AS last_name, CAST(SUM(CAST(p_retailprice AS DECIMAL(18,2))) AS DOUBLE) AS prices, MAX(p_partkey) AS last_key "
     "FROM part, (VALUES ('tab'), ('pipe')) AS s(sep) GROUP BY sep, p_brand",
 )
 def read_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tab- and pipe-separated text."""
-    parts = load(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
+    parts = load(spark, sf_dir, "part")
     results = []
     for label, sep in (("tab", "\t"), ("pipe", "|")):
         path = scratch_dir(spark, label)
@@ -137,7 +149,12 @@ def read_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
         back = readers.read_csv(spark, path, schema=parts.schema, sep=sep)
         results.append(
             back.groupBy("p_brand").agg(
-                F.count(F.lit(1)).alias("n"), F.sum("p_size").alias("sizes"), F.max("p_type").alias("last_type")
+                F.count(F.lit(1)).alias("n"),
+                F.sum("p_size").alias("sizes"),
+                F.max("p_type").alias("last_type"),
+                F.max("p_name").alias("last_name"),
+                exact_sum("p_retailprice").alias("prices"),
+                F.max("p_partkey").alias("last_key"),
             ).withColumn("sep", F.lit(label))
         )
     return results[0].unionByName(results[1])
@@ -160,25 +177,18 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "compact_files",
-    "SELECT COUNT(*) AS n_rows, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total, "
-    "true AS many_before, true AS few_after FROM orders",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, CAST(o_orderdate AS VARCHAR) AS o_orderdate,
+    CAST(NULL AS DOUBLE) AS discount, true AS fewer_files FROM orders UNION ALL
+    SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, CAST(o_orderdate AS VARCHAR),
+    o_totalprice / 2, true FROM orders""",
 )
 def compact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Many small files written on purpose, then copied into few."""
+    """Many small files in partition folders, a second batch with one more column, copied into few files."""
     small, packed = scratch_dir(spark, "small"), scratch_dir(spark, "packed")
-    load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").repartition(48).write.parquet(small)
-    writers.compact_files(spark, small, packed)
-    before = list_files(spark, small).select(F.lit(1).alias("many"), F.lit(0).alias("few"))
-    after = list_files(spark, packed).select(F.lit(0).alias("many"), F.lit(1).alias("few"))
-    files = before.unionByName(after).select(
-        "many", "few", F.lit(None).cast("double").alias("o_totalprice")
-    )
-    rows = readers.read_parquet(spark, packed).select(
-        F.lit(0).alias("many"), F.lit(0).alias("few"), "o_totalprice"
-    )
-    return files.unionByName(rows).agg(
-        F.count("o_totalprice").alias("n_rows"),
-        exact_sum("o_totalprice").alias("total"),
-        (F.sum("many") == 48).alias("many_before"),
-        (F.sum("few") < F.sum("many")).alias("few_after"),
-    )
+    orders = load(spark, sf_dir, "orders")
+    orders.repartition(16).write.partitionBy("o_orderstatus").parquet(small)
+    wider = orders.withColumn("o_orderkey", -F.col("o_orderkey") - 1).withColumn("discount", F.col("o_totalprice") / 2)
+    wider.repartition(8).write.mode("append").partitionBy("o_orderstatus").parquet(small)
+    rows = writers.compact_files(spark, small, packed)
+    fewer = list_files(spark, packed).count() < list_files(spark, small).count()
+    return rows.withColumn("o_orderdate", F.col("o_orderdate").cast("string")).withColumn("fewer_files", F.lit(fewer))

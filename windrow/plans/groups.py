@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from windrow.functions.jitter import jitter_width
 from windrow.operators import groups
+from windrow.operators.summaries import exact_sum
 from windrow.plans.inputs import FLIGHTS_SQL, flights, load
 from windrow.plans.registry import query
 from windrow.sources.readers import sequence_ids
@@ -37,7 +38,6 @@ def carrier_newcol_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["UniqueCarrier"],
         rename,
         "UniqueCarrier string, newcol string",
-        max_group_rows=None,
     )
 
 
@@ -55,7 +55,6 @@ def carrier_newcol_prepend(spark: SparkSession, sf_dir: str) -> DataFrame:
         rename,
         "UniqueCarrier string, newcol string",
         prepend_key=True,
-        max_group_rows=None,
     )
 
 
@@ -106,7 +105,7 @@ def first_per_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
         return head.assign(jittered=moved, width=width)
 
     firsts = groups.apply_partitions(
-        rows, first, "o_orderkey long, part int, jittered double, width double", whole=True
+        rows, first, "o_orderkey long, part int, jittered double, width double", first=True
     ).withColumn("n", F.lit(0))
     counted = orders.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("low"))
     both = firsts.unionByName(counted, allowMissingColumns=True)
@@ -152,7 +151,7 @@ def map_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A function per element; the small results come back as one DataFrame."""
     names = load(spark, sf_dir, "supplier").select("s_name").distinct()
     return groups.map_elements(
-        names, lambda e: {"carrier": e, "newcol": f"{e}_new"}, "carrier string, newcol string", spread=8
+        names, lambda e: {"carrier": e, "newcol": f"{e}_new"}, "carrier string, newcol string"
     )
 
 
@@ -176,21 +175,68 @@ def infer_udf_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The statuses of orders and what the query calls them.
+STATUSES = {"F": "finished", "O": "open", "P": "in part"}
+
+
 @query(
     "udf_with_context",
-    "SELECT n_name AS nation, COUNT(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name",
+    "SELECT CASE o_orderstatus "
+    + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in STATUSES.items())
+    + " END AS status, COUNT(*) AS n, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders GROUP BY 1",
 )
 def udf_with_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names looked up in a small table that travels with the function."""
-    nations = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    names = {r["n_nationkey"]: r["n_name"] for r in groups.collect_bounded(nations, 10_000)}
+    """Names from a small value that travels with the function."""
 
     def look_up(rows: pd.DataFrame, context: dict) -> pd.DataFrame:
-        return pd.DataFrame({"nation": rows["c_nationkey"].map(context)})
+        return pd.DataFrame({"status": rows["o_orderstatus"].map(context), "price": rows["o_totalprice"]})
+
+    orders = load(spark, sf_dir, "orders")
+    named = groups.apply_with_context(
+        orders, look_up, STATUSES, "status string, price double", columns=["o_orderstatus", "o_totalprice"]
+    )
+    return named.groupBy("status").agg(F.count(F.lit(1)).alias("n"), exact_sum("price").alias("total"))
+
+
+SUPPLIER_LINES_SQL = """SELECT l_suppkey, COUNT(*) AS n_lines, CAST(SUM(l_quantity) AS DOUBLE) AS quantity,
+    MAX(l_extendedprice) AS dearest, arg_min(l_partkey, l_orderkey * 100 + l_linenumber) AS first_part
+    FROM lineitem GROUP BY l_suppkey"""
+
+
+def supplier_summary(rows: pd.DataFrame) -> dict[str, list]:
+    """What the lines of one supplier come to: groups of some hundred rows at any size of the table."""
+    return {
+        "n_lines": [len(rows)],
+        "quantity": [rows["l_quantity"].sum()],
+        "dearest": [rows["l_extendedprice"].max()],
+        "first_part": [rows.sort_values(["l_orderkey", "l_linenumber"])["l_partkey"].iloc[0]],
+    }
+
+
+SUPPLIER_COLUMNS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_partkey"]
+SUPPLIER_SCHEMA = "l_suppkey long, n_lines long, quantity double, dearest double, first_part long"
+
+
+@query("supplier_lines_udf", SUPPLIER_LINES_SQL)
+def supplier_lines_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A function over all lines of each supplier."""
+    items = load(spark, sf_dir, "lineitem")
+
+    def summary(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"l_suppkey": [key[0]], **supplier_summary(rows)})
+
+    return groups.apply_groups(items, ["l_suppkey"], summary, SUPPLIER_SCHEMA, columns=SUPPLIER_COLUMNS)
+
+
+@query("supplier_lines_prepend", SUPPLIER_LINES_SQL)
+def supplier_lines_prepend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, the function returning its own columns only."""
+    items = load(spark, sf_dir, "lineitem")
+
+    def summary(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(supplier_summary(rows))
 
-    customers = load(spark, sf_dir, "customer")
-    named = groups.apply_with_context(customers, look_up, names, "nation string", columns=["c_nationkey"])
-    return named.filter(F.col("nation").isNotNull()).groupBy("nation").agg(F.count(F.lit(1)).alias("n"))
+    return groups.apply_groups(items, ["l_suppkey"], summary, SUPPLIER_SCHEMA, columns=SUPPLIER_COLUMNS, prepend_key=True)
 
 
 @F.pandas_udf(T.DoubleType())

@@ -111,6 +111,20 @@ def global_ols(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "global_ols_redundant",
+    GLOBAL_OLS_SQL + " UNION ALL SELECT 'half_quantity', NULL, NULL, NULL",
+)
+def global_ols_redundant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that another one makes up: its term is empty, the others are as without it."""
+    items = load(spark, sf_dir, "lineitem").select("l_extendedprice", "l_quantity", "l_discount")
+    table = models.ols(items.withColumn("half_quantity", F.col("l_quantity") / 2), "l_extendedprice")
+    return table.select(
+        "term", F.round("estimate", 3).alias("estimate"), F.round("std_error", 3).alias("std_error"),
+        F.round("statistic", 4).alias("statistic"),
+    )
+
+
 @query(
     "model_roundtrip",
     "SELECT COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_different, true AS predicts FROM lineitem",

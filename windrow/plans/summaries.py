@@ -71,15 +71,19 @@ def chart_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flights(spark, sf_dir).groupBy("UniqueCarrier", "DayOfWeek").agg(F.count("DepDelay").alias("delays"))
 
 
+# Return flag and line status of line items.
+CARRIERS = ("AF", "AO", "NF", "NO", "RF", "RO")
+
+
 @query(
     "pivot_count",
     'SELECT "DepDelay", '
-    + ", ".join(f"NULLIF(COUNT(*) FILTER (\"UniqueCarrier\" = '{c}'), 0) AS \"{c}\"" for c in ("AF", "AO", "NF", "NO", "RF", "RO"))
+    + ", ".join(f"NULLIF(COUNT(*) FILTER (\"UniqueCarrier\" = '{c}'), 0) AS \"{c}\"" for c in CARRIERS)
     + f' FROM ({FLIGHTS_SQL}) GROUP BY "DepDelay"',
 )
 def pivot_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Delays by carriers; the carriers are looked up, empty cells are null."""
-    return summaries.pivot_count(flights(spark, sf_dir), "DepDelay", "UniqueCarrier")
+    """Delays by carriers, which are known; empty cells are null."""
+    return summaries.pivot_count(flights(spark, sf_dir), "DepDelay", "UniqueCarrier", CARRIERS)
 
 
 @query("carrier_newcol", f"SELECT \"UniqueCarrier\", \"UniqueCarrier\" || '_new' AS newcol FROM ({FLIGHTS_SQL}) GROUP BY 1")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrow.operators.summaries import count_by_desc
-from windrow.operators.versions import VersionedTable
+from windrow.operators.history import as_changes, state_at
 from windrow.plans.inputs import TABLES, load, view_name
 from windrow.plans.registry import query
 from windrow.session import scratch_dir
@@ -77,7 +77,7 @@ def list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Format, number of files and size behind a table."""
     path = scratch_dir(spark, "detail")
-    load(spark, sf_dir, "orders").select("o_orderkey").repartition(4).write.parquet(path)
+    load(spark, sf_dir, "orders").repartition(4).write.parquet(path)
     detail = catalog.table_detail(spark, path)
     rows = readers.read_parquet(spark, path).agg(F.count(F.lit(1)).alias("n_rows"))
     return (
@@ -122,13 +122,13 @@ def partition_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("parquet_handoff", "SELECT p_size, p_type FROM part")
+@query("parquet_handoff", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
 def parquet_handoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Table, projection, parquet, read by path, versioned table, as one pipeline."""
+    """Table, parquet, read by path, table of changes, state, as one pipeline."""
     table, root = view_name("adult"), scratch_dir(spark, "handoff")
     writers.write_table(load(spark, sf_dir, "part"), table, f"{root}/table")
-    chosen = readers.read_table(spark, table).select("p_size", "p_type")
-    writers.write_parquet(chosen, f"{root}/between")
+    writers.write_parquet(readers.read_table(spark, table), f"{root}/between")
     spark.sql(f"DROP TABLE {table}")
     between = readers.read_path(spark, f"{root}/between")
-    return VersionedTable.create(spark, f"{root}/versioned", between).read()
+    writers.write_parquet(as_changes(between, "insert", 0, F.current_timestamp()), f"{root}/changes", "overwrite")
+    return state_at(readers.read_path(spark, f"{root}/changes"), ["p_partkey"])

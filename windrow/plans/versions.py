@@ -1,4 +1,4 @@
-"""Queries over tables that keep every version."""
+"""Queries over orders that keep every version, and over events as changes of their users."""
 
 from __future__ import annotations
 
@@ -7,213 +7,262 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.operators.changes import SchemaMismatch
-from windrow.operators.summaries import agg_by_name, exact_sum
-from windrow.operators.versions import PlainTable, VersionedTable, change_target, convert
-from windrow.plans.changes import MERGE_SQL, merge_source
-from windrow.plans.functions import scaled_loans
-from windrow.plans.inputs import LOANS_SQL, fraction_sql, load, loans_by_state
+from windrow.operators import history
+from windrow.operators.changes import SchemaMismatch, append_merge_schema, append_strict
+from windrow.operators.summaries import exact_sum
+from windrow.plans.inputs import load
 from windrow.plans.registry import query
 from windrow.session import scratch_dir
+from windrow.sources.writers import write_parquet
+
+KEY = ["o_orderkey"]
+
+# The walk: orders are created; five commits add copies of the orders of one priority, one those
+# of status P; cheap orders are deleted; open ones change; a batch is merged; rows with a new
+# column are appended.
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+SHIFT, CHEAP, NEW_PRICE, RAISE = 10_000_000_000, 50_000, 2700, 1000
+COMMITS = 11
+
+
+def _commit_time(version: int):
+    return F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.expr(f"INTERVAL {version} MINUTES")
+
+
+def _copies(orders: DataFrame, number: int, test) -> DataFrame:
+    return orders.where(test).withColumn("o_orderkey", F.col("o_orderkey") + number * SHIFT)
+
+
+def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The walk over all orders as one change table."""
+    orders = load(spark, sf_dir, "orders")
+    commits = [(0, "insert", orders)]
+    for number, priority in enumerate(PRIORITIES, 1):
+        commits.append((number, "insert", _copies(orders, number, F.col("o_orderpriority") == priority)))
+    commits.append((6, "insert", _copies(orders, 6, F.col("o_orderstatus") == "P")))
+    inserted = reduce(DataFrame.unionByName, [rows for _, _, rows in commits])
+    cheap = F.col("o_totalprice") < CHEAP
+    commits.append((7, "delete", inserted.where(cheap)))
+    left = inserted.where(~cheap)
+    commits.append((8, "update", left.where(F.col("o_orderstatus") == "P").withColumn("o_totalprice", F.lit(float(NEW_PRICE)))))
+    raised = orders.where(F.col("o_orderstatus") == "O").withColumn("o_totalprice", F.col("o_totalprice") + RAISE)
+    commits.append((9, "update", raised.where(F.col("o_totalprice") >= CHEAP + RAISE)))
+    commits.append((9, "insert", raised.where(F.col("o_totalprice") < CHEAP + RAISE)))
+    again = orders.where(F.col("o_orderstatus") == "F").withColumn("o_orderkey", -F.col("o_orderkey") - 1)
+    commits.append((9, "insert", again))
+    changes = reduce(
+        DataFrame.unionByName, [history.as_changes(rows, kind, v, _commit_time(v)) for v, kind, rows in commits]
+    )
+    wider = _copies(orders, 10, F.col("o_orderstatus") == "P").withColumn("amount", F.col("o_totalprice") / 2)
+    return append_merge_schema(changes, history.as_changes(wider, "insert", 10, _commit_time(10)))
 
 
-def create_loans(spark: SparkSession, sf_dir: str) -> VersionedTable:
-    return convert(loans_by_state(spark, sf_dir), scratch_dir(spark, "loans"))
+COLUMNS = "o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 
 
-def change_loans(spark: SparkSession, sf_dir: str) -> VersionedTable:
-    """The whole walk: create, six inserts, delete, update, merge, append with a new column."""
-    table = create_loans(spark, sf_dir)
-    for _ in range(6):
-        table.insert([("7", 450)])
-    table.delete_where("addr_state = '7'")
-    table.update_where("addr_state = '11'", {"count": F.lit(2700)})
-    table.merge(merge_source(spark), ["addr_state"])
-    table.append(scaled_loans(table.read()), merge_schema=True)
-    return table
+def shown(orders: DataFrame) -> DataFrame:
+    """Orders with the date as text, as the answers have it."""
+    return orders.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
 
 
-U = fraction_sql(10, "addr_state")
+NO_AMOUNT = "CAST(NULL AS DOUBLE) AS amount"
+_ADDED = " UNION ALL ".join(
+    f"SELECT o_orderkey + {n} * {SHIFT} AS o_orderkey, {COLUMNS}, {n} AS added FROM orders WHERE "
+    + (f"o_orderpriority = '{PRIORITIES[n - 1]}'" if n < 6 else "o_orderstatus = 'P'")
+    for n in range(1, 7)
+)
 
 # The walk as SQL: one relation per version.
-WALK = f"""v0 AS ({LOANS_SQL}),
-v6 AS (SELECT * FROM v0 UNION ALL SELECT '7', 450 FROM range(6)),
-v7 AS (SELECT * FROM v6 WHERE addr_state <> '7'),
-v8 AS (SELECT addr_state, CASE WHEN addr_state = '11' THEN 2700 ELSE "count" END AS "count" FROM v7),
-v9 AS (SELECT * FROM v8 WHERE addr_state NOT IN ('7', '3', '99')
-    UNION ALL SELECT addr_state, CAST("count" AS BIGINT) FROM ({MERGE_SQL})),
-v10 AS (SELECT addr_state, "count", CAST(NULL AS DOUBLE) AS amount FROM v9 UNION ALL
-    SELECT addr_state, CAST(trunc({U} * "count") AS BIGINT), {U} * 10000 * "count" FROM v9)"""
+WALK = f"""ins AS (SELECT o_orderkey, {COLUMNS}, 0 AS added FROM orders UNION ALL {_ADDED}),
+v6 AS (SELECT o_orderkey, {COLUMNS} FROM ins),
+v7 AS (SELECT * FROM v6 WHERE NOT o_totalprice < {CHEAP}),
+v8 AS (SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN {NEW_PRICE}.0 ELSE o_totalprice END
+    AS o_totalprice, o_orderdate, o_orderpriority FROM v7),
+batch AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + {RAISE} AS o_totalprice, o_orderdate, o_orderpriority
+    FROM orders WHERE o_orderstatus = 'O'
+    UNION ALL SELECT -o_orderkey - 1, {COLUMNS} FROM orders WHERE o_orderstatus = 'F'),
+v9 AS (SELECT * FROM v8 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM batch) UNION ALL SELECT * FROM batch),
+v10 AS (SELECT *, {NO_AMOUNT} FROM v9 UNION ALL
+    SELECT o_orderkey + 10 * {SHIFT}, {COLUMNS}, o_totalprice / 2 FROM orders WHERE o_orderstatus = 'P')"""
+
 
-TOTALS = 'COUNT(*) AS n_rows, COUNT(DISTINCT addr_state) AS n_keys, CAST(SUM("count") AS BIGINT) AS total'
+def _version_sql(version: int) -> str:
+    if version < 6:
+        return f"SELECT o_orderkey, {COLUMNS} FROM ins WHERE added <= {version}"
+    return f"SELECT * FROM v{version}"
 
 
-def inserts_sql(n: int) -> str:
-    return f"SELECT * FROM v0 UNION ALL SELECT '7', 450 FROM range({n})"
+# Answers show dates as text.
+SHOWN = "SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate)"
 
 
-@query("clog_read_current", LOANS_SQL)
+@query("clog_read_current", f"WITH {WALK} {SHOWN} FROM v10")
 def clog_read_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table converted to versioned form and read by its path."""
-    return VersionedTable(spark, create_loans(spark, sf_dir).root).read()
+    """The change table stored as files and read by its path: the table as it is now."""
+    path = scratch_dir(spark, "changes")
+    write_parquet(order_changes(spark, sf_dir), path)
+    return shown(history.state_at(spark.read.parquet(path), KEY))
 
 
-@query(
-    "clog_overwrite",
-    'SELECT CAST(s_nationkey AS VARCHAR) AS addr_state, COUNT(*) AS "count" FROM supplier GROUP BY 1',
-)
+@query("clog_overwrite", f"SELECT c_custkey + {SHIFT} AS o_orderkey, c_acctbal AS o_totalprice FROM customer")
 def clog_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = create_loans(spark, sf_dir)
-    suppliers = load(spark, sf_dir, "supplier")
-    table.overwrite(suppliers.groupBy(F.col("s_nationkey").cast("string").alias("addr_state")).count())
-    return table.read()
+    """Other rows in place of all: a commit that deletes every key and inserts the new rows."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    new = load(spark, sf_dir, "customer").select(
+        (F.col("c_custkey") + SHIFT).alias("o_orderkey"), F.col("c_acctbal").alias("o_totalprice")
+    )
+    first = history.as_changes(orders, "insert", 0, _commit_time(0))
+    gone = history.as_changes(history.state_at(first, KEY), "delete", 1, _commit_time(1))
+    return history.state_at(first.unionByName(gone).unionByName(history.as_changes(new, "insert", 1, _commit_time(1))), KEY)
 
 
-@query(
-    "append_strict",
-    f'SELECT true AS refused, CAST(1 AS BIGINT) AS last_version, COUNT(*) * 2 AS n_rows FROM ({LOANS_SQL})',
-)
-def append_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("append_strict", "SELECT true AS refused, CAST(1 AS BIGINT) AS last_version, COUNT(*) * 2 AS n_rows FROM orders")
+def append_strict_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with another schema are refused and make no version; fitting rows are added."""
-    loans = loans_by_state(spark, sf_dir)
-    table = create_loans(spark, sf_dir)
-    table.append(loans)
+    orders = load(spark, sf_dir, "orders")
+    changes = history.as_changes(orders, "insert", 0, _commit_time(0))
+    more = _copies(orders, 1, F.lit(True))
+    changes = append_strict(changes, history.as_changes(more, "insert", 1, _commit_time(1)))
     try:
-        table.append(scaled_loans(loans))
+        changes = append_strict(changes, history.as_changes(more.withColumn("amount", F.lit(1.0)), "insert", 2, _commit_time(2)))
         refused = False
     except SchemaMismatch:
         refused = True
-    last = VersionedTable(spark, table.root).version
-    return table.read().agg(
-        F.lit(refused).alias("refused"), F.lit(last).cast("long").alias("last_version"), F.count(F.lit(1)).alias("n_rows")
-    )
+    last = changes.agg(F.max("version").alias("last_version"))
+    rows = history.state_at(changes, KEY).agg(F.count(F.lit(1)).alias("n_rows"))
+    return last.select(F.lit(refused).alias("refused"), "last_version", F.lit(None).cast("long").alias("n_rows")).unionByName(
+        rows, allowMissingColumns=True
+    ).agg(*[F.max(c).alias(c) for c in ("refused", "last_version", "n_rows")])
 
 
 @query("reject_plain_change", "SELECT COUNT(*) AS n_rows, true AS refused FROM customer")
 def reject_plain_change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plain files take no delete or update; nothing happens to them."""
-    path = scratch_dir(spark, "plain")
-    load(spark, sf_dir, "customer").write.parquet(path)
+    """Rows that keep no versions can't be asked for an old one."""
+    customers = load(spark, sf_dir, "customer")
     try:
-        change_target(spark, path).delete_where("c_nationkey = 7")
+        history.state_at(customers, ["c_custkey"], 0)
         refused = False
-    except PlainTable:
+    except SchemaMismatch:
         refused = True
-    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"), F.lit(refused).alias("refused"))
+    return customers.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(refused).alias("refused"))
 
 
-@query("time_travel_v0", f"WITH {WALK} SELECT * FROM v0")
+@query("time_travel_v0", f"{SHOWN} FROM (SELECT o_orderkey, {COLUMNS}, {NO_AMOUNT} FROM orders)")
 def time_travel_v0(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table as it was created, with the columns it had then."""
-    return change_loans(spark, sf_dir).read(0)
+    """The table as it was created."""
+    return shown(history.state_at(order_changes(spark, sf_dir), KEY, 0))
 
 
-@query("time_travel_v9", f"WITH {WALK} SELECT * FROM v9")
+@query("time_travel_v9", f"WITH {WALK} {SHOWN}, {NO_AMOUNT} FROM v9")
 def time_travel_v9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table just before its schema grew."""
-    return change_loans(spark, sf_dir).read(9)
+    """The table just before its last commit, after deletes, updates and a merge."""
+    return shown(history.state_at(order_changes(spark, sf_dir), KEY, 9))
+
+
+# Fixed by the data: events of January 2024. Users are rows, signup to view change them, an error removes them.
+EVENT_MOMENT = "2024-01-16 00:00:00"
 
 
-@query("time_travel_ts", f"WITH {WALK} {inserts_sql(1)}")
+@query(
+    "time_travel_ts",
+    f"""WITH last AS (SELECT user_id, max(event_id) AS event_id FROM events WHERE ts <= TIMESTAMP '{EVENT_MOMENT}' GROUP BY 1)
+    SELECT e.user_id, e.value, e.props FROM events e JOIN last l ON e.event_id = l.event_id WHERE e.event_type <> 'error'""",
+)
 def time_travel_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table at the time of its second commit."""
-    table = create_loans(spark, sf_dir)
-    table.insert([("7", 450)])
-    table.insert([("7", 450)])
-    moment = table.history().filter(F.col("version") == 1).first()["committed_at"]
-    return VersionedTable(spark, table.root).read(timestamp=moment)
+    """Users as their events had left them at a moment."""
+    gone = F.col("event_type") == "error"
+    changes = load(spark, sf_dir, "events").select(
+        F.col("event_id").alias("version"),
+        F.col("ts").alias("committed_at"),
+        F.when(gone, F.lit("delete")).otherwise(F.lit("update")).alias("operation"),
+        "user_id", "value", "props",
+    )
+    return history.state_at_time(changes, ["user_id"], F.lit(EVENT_MOMENT).cast("timestamp_ntz"))
 
 
 @query(
     "clog_history",
-    f"""WITH {WALK} SELECT CAST(version AS BIGINT) AS version, operation, CAST(added AS BIGINT) AS rows_added,
-    CAST(removed AS BIGINT) AS rows_removed, CAST(live AS BIGINT) AS live_rows FROM (
-    SELECT 0 AS version, 'create' AS operation, (SELECT COUNT(*) FROM v0) AS added, 0 AS removed, (SELECT COUNT(*) FROM v0) AS live
-    UNION ALL SELECT i, 'append', 1, 0, (SELECT COUNT(*) FROM v0) + i FROM range(1, 7) AS r(i)
-    UNION ALL SELECT 7, 'delete', 0, (SELECT COUNT(*) FROM v6 WHERE addr_state = '7'), (SELECT COUNT(*) FROM v7)
-    UNION ALL SELECT 8, 'update', (SELECT COUNT(*) FROM v7 WHERE addr_state = '11'),
-        (SELECT COUNT(*) FROM v7 WHERE addr_state = '11'), (SELECT COUNT(*) FROM v8)
-    UNION ALL SELECT 9, 'merge', 3, (SELECT COUNT(*) FROM v8 WHERE addr_state IN ('7', '3', '99')), (SELECT COUNT(*) FROM v9)
-    UNION ALL SELECT 10, 'append', (SELECT COUNT(*) FROM v9), 0, (SELECT COUNT(*) FROM v10))""",
+    f"""WITH {WALK}, cheap AS (SELECT o_orderkey FROM batch WHERE o_orderkey NOT IN (SELECT o_orderkey FROM v8))
+    SELECT CAST(added AS BIGINT) AS version, COUNT(*) AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated,
+        CAST(0 AS BIGINT) AS rows_deleted FROM ins GROUP BY added
+    UNION ALL SELECT 7, 0, 0, (SELECT COUNT(*) FROM v6) - (SELECT COUNT(*) FROM v7)
+    UNION ALL SELECT 8, 0, (SELECT COUNT(*) FROM v7 WHERE o_orderstatus = 'P'), 0
+    UNION ALL SELECT 9, (SELECT COUNT(*) FROM cheap), (SELECT COUNT(*) FROM batch) - (SELECT COUNT(*) FROM cheap), 0
+    UNION ALL SELECT 10, (SELECT COUNT(*) FROM v10) - (SELECT COUNT(*) FROM v9), 0, 0""",
 )
 def clog_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per commit, newest first."""
-    history = change_loans(spark, sf_dir).history()
-    return history.select("version", "operation", "rows_added", "rows_removed", "live_rows")
+    """One row per commit."""
+    return history.history_of(order_changes(spark, sf_dir)).drop("committed_at")
 
 
 @query(
     "clog_changes",
     f"""WITH {WALK}
-    SELECT addr_state, "count", 'delete' AS change, CAST(7 AS BIGINT) AS commit FROM v6 WHERE addr_state = '7'
-    UNION ALL SELECT addr_state, "count", 'update_before', 8 FROM v7 WHERE addr_state = '11'
-    UNION ALL SELECT addr_state, "count", 'update_after', 8 FROM v8 WHERE addr_state = '11'
-    UNION ALL SELECT addr_state, "count", 'update_before', 9 FROM v8 WHERE addr_state IN ('7', '3', '99')
-    UNION ALL SELECT addr_state, CAST("count" AS BIGINT),
-        CASE WHEN addr_state IN (SELECT addr_state FROM v8) THEN 'update_after' ELSE 'insert' END, 9 FROM ({MERGE_SQL})""",
+    SELECT CAST(7 AS BIGINT) AS version, 'delete' AS change, o_orderkey, o_totalprice FROM v6 WHERE o_totalprice < {CHEAP}
+    UNION ALL SELECT 8, 'update_before', o_orderkey, o_totalprice FROM v7 WHERE o_orderstatus = 'P'
+    UNION ALL SELECT 8, 'update_after', o_orderkey, o_totalprice FROM v8 WHERE o_orderstatus = 'P'
+    UNION ALL SELECT 9, 'update_before', o_orderkey, o_totalprice FROM v8 WHERE o_orderkey IN (SELECT o_orderkey FROM batch)
+    UNION ALL SELECT 9, CASE WHEN o_orderkey IN (SELECT o_orderkey FROM v8) THEN 'update_after' ELSE 'insert' END,
+        o_orderkey, o_totalprice FROM batch""",
 )
 def clog_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the delete, the update and the merge did, row by row."""
-    changes = change_loans(spark, sf_dir).changes(6, 9)
-    return changes.withColumnsRenamed({"_change": "change", "_commit": "commit"})
+    changes = history.changes_between(order_changes(spark, sf_dir), KEY, 6, 9)
+    return changes.select("version", "change", "o_orderkey", "o_totalprice")
 
 
-@query("clog_rollback", f"WITH {WALK} SELECT * FROM v6")
+@query("clog_rollback", f"WITH {WALK} {SHOWN}, {NO_AMOUNT} FROM v6")
 def clog_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Back to the state before the delete, as a new version."""
-    table = change_loans(spark, sf_dir)
-    table.rollback(6)
-    return VersionedTable(spark, table.root).read()
+    changes = order_changes(spark, sf_dir)
+    back = history.rollback_changes(changes, KEY, 6, COMMITS, _commit_time(COMMITS))
+    return shown(history.state_at(changes.unionByName(back), KEY))
 
 
-@query("report_at_version", f"WITH {WALK} SELECT addr_state, CAST(SUM(\"count\") AS BIGINT) AS loans FROM v6 GROUP BY 1")
+@query(
+    "report_at_version",
+    f"WITH {WALK} SELECT o_orderpriority, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM v7 GROUP BY 1",
+)
 def report_at_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An old report from the version it was made of."""
-    old = change_loans(spark, sf_dir).read(6)
-    return agg_by_name(old, ["addr_state"], {"count": "sum"}, {"count": "loans"})
+    old = history.state_at(order_changes(spark, sf_dir), KEY, 7)
+    return old.groupBy("o_orderpriority").agg(exact_sum("o_totalprice").alias("total"))
 
 
 @query(
     "clog_full_chain",
     f"WITH {WALK} "
     + " UNION ALL ".join(
-        f"SELECT CAST({v} AS BIGINT) AS version, {TOTALS}, "
-        + ("CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE)" if v == 10 else "CAST(NULL AS DOUBLE)")
-        + " AS amount FROM ("
-        + (inserts_sql(v) if 1 <= v <= 5 else f"SELECT * FROM v{v}")
-        + ")"
-        for v in range(11)
+        f"SELECT CAST({v} AS BIGINT) AS version, COUNT(*) AS n_rows, COUNT(DISTINCT o_custkey) AS n_customers, "
+        f"CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM ({_version_sql(v)})"
+        for v in range(COMMITS)
     ),
 )
 def clog_full_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals at every version of the walk."""
-    table = change_loans(spark, sf_dir)
-    reports = []
-    for version in range(table.version + 1):
-        state = table.read(version)
-        amount = exact_sum("amount") if "amount" in state.columns else F.lit(None).cast("double")
-        reports.append(
-            state.agg(
-                F.lit(version).cast("long").alias("version"),
-                F.count(F.lit(1)).alias("n_rows"),
-                F.count_distinct("addr_state").alias("n_keys"),
-                F.sum("count").alias("total"),
-                amount.alias("amount"),
-            )
-        )
-    return reduce(DataFrame.unionByName, reports)
+    """Totals at every version of the walk, from one pass over the rows and their validity."""
+    ranges = history.valid_ranges(order_changes(spark, sf_dir), KEY)
+    last = F.coalesce(F.col("until"), F.lit(COMMITS).cast("long")) - 1
+    valid = ranges.select("o_custkey", "o_totalprice", F.explode(F.sequence("version", last)).alias("version"))
+    return valid.groupBy("version").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("o_custkey").alias("n_customers"),
+        exact_sum("o_totalprice").alias("total"),
+    )
 
 
 @query(
     "versioned_orders",
-    """SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'P' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
-    o_orderstatus FROM orders WHERE NOT o_totalprice < 50000""",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN o_totalprice + 1 ELSE o_totalprice END
+    AS o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders WHERE NOT o_totalprice < 50000""",
 )
 def versioned_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A large table through delete, update and compaction."""
-    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
-    table = convert(orders, scratch_dir(spark, "orders"))
-    table.delete_where("o_totalprice < 50000")
-    table.update_where("o_orderstatus = 'P'", {"o_totalprice": F.col("o_totalprice") + 1})
-    table.compact()
-    return table.read()
+    """A large table through delete and update, each commit made from the state before it."""
+    orders = load(spark, sf_dir, "orders")
+    changes = history.as_changes(orders, "insert", 0, _commit_time(0))
+    cheap = history.state_at(changes, KEY).where(F.col("o_totalprice") < 50_000)
+    changes = changes.unionByName(history.as_changes(cheap, "delete", 1, _commit_time(1)))
+    path = scratch_dir(spark, "changes")
+    write_parquet(changes, path)
+    changes = spark.read.parquet(path)
+    dearer = history.state_at(changes, KEY).where(F.col("o_orderstatus") == "P").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    return shown(history.state_at(changes.unionByName(history.as_changes(dearer, "update", 2, _commit_time(2))), KEY))

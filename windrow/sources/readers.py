@@ -64,8 +64,9 @@ def read_csv_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("csv").load(path)
 
 
-def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
-    return spark.read.parquet(*paths)
+def read_parquet(spark: SparkSession, *paths: str, merge_schema: bool = False) -> DataFrame:
+    """Parquet files. ``merge_schema`` gives the columns of all files, where they differ."""
+    return spark.read.option("mergeSchema", merge_schema).parquet(*paths)
 
 
 def read_orc(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,12 +37,33 @@ def create_table_as(spark: SparkSession, name: str, path: str, query: str, sourc
     return spark.table(name)
 
 
-def compact_files(spark: SparkSession, path: str, target: str, file_bytes: int = 128 * 1024 * 1024) -> None:
+def compact_files(
+    spark: SparkSession,
+    path: str,
+    target: str,
+    file_bytes: int = 128 * 1024 * 1024,
+    partition_by: Sequence[str] | None = None,
+) -> DataFrame:
     """Copy a parquet folder of many small files into few files of about ``file_bytes``.
 
-    The scan already packs small files into tasks; ``coalesce`` joins those tasks
-    without a shuffle, so no row crosses the network.
+    Files with other columns are merged: a column that a file lacks is null for its rows.
+    Partition folders (``column=value``) stay; they are found in the file names, or given in
+    ``partition_by``. The scan already packs small files into tasks; ``coalesce`` joins those
+    tasks without a shuffle. Returns the copy, after a check of its rows and columns.
     """
-    size = list_files(spark, path).agg(F.sum("size_bytes")).first()[0] or 0
-    files = max(1, -(-size // file_bytes))
-    spark.read.parquet(path).coalesce(files).write.parquet(target)
+    source_path, target_path = path.rstrip("/") + "/", target.rstrip("/") + "/"
+    if target_path.startswith(source_path) or source_path.startswith(target_path):
+        raise ValueError(f"{target} and {path} lie in one another")
+    files = list_files(spark, path)
+    size, first = files.agg(F.sum("size_bytes"), F.min("file_path")).first()
+    rows = spark.read.option("mergeSchema", True).parquet(path)
+    if partition_by is None:
+        inner = (first or "").rpartition(source_path.lstrip("/").split(":/")[-1].lstrip("/"))[2]
+        folders = [part.split("=", 1)[0] for part in inner.split("/")[:-1] if "=" in part]
+        partition_by = [c for c in rows.columns if c in folders]
+    packed = rows.coalesce(max(1, -(-(size or 0) // file_bytes)))
+    packed.write.partitionBy(*partition_by).parquet(target)
+    copy = spark.read.schema(rows.schema).parquet(target)
+    if copy.count() != rows.count() or set(spark.read.parquet(target).columns) != set(rows.columns):
+        raise RuntimeError(f"the copy in {target} has other rows or columns than {path}")
+    return copy

@@ -12,7 +12,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from windrow.streaming.folders import names_in, remove_folder
 
 
 def running_sum(stream: DataFrame, key: str, value: str, name: str) -> DataFrame:
@@ -38,30 +40,59 @@ def run_available(
         query.stop()
 
 
-def refresh_result(df: DataFrame, path: str, checkpoint: str, timeout: int | None = None) -> DataFrame:
-    """Bring a running aggregate up to date and return its complete result."""
+def start_running(
+    df: DataFrame, path: str, checkpoint: str, interval: str = "10 seconds", mode: str = "complete"
+) -> StreamingQuery:
+    """Keep results up to date while rows arrive, until the caller stops the query returned."""
+    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(processingTime=interval)
+    return writer.foreachBatch(_into(path, 2 if mode == "complete" else None)).start()
+
+
+def _number(name: str) -> int:
+    return int(name.removeprefix("batch="))
+
+
+def _into(path: str, kept: int | None) -> Callable[[DataFrame, int], None]:
+    """Writes each batch into the folder of its number; of complete results, only the last are kept."""
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        if kept:
+            spark = batch.sparkSession
+            for name in names_in(spark, path):
+                if name.startswith("batch=") and _number(name) <= number - kept:
+                    remove_folder(spark, f"{path}/{name}")
 
-    run_available(df, checkpoint, write, "complete", timeout)
-    return latest_result(df.sparkSession, path, df.schema)
+    return write
 
 
-def latest_result(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The result as of the last batch written."""
-    full = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    results = spark.read.schema(full).parquet(path)
-    last = results.agg(F.max("batch")).first()[0]
-    return results.filter(F.col("batch") == (-1 if last is None else last)).drop("batch")
+def refresh_result(df: DataFrame, path: str, checkpoint: str, timeout: int | None = None) -> DataFrame:
+    """Bring a running aggregate up to date and return its complete result.
+
+    What this returned before stays readable until the next call; older results are removed.
+    """
+    spark = df.sparkSession
+    had = [name for name in names_in(spark, path) if name.startswith("batch=")]
+    run_available(df, checkpoint, _into(path, None), "complete", timeout)
+    names = sorted((n for n in names_in(spark, path) if n.startswith("batch=")), key=_number)
+    before = max(had, key=_number, default=None)
+    for name in names[:-1]:
+        if name != before:
+            remove_folder(spark, f"{path}/{name}")
+    return latest_result(df, path)
+
+
+def latest_result(df: DataFrame, path: str) -> DataFrame:
+    """The result of the last batch written; no rows where there is none."""
+    names = [name for name in names_in(df.sparkSession, path) if name.startswith("batch=")]
+    if not names:
+        return df.sparkSession.createDataFrame([], df.schema)
+    return df.sparkSession.read.schema(df.schema).parquet(f"{path}/{max(names, key=_number)}")
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str, timeout: int | None = None) -> DataFrame:
     """Write a stream's rows to files, every row once, and return what is written."""
 
-    def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
-
-    run_available(df, checkpoint, write, "append", timeout)
+    run_available(df, checkpoint, _into(path, None), "append", timeout)
     schema = df.schema
     return df.sparkSession.read.schema(schema).option("basePath", path).parquet(path).select(*schema.names)
