@@ -33,6 +33,7 @@ from windrow.session import scratch_dir
 VERSION = "WARC/1.1"
 END = "\r\n\r\n"
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+NUMBERS = ("WARC-Page-ID", "WARC-Payload-Length", "WARC-Refers-To-Page")
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 RECORD = "id long, url string, type string, digest string, payload_bytes long, refers_to long, payload binary"
@@ -86,35 +87,62 @@ def _fields(head: bytes) -> dict[str, str]:
     return dict(line.split(": ", 1) for line in lines[1:])
 
 
+class Bytes:
+    """The bytes of archives whose pieces, cut at every blank pair, come in order.
+
+    Every piece is taken to have been followed by a blank pair. That is one too many after the
+    last piece of a file, so stray line ends before a record are skipped.
+    """
+
+    def __init__(self, pieces: Iterator[bytes]):
+        self.pieces, self.held = pieces, b""
+
+    def fill(self, size: int) -> None:
+        """Hold at least ``size`` bytes, or all that are left."""
+        parts, have = [self.held], len(self.held)
+        while have < size and (piece := next(self.pieces, None)) is not None:
+            parts += [piece, END.encode()]
+            have += len(piece) + len(END)
+        self.held = b"".join(parts)
+
+    def take(self, size: int) -> bytes:
+        self.fill(size)
+        if len(self.held) < size:
+            raise ValueError("an archive ends within a record")
+        taken, self.held = self.held[:size], self.held[size:]
+        return taken
+
+    def head(self) -> bytes | None:
+        """The header lines of the next record; None at the end."""
+        self.held = self.held.lstrip(b"\r\n")
+        while not self.held:
+            self.fill(1)
+            if not self.held:
+                return None
+            self.held = self.held.lstrip(b"\r\n")
+        while END.encode() not in self.held:
+            have = len(self.held)
+            self.fill(have + 1)
+            if len(self.held) == have:
+                raise ValueError("an archive ends within a header")
+        head, _, self.held = self.held.partition(END.encode())
+        return head
+
+
 def records_of(pieces: Iterator[bytes], payloads: bool) -> Iterator[tuple]:
-    """Records of a stream that was cut at every blank pair, the pieces in order."""
-    end = END.encode()
-    for head in pieces:
+    """Records of archives that were cut at every blank pair, the pieces in order."""
+    stream = Bytes(pieces)
+    while (head := stream.head()) is not None:
         fields = _fields(head)
-        length, body = int(fields["Content-Length"]), []
-        have = -len(end)
-        # The piece that ends the record is followed by its blank pair: at least one, maybe empty.
-        while have < length:
-            piece = next(pieces, None)
-            if piece is None:
-                raise ValueError("an archive ends within a record")
-            body.append(piece)
-            have += len(end) + len(piece)
-        payload = end.join(body)
-        if len(payload) > length:
-            # A payload's last bytes and the blank pair after it were cut one line end early.
-            following = payload[length:]
-            payload = payload[:length]
-            if following != b"\r\n":
-                raise ValueError("a record is longer than it says")
-        number = lambda name: int(fields[name]) if name in fields else None
+        payload = stream.take(int(fields["Content-Length"]))
+        number = {name: int(fields[name]) for name in NUMBERS if name in fields}
         yield (
-            number("WARC-Page-ID"),
+            number.get("WARC-Page-ID"),
             fields.get("WARC-Target-URI"),
             fields["WARC-Type"],
             fields["WARC-Payload-Digest"].removeprefix("sha1:"),
-            number("WARC-Payload-Length"),
-            number("WARC-Refers-To-Page"),
+            number.get("WARC-Payload-Length"),
+            number.get("WARC-Refers-To-Page"),
             payload if payloads else None,
         )
 
