@@ -291,24 +291,25 @@ def bucket_links(group: list[tuple]) -> tuple[list[tuple], list[tuple]]:
     Rows are path, a, b, side, node, copies, paths, set.
     """
     path, a, b = group[0][:3]
-    sides = np.array([r[3] for r in group])
-    copies = np.array([r[5] for r in group], np.int64)
-    sets = [np.frombuffer(r[7], np.uint64) for r in group]
-    sizes = np.array([len(s) for s in sets], np.int64)
-    both = shared_counts(sets)
-    # Jaccard of 4/5 or more, in whole numbers: 5 * both >= 4 * (the rest of the union and both).
-    linked = 5 * both >= 4 * (sizes[:, None] + sizes[None, :] - both)
-    linked &= _pairs_allowed(a, b, sides)
-    # A pair counts in the first bucket that both are in.
+    # A pair counts in the first bucket that both are in; most pairs of close groups have met before.
+    first_here = _pairs_allowed(a, b, np.array([r[3] for r in group]))
     earlier = {p: i for i, p in enumerate(sorted({p for r in group for p in r[6] if p < path}))}
     if earlier:
         met = np.zeros((len(group), len(earlier)), np.float32)
         for i, r in enumerate(group):
             met[i, [earlier[p] for p in r[6] if p < path]] = 1
-        first_here = linked & ~(met @ met.T > 0)
-    else:
-        first_here = linked
-    counts = first_here @ copies
+        first_here &= ~(met @ met.T > 0)
+    fresh = np.flatnonzero(first_here.any(axis=1))
+    if not len(fresh):
+        return [], []
+    group, first_here = [group[i] for i in fresh.tolist()], first_here[np.ix_(fresh, fresh)]
+    copies = np.array([r[5] for r in group], np.int64)
+    sets = [np.frombuffer(r[7], np.uint64) for r in group]
+    sizes = np.array([len(s) for s in sets], np.int64)
+    both = shared_counts(sets)
+    # Jaccard of 4/5 or more, in whole numbers: 5 * both >= 4 * (the rest of the union and both).
+    linked = (5 * both >= 4 * (sizes[:, None] + sizes[None, :] - both)) & first_here
+    counts = linked @ copies
     degrees = [(group[i][4], int(counts[i])) for i in np.flatnonzero(counts).tolist()]
     # A spanning forest: members reached from the smallest node not yet reached.
     joins, nodes = [], np.array([r[4] for r in group])
