@@ -24,6 +24,7 @@ it is compared in blocks, each pair of blocks a task of its own.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -285,25 +286,47 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def bucket_links(group: list[tuple]) -> tuple[list[tuple], list[tuple]]:
-    """Of one pair of blocks: documents linked to each member, and links that join the members.
+def first_meetings(group: list[tuple]) -> np.ndarray:
+    """Pairs of a pair of blocks that are in no earlier bucket together.
 
-    Rows are path, a, b, side, node, copies, paths, set.
+    Rows begin with path, a, b, side, node, paths. Most pairs of a close group have met before.
     """
     path, a, b = group[0][:3]
-    # A pair counts in the first bucket that both are in; most pairs of close groups have met before.
     first_here = _pairs_allowed(a, b, np.array([r[3] for r in group]))
-    earlier = {p: i for i, p in enumerate(sorted({p for r in group for p in r[6] if p < path}))}
+    earlier = {p: i for i, p in enumerate(sorted({p for r in group for p in r[5] if p < path}))}
     if earlier:
         met = np.zeros((len(group), len(earlier)), np.float32)
         for i, r in enumerate(group):
-            met[i, [earlier[p] for p in r[6] if p < path]] = 1
+            met[i, [earlier[p] for p in r[5] if p < path]] = 1
         first_here &= ~(met @ met.T > 0)
-    fresh = np.flatnonzero(first_here.any(axis=1))
-    if not len(fresh):
-        return [], []
-    group, first_here = [group[i] for i in fresh.tolist()], first_here[np.ix_(fresh, fresh)]
-    copies = np.array([r[5] for r in group], np.int64)
+    return first_here
+
+
+def with_first_meetings(rows: DataFrame) -> DataFrame:
+    """The rows of ``path, block, side, node, paths`` that meet some node first in that bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
+        for group in _groups(batches, 3):
+            if len(group) > 1:
+                found = np.flatnonzero(first_meetings(group).any(axis=1)).tolist()
+                if found:
+                    columns = zip(*(group[i] for i in found))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    names = ["path", "a", "b", "side", "node", "paths"]
+    schema = "path long, a int, b int, side int, node long, paths array<long>"
+    met = in_batches(_dealt(rows, "paths"), run, schema)
+    return met.withColumn("block", F.struct("a", "b")).drop("a", "b")
+
+
+def bucket_links(group: list[tuple]) -> tuple[list[tuple], list[tuple]]:
+    """Of one pair of blocks: documents linked to each member, and links that join the members.
+
+    Rows are path, a, b, side, node, paths, copies, set.
+    """
+    first_here = first_meetings(group)
+    copies = np.array([r[6] for r in group], np.int64)
     sets = [np.frombuffer(r[7], np.uint64) for r in group]
     sizes = np.array([len(s) for s in sets], np.int64)
     both = shared_counts(sets)
@@ -331,22 +354,23 @@ def links(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """``node, other, n``: counts of linked documents (``other`` null) and joining links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
         for group in _groups(batches, 3):
-            if len(group) < 2:
-                continue
-            degrees, joins = bucket_links(group)
-            node = [n for n, _ in degrees] + [n for n, _ in joins]
-            other = [None] * len(degrees) + [o for _, o in joins]
-            n = [c for _, c in degrees] + [0] * len(joins)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(node, pa.int64()), pa.array(other, pa.int64()), pa.array(n, pa.int64())], ["node", "other", "n"]
-            )
+            if len(group) > 1:
+                degrees, joins = bucket_links(group)
+                counts.update(dict(degrees))
+                if joins:
+                    yield batch_of([n for n, _ in joins], [o for _, o in joins], [0] * len(joins))
+        yield batch_of(list(counts), [None] * len(counts), list(counts.values()))
+
+    def batch_of(*columns: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["node", "other", "n"])
 
     paths = rows.groupBy(F.struct("node").alias("key")).agg(F.array_sort(F.collect_list("path")).alias("paths"))
     sizes = rows.groupBy(F.struct("path").alias("key")).agg(F.count("*").alias("size"))
     sized = rows.join(sizes.select("key.path", "size"), "path")
-    whole = with_blocks(sized).join(paths.select("key.node", "paths"), "node").join(sets, "node")
-    return in_batches(_dealt(whole, "copies", "paths", "tokens"), run, "node long, other long, n long")
+    met = with_first_meetings(with_blocks(sized).join(paths.select("key.node", "paths"), "node"))
+    return in_batches(_dealt(met.join(sets, "node"), "paths", "copies", "tokens"), run, "node long, other long, n long")
 
 
 def node_sets(docs: DataFrame, members: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
