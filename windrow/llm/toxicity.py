@@ -5,7 +5,9 @@ count; the mass taken off goes to a Kneser-Ney model of lower order whose contin
 are those of both classes together, so that an expression rare in either class tells nothing.
 The log-likelihood ratio per letter, toxic against ordinary, is averaged over every stretch of
 a few letters, and the largest average decides: an insult in a long text weighs as much as in a
-short one. A logistic curve turns it into a score.
+short one. A gram that neither class has seen leaves both to the shared model and counts as 0;
+how much mass each class has left for it only tells how much text it had. A logistic curve
+turns the average into a score.
 
 Counts come from every labelled text of the training folds and are gathered by Spark; the model
 that travels to the tasks has a fixed number of buckets. The curve is fitted on a bounded
@@ -58,16 +60,14 @@ def letters_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return table[raw], np.stack([firsts, firsts + sizes], axis=1)
 
 
-def gram_codes(letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the gram that begins at each place, and of its context, the gram without its end."""
+def gram_codes(letters: np.ndarray) -> np.ndarray:
+    """Hashes of the gram that begins at each place."""
     n = max(0, len(letters) - ORDER + 1)
     code = np.zeros(n, np.uint64)
-    context = code
     for k in range(ORDER):
-        context = code
         code = (code + letters[k : k + n] + np.uint64(1)) * _MIX
         code ^= code >> np.uint64(29)
-    return code, context
+    return code
 
 
 def buckets(codes: np.ndarray) -> np.ndarray:
@@ -81,7 +81,7 @@ def gram_counts(rows: DataFrame, text: str, toxic: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             letters, spans = letters_of(batch.column(0).to_pylist())
-            codes, _ = gram_codes(letters)
+            codes = gram_codes(letters)
             label = np.repeat(np.asarray(batch.column(1)).astype(np.int64), spans[:, 1] - spans[:, 0])
             at = np.concatenate([np.arange(a, b) for a, b in spans]) if len(spans) else np.zeros(0, np.int64)
             _, first, kind = np.unique(codes[at], return_index=True, return_inverse=True)
@@ -127,8 +127,8 @@ def _kept_mass(kinds: Column, total: Column) -> Column:
     return F.when(total > 0, DISCOUNT * kinds / total).otherwise(1.0)
 
 
-def likelihood_ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Log ratios of seen grams (``gram, weight, ratio``) and, after a context, of unseen ones."""
+def likelihood_ratios(grams: DataFrame) -> DataFrame:
+    """Log ratio of every gram that a class has seen: ``gram, weight, ratio``."""
     context = F.substring("gram", 1, ORDER - 1)
     per = grams.groupBy(context.alias("context")).agg(
         *(F.sum(c).alias(f"{c}_all") for c in ("toxic", "ordinary")),
@@ -142,47 +142,35 @@ def likelihood_ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
         own = F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.greatest(F.col(f"{c}_all"), F.lit(1))
         return own + left[c] * F.col("p")
 
-    seen = joined.join(below, "ending").select(
+    return joined.join(below, "ending").select(
         "gram",
         (F.col("toxic") + F.col("ordinary")).alias("weight"),
         (F.log(chance("toxic")) - F.log(chance("ordinary"))).alias("ratio"),
     )
-    weight = F.col("toxic_all") + F.col("ordinary_all")
-    unseen = per.select(
-        "context", weight.alias("weight"), (F.log(left["toxic"]) - F.log(left["ordinary"])).alias("ratio")
-    )
-    return seen, unseen
 
 
-def bucketed(rows: DataFrame, gram: str) -> np.ndarray:
-    """Mean ratio per bucket, NaN where no gram falls: ``2 ** BITS`` numbers, whatever the corpus."""
+def bucketed(rows: DataFrame) -> np.ndarray:
+    """Mean ratio per bucket, 0 where no gram falls: ``2 ** BITS`` numbers, whatever the corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            grams = batch.column(0).to_pylist()
-            # A context is coded as the beginning of a gram.
-            raw = "".join(g.ljust(ORDER) for g in grams).encode("utf-32-le")
-            letters = np.frombuffer(raw, "<u4")
-            codes, contexts = gram_codes(letters)
-            chosen = (codes if gram == "gram" else contexts)[::ORDER]
+            raw = "".join(batch.column(0).to_pylist()).encode("utf-32-le")
+            chosen = gram_codes(np.frombuffer(raw, "<u4"))[::ORDER]
             weight = np.asarray(batch.column(1)).astype(float)
             total = pa.array(np.asarray(batch.column(2)) * weight)
             yield pa.RecordBatch.from_arrays([pa.array(buckets(chosen)), pa.array(weight), total], ["b", "w", "s"])
 
-    found = in_batches(rows.select(gram, "weight", "ratio"), run, "b long, w double, s double")
+    found = in_batches(rows.select("gram", "weight", "ratio"), run, "b long, w double, s double")
     frame = found.groupBy("b").agg((F.sum("s") / F.sum("w")).cast("float").alias("ratio")).toPandas()
-    table = np.full(1 << BITS, np.nan, np.float32)
+    table = np.zeros(1 << BITS, np.float32)
     table[frame["b"]] = frame["ratio"]
     return table
 
 
-def stretch_ratio(texts: list[str | None], seen: np.ndarray, unseen: np.ndarray) -> list[float]:
+def stretch_ratio(texts: list[str | None], table: np.ndarray) -> list[float]:
     """The largest mean log ratio over the stretches of each text."""
     letters, spans = letters_of(texts)
-    codes, contexts = gram_codes(letters)
-    ratio = seen[buckets(codes)]
-    lost = np.flatnonzero(np.isnan(ratio))
-    ratio[lost] = np.nan_to_num(unseen[buckets(contexts[lost])])
+    ratio = table[buckets(gram_codes(letters))]
     sums = np.concatenate([[0.0], np.cumsum(ratio, dtype=np.float64)])
     best = []
     for first, last in spans.tolist():
@@ -208,16 +196,16 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def score_texts(docs: DataFrame, model: tuple | None, keep: list[str], text: str = "text") -> DataFrame:
     """The columns to keep, with ``ratio`` and ``score``."""
-    seen, unseen, slope, start = model or (None, None, 0.0, 0.0)
-    sent = docs.sparkSession.sparkContext.broadcast((seen, unseen))
+    table, slope, start = model or (None, 0.0, 0.0)
+    sent = docs.sparkSession.sparkContext.broadcast(table)
     names = [*keep, "ratio", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, unseen = sent.value
+        table = sent.value
         for batch in batches:
             texts = batch.column(len(keep)).to_pylist()
-            ratio = np.array(stretch_ratio(texts, seen, unseen) if seen is not None else [0.0] * len(texts))
-            score = 1 / (1 + np.exp(-np.clip(slope * ratio + start, -500, 500))) if seen is not None else ratio
+            ratio = np.array([0.0] * len(texts) if table is None else stretch_ratio(texts, table))
+            score = ratio if table is None else 1 / (1 + np.exp(-np.clip(slope * ratio + start, -500, 500)))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(ratio), pa.array(score)], names)
 
     kinds = dict(docs.dtypes)
@@ -226,17 +214,16 @@ def score_texts(docs: DataFrame, model: tuple | None, keep: list[str], text: str
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic"):
-    """Model from labelled documents: two bucket tables and the curve; None without both classes."""
+    """Model from labelled documents: a table of ratios and the curve; None without both classes."""
     given = labels.where(F.col(toxic).isNotNull()).select(F.col(doc_id).alias("id"), F.col(toxic).cast("int").alias("toxic"))
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     grams = written(gram_counts(texts.join(given, "id"), "text", "toxic"), "grams")
-    seen, unseen = likelihood_ratios(grams)
-    tables = bucketed(seen, "gram"), bucketed(unseen, "context")
+    table = bucketed(likelihood_ratios(grams))
     sample = given.orderBy(F.xxhash64("id"), "id", "toxic").limit(SAMPLE)
-    scored = score_texts(texts.join(F.broadcast(sample), "id"), (*tables, 1.0, 0.0), ["toxic"]).toPandas()
+    scored = score_texts(texts.join(F.broadcast(sample), "id"), (table, 1.0, 0.0), ["toxic"]).toPandas()
     if scored["toxic"].nunique() < 2:
         return None
-    return *tables, *fit_curve(scored["ratio"].to_numpy(), scored["toxic"].to_numpy(float))
+    return table, *fit_curve(scored["ratio"].to_numpy(), scored["toxic"].to_numpy(float))
 
 
 @query("op7_kneser_ney_toxicity")
