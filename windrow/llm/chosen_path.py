@@ -41,7 +41,7 @@ from windrow.llm.registry import query
 WORDS, LEAST, RECALL = 5, 0.8, 0.995
 
 #: Minhashes of a signature; levels of every run; nodes compared in one task; extra levels.
-COORDINATES, LEVELS, SMALL, SPLITS = 128, 2, 256, 2
+COORDINATES, LEVELS, SMALL, SPLITS = 128, 2, 2048, 2
 
 #: Children of a node at an extra split, times what a pair of the least similarity needs.
 WIDER = 2.0
@@ -57,16 +57,32 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def first_coordinates(runs: int) -> list[list[int]]:
+    """The coordinates each run begins with, taken in turn from a shuffled list: two in every fourth
+    run and one in the others, ``1 / LEAST`` on average."""
+    order = np.argsort(mixed(np.arange(1, COORDINATES + 1, dtype=np.uint64)), kind="stable").tolist()
+    chosen, at = [], 0
+    for run in range(runs):
+        size = 2 if run % 4 == 0 else 1
+        chosen.append([order[(at + k) % COORDINATES] for k in range(size)])
+        at += size
+    return chosen
+
+
 def runs_needed(recall: float = RECALL) -> int:
     """Runs until a pair of the least similarity has met with this probability.
 
-    A pair shares one sampled token on average at each level, which is the branching process
-    whose chance to live on is 1 - exp(-chance one level further down).
+    After the first coordinates, a pair shares one sampled token on average at each level, which is
+    the branching process whose chance to live on is 1 - exp(-chance one level further down).
     """
-    chance = 1 - math.exp(-WIDER * (1 - math.exp(-WIDER)))
-    for _ in range(LEVELS):
-        chance = 1 - math.exp(-chance)
-    return math.ceil(math.log(1 - recall) / math.log(1 - chance))
+    chance = 1.0
+    for level in range(LEVELS - 1 + SPLITS, 0, -1):
+        chance = 1 - math.exp(-(WIDER if level >= LEVELS else 1.0) * chance)
+    missed, runs = 1.0, 0
+    while missed > 1 - recall:
+        missed *= (1 - LEAST * chance) ** (2 if runs % 4 == 0 else 1)
+        runs += 1
+    return runs
 
 
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -131,8 +147,13 @@ def sampled(paths: np.ndarray, width: float) -> np.ndarray:
 def children(paths: np.ndarray, signatures: np.ndarray, width: float) -> tuple[np.ndarray, np.ndarray]:
     """Rows of the given arrays that go on, and the paths of their children."""
     row, coordinate = np.nonzero(sampled(paths, width))
-    token = signatures[row, coordinate].astype(np.uint64) + (coordinate.astype(np.uint64) << np.uint64(32))
-    return row, mixed(paths[row] * _MIX + mixed(token + _MIX))
+    return row, _named(paths[row], coordinate, signatures[row, coordinate])
+
+
+def _named(paths: np.ndarray, coordinate: np.ndarray | int, values: np.ndarray) -> np.ndarray:
+    """Paths of the children reached by a coordinate and the minhash there."""
+    token = values.astype(np.uint64) + (np.asarray(coordinate).astype(np.uint64) << np.uint64(32))
+    return mixed(paths * _MIX + mixed(token + _MIX))
 
 
 def _signatures(column: pa.Array) -> np.ndarray:
@@ -145,9 +166,12 @@ def walks(nodes: DataFrame, runs: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             number, signatures = np.asarray(batch.column(0)), _signatures(batch.column(1))
-            for start in mixed(np.arange(1, runs + 1, dtype=np.uint64)):
-                rows, paths = np.arange(len(number)), np.full(len(number), start)
-                for _ in range(LEVELS):
+            starts = mixed(np.arange(1, runs + 1, dtype=np.uint64))
+            for start, coordinates in zip(starts, first_coordinates(runs)):
+                rows = np.tile(np.arange(len(number)), len(coordinates))
+                begun = np.full(len(number), start)
+                paths = np.concatenate([_named(begun, c, signatures[:, c]) for c in coordinates])
+                for _ in range(LEVELS - 1):
                     row, paths = children(paths, signatures[rows], 1.0)
                     rows = rows[row]
                 yield pa.RecordBatch.from_arrays(
