@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 from typing import TypeVar
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +53,19 @@ def in_batches(
     return rows.mapInArrow(fn, schema)
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut into runs of rows whose values of a text column have about ``size`` bytes at most."""
+    for batch in batches:
+        start, have = 0, 0
+        for row, length in enumerate(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()):
+            if row > start and have + length > size:
+                yield batch.slice(start, row - start)
+                start, have = row, 0
+            have += length
+        if batch.num_rows > start:
+            yield batch.slice(start)
+
+
 def written(rows: DataFrame, label: str) -> DataFrame:
     """Write rows to the shared folder and read them back: lineage ends here, work is done once."""
     folder = scratch_dir(rows.sparkSession, label)

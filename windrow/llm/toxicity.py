@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm.common import fold_of, in_batches, kept, load, written
+from windrow.llm.common import fold_of, in_batches, kept, load, slices, written
 from windrow.llm.registry import query
 
 #: Letters of a gram, letters of a stretch, absolute discount.
@@ -79,7 +79,7 @@ def gram_counts(rows: DataFrame, text: str, toxic: str) -> DataFrame:
     names = ["gram", "toxic", "ordinary"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 0, 3 << 20):
             letters, spans = letters_of(batch.column(0).to_pylist())
             codes = gram_codes(letters)
             label = np.repeat(np.asarray(batch.column(1)).astype(np.int64), spans[:, 1] - spans[:, 0])
@@ -202,7 +202,7 @@ def score_texts(docs: DataFrame, model: tuple | None, keep: list[str], text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = sent.value
-        for batch in batches:
+        for batch in slices(batches, len(keep), 1 << 20):
             texts = batch.column(len(keep)).to_pylist()
             ratio = np.array([0.0] * len(texts) if table is None else stretch_ratio(texts, table))
             score = ratio if table is None else 1 / (1 + np.exp(-np.clip(slope * ratio + start, -500, 500)))
@@ -217,7 +217,9 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     """Model from labelled documents: a table of ratios and the curve; None without both classes."""
     given = labels.where(F.col(toxic).isNotNull()).select(F.col(doc_id).alias("id"), F.col(toxic).cast("int").alias("toxic"))
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    grams = written(gram_counts(texts.join(given, "id"), "text", "toxic"), "grams")
+    # Labels grow with the documents: they are never sent whole to the tasks, however few they are.
+    labelled = texts.join(given.hint("shuffle_hash"), "id")
+    grams = written(gram_counts(labelled, "text", "toxic"), "grams")
     table = bucketed(likelihood_ratios(grams))
     sample = given.orderBy(F.xxhash64("id"), "id", "toxic").limit(SAMPLE)
     scored = score_texts(texts.join(F.broadcast(sample), "id"), (table, 1.0, 0.0), ["toxic"]).toPandas()
