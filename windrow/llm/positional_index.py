@@ -1,6 +1,6 @@
 """Benchmark decontamination (operator 10) by a distributed positional inverted index.
 
-The training texts are cut into segments of about a million words, whole documents each. A
+The training texts are cut into segments of about half a million words, whole documents each. A
 segment is one row of a stored table: its documents, its terms, and per term the sorted
 positions where it stands. Test items are searched in every segment: lists are taken from the
 rarest term to the most frequent, each moved back by its offset in the phrase and intersected
@@ -30,7 +30,7 @@ from windrow.llm.common import in_batches, load, written
 from windrow.llm.registry import query
 
 #: Words of a segment, unless one document has more; test text sent to the tasks at once.
-SEGMENT_WORDS, BLOCK_BYTES = 1_000_000, 8 << 20
+SEGMENT_WORDS, BLOCK_BYTES = 500_000, 8 << 20
 
 # Words are runs of letters, digits and all characters beyond ASCII.
 _KEPT = set(b"0123456789abcdefghijklmnopqrstuvwxyz") | set(range(128, 256))
