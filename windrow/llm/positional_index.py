@@ -292,7 +292,35 @@ def contamination(found: DataFrame, share: int = 20) -> DataFrame:
     return counted.withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words")))
 
 
-@query("op10_benchmark_phrases")
+_WORDS_SQL = r"""coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"""
+
+OP10_SQL = f"""
+WITH said AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents),
+asked AS (SELECT item_id, {_WORDS_SQL} AS w, least(13, len(w)) AS m FROM benchmark),
+phrases AS (
+  SELECT DISTINCT item_id, m, list_slice(w, i, i + m - 1) AS phrase
+  FROM (SELECT *, unnest(range(1, len(w) - m + 2)) AS i FROM asked WHERE m > 0)),
+places AS (
+  SELECT doc_id, m, i, list_slice(w, i, i + m - 1) AS phrase
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i
+        FROM said, (SELECT DISTINCT m FROM phrases) AS sizes WHERE len(w) >= m)),
+hits AS (SELECT doc_id, item_id, i, p.m FROM places p JOIN phrases q ON p.m = q.m AND p.phrase = q.phrase),
+words_hit AS (
+  SELECT doc_id, count(DISTINCT at_word) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + m)) AS at_word FROM hits) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM said LEFT JOIN words_hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query("op10_benchmark_phrases", OP10_SQL)
 def op10_benchmark_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items, in windows of 13 words."""
     index = build_index(load(spark, sf_dir, "documents"))
