@@ -482,7 +482,31 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", re
     return joined.select(F.col("doc").alias(doc_id), own.alias("class_id"), links_of.alias("n_links"))
 
 
-@query("op6_chosen_path_join")
+OP6_SQL = r"""
+WITH RECURSIVE said AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, list_slice(w, i, i + 4) AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM said WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared s JOIN sizes p ON s.a = p.doc_id JOIN sizes q ON s.b = q.doc_id
+  WHERE 5 * s.n >= 4 * (p.n + q.n - s.n)),
+reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT r.a AS doc_id, min(r.b) AS class_id, coalesce(any_value(d.n), 0)::BIGINT AS n_links
+FROM reached r LEFT JOIN degrees d ON r.a = d.a GROUP BY r.a
+"""
+
+
+@query("op6_chosen_path_join", OP6_SQL)
 def op6_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies among all documents: class and number of links of each."""
     return jaccard_join(load(spark, sf_dir, "documents"))
