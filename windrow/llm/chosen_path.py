@@ -47,7 +47,7 @@ COORDINATES, LEVELS, SMALL, SPLITS = 128, 2, 2048, 2
 WIDER = 2.0
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_HASHED_WORDS = 300_000
+_HASHED_WORDS = 100_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -301,12 +301,12 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     owner, column = owner[kept_ones], column[number[kept_ones]]
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
-    total, width = np.zeros((len(sets), len(sets)), np.int64), max(1, (4 << 20) // len(sets))
+    total, width = np.zeros((len(sets), len(sets)), np.int32), max(1, (2 << 20) // len(sets))
     for first in range(0, int(column[-1]) + 1 if len(column) else 0, width):
         a, b = np.searchsorted(column, [first, first + width])
         part = np.zeros((len(sets), width), np.float32)
         part[owner[a:b], column[a:b] - first] = 1
-        total += (part @ part.T).astype(np.int64)
+        total += (part @ part.T).astype(np.int32)
     return total
 
 
@@ -353,10 +353,12 @@ def bucket_links(group: list[tuple]) -> tuple[list[tuple], list[tuple]]:
     copies = np.array([r[6] for r in group], np.int64)
     sets = [np.frombuffer(r[7], np.uint64) for r in group]
     sizes = np.array([len(s) for s in sets], np.int64)
-    both = shared_counts(sets)
+    linked = shared_counts(sets)
     # Jaccard of 4/5 or more, in whole numbers: 5 * both >= 4 * (the rest of the union and both).
-    linked = (5 * both >= 4 * (sizes[:, None] + sizes[None, :] - both)) & first_here
-    counts = linked @ copies
+    for i, both in enumerate(linked):
+        first_here[i] &= 5 * both >= 4 * (sizes[i] + sizes - both)
+    linked = first_here
+    counts = np.array([copies[row].sum() for row in linked])
     degrees = [(group[i][4], int(counts[i])) for i in np.flatnonzero(counts).tolist()]
     # A spanning forest: members reached from the smallest node not yet reached.
     joins, nodes = [], np.array([r[4] for r in group])

@@ -13,7 +13,7 @@ from collections.abc import Callable
 import regex
 
 #: Longer pieces are never remembered; beyond this many, all are forgotten before the next batch.
-SHORT, REMEMBERED = 48, 400_000
+SHORT, REMEMBERED = 48, 150_000
 
 # Two white space characters in a row, or one at either end.
 RUNS = regex.compile(r"\s\s|^\s|\s$")
