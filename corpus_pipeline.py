@@ -32,7 +32,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Drop the documents that the quality rules reject."""
     judged = robust_rules.quality_rules(docs.select(row_key().alias("doc_id"), "text", "lang", "source"))
     rejected = written(judged.where(~F.col("kept")).select(F.col("doc_id").alias("row")), "rejected")
-    return docs.select(COLUMNS).join(rejected, row_key() == F.col("row"), "left_anti")
+    # The rejected grow with the documents: they are dealt out like these, however few they are.
+    return docs.select(COLUMNS).join(rejected.hint("shuffle_hash"), row_key() == F.col("row"), "left_anti")
 
 
 def shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
