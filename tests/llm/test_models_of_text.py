@@ -293,6 +293,29 @@ def test_ratios_against_the_definition(spark):
         assert table[toxicity.buckets(code)[0]] == pytest.approx(r.ratio, rel=1e-5, abs=1e-6)
 
 
+def test_every_gram_has_a_ratio_of_its_own(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "BITS", 5)  # far more grams than 2 ** BITS
+    rows = [(prose(i, 40), 0) for i in range(6)] + [("you silly " + prose(9, 5) + " silly", 1), ("a silly fox", 1)]
+    seen = toxicity.likelihood_ratios(toxicity.gram_counts(spark.createDataFrame(rows, "text string, toxic int"), "text", "toxic"))
+    table, got = toxicity.bucketed(seen), {r.gram: r.ratio for r in seen.collect()}
+    assert len(got) > 8 * 2**toxicity.BITS
+
+    def keys(grams):
+        return toxicity.buckets(toxicity.gram_codes(np.frombuffer("".join(grams).encode("utf-32-le"), "<u4"))[::5])
+
+    assert table[keys(got)] == pytest.approx(list(got.values()), rel=1e-9, abs=1e-12)
+    strange = [chr(0x4E00 + i) * 5 for i in range(500)]
+    assert not table[keys(strange)].any()
+    # Tasks that read the model block by block give what the definition gives.
+    probe = [(1, "the silly fox"), (2, "quick brown 東京東京東京"), (3, prose(77, 60))]
+    docs = spark.createDataFrame(probe, "doc_id long, text string")
+    for r in toxicity.score_texts(docs, (table, 1.0, 0.0), ["doc_id"]).collect():
+        padded = " " * 4 + "".join(c if c.isalpha() else " " for c in dict(probe)[r.doc_id]) + " "
+        each = [got.get(padded[i : i + 5], 0.0) for i in range(len(padded) - 4)]
+        n = min(toxicity.STRETCH, len(each))
+        assert r.ratio == pytest.approx(max(sum(each[i : i + n]) / n for i in range(len(each) - n + 1)), rel=1e-9, abs=1e-9)
+
+
 def test_the_worst_stretch_decides(spark):
     insult = "scum "
     rows = [(i, prose(i, 200), 0) for i in range(60)]

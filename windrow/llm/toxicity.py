@@ -9,9 +9,11 @@ short one. A gram that neither class has seen leaves both to the shared model an
 how much mass each class has left for it only tells how much text it had. A logistic curve
 turns the average into a score.
 
-Counts come from every labelled text of the training folds and are gathered by Spark; the model
-that travels to the tasks has a fixed number of buckets. The curve is fitted on a bounded
-sample of the training documents, ``SAMPLE`` labels taken by a hash of their id.
+Counts come from every labelled text of the training folds and are gathered by Spark. The model
+has one ratio for every gram seen, under a 64-bit hash (equal hashes are taken as equal), and
+grows with them; it travels to the tasks in blocks of about ``2 ** BITS`` grams, of which the
+driver and a task hold one at a time. The curve is fitted on a bounded sample of the training
+documents, ``SAMPLE`` labels taken by a hash of their id.
 
 - null or empty text: scored like a text without letters;
 - null label: not learned from; a class without a document: every score is 0;
@@ -33,7 +35,7 @@ from windrow.llm.registry import query
 #: Letters of a gram, letters of a stretch, absolute discount.
 ORDER, STRETCH, DISCOUNT = 5, 8, 0.75
 
-#: Bits of a bucket of the model sent to the tasks; labelled documents that fit the curve.
+#: Grams of a block of the model sent to the tasks, as a power of two; labelled documents that fit the curve.
 BITS, SAMPLE = 21, 20_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -71,7 +73,8 @@ def gram_codes(letters: np.ndarray) -> np.ndarray:
 
 
 def buckets(codes: np.ndarray) -> np.ndarray:
-    return ((codes * _MIX) >> np.uint64(64 - BITS)).astype(np.int64)
+    """The key of a gram in the model: its hash, with the leading bits well mixed."""
+    return codes * _MIX
 
 
 def gram_counts(rows: DataFrame, text: str, toxic: str) -> DataFrame:
@@ -149,25 +152,74 @@ def likelihood_ratios(grams: DataFrame) -> DataFrame:
     )
 
 
-def bucketed(rows: DataFrame) -> np.ndarray:
-    """Mean ratio per bucket, 0 where no gram falls: ``2 ** BITS`` numbers, whatever the corpus."""
+def block_of(keys: np.ndarray, ratio: np.ndarray, skip: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Keys in order, their ratios, and where the keys that share the bits after the first ``skip`` begin."""
+    order = np.argsort(keys)
+    keys, bits = keys[order], max(1, len(keys).bit_length())
+    lead = (keys << np.uint64(skip)) >> np.uint64(64 - bits)
+    return keys, ratio[order], np.searchsorted(lead, np.arange((1 << bits) + 1, dtype=np.uint64)), skip
+
+
+def found_in(block: tuple[np.ndarray, np.ndarray, np.ndarray, int], asked: np.ndarray) -> np.ndarray:
+    """The ratio of each key asked for, 0 where the block has none."""
+    keys, ratio, starts, skip = block
+    out = np.zeros(len(asked))
+    lead = ((asked << np.uint64(skip)) >> np.uint64(64 - (len(starts) - 1).bit_length() + 1)).astype(np.int64)
+    at, end = starts[lead], starts[lead + 1]
+    left = np.flatnonzero(at < end)
+    at, end = at[left], end[left]
+    while len(left):
+        same = keys[at] == asked[left]
+        out[left[same]] = ratio[at[same]]
+        on = ~same & (at + 1 < end)
+        left, at, end = left[on], at[on] + 1, end[on]
+    return out
+
+
+class Ratios:
+    """The ratio of every gram seen, by key; 0 for others. Block ``k`` has the keys whose first ``bits`` bits are ``k``."""
+
+    def __init__(self, blocks: list, bits: int):
+        self.blocks, self.bits = blocks, bits
+
+    def __getitem__(self, keys):
+        asked = np.atleast_1d(np.asarray(keys, np.uint64))
+        if not self.bits:
+            out = found_in(self.blocks[0].value, asked)
+            return out if np.ndim(keys) else out[0]
+        out = np.zeros(len(asked))
+        block = (asked >> np.uint64(64 - self.bits)).astype(np.int64)
+        order = np.argsort(block, kind="stable")
+        ends = np.cumsum(np.bincount(block, minlength=len(self.blocks)))
+        for sent, first, last in zip(self.blocks, [0, *ends.tolist()], ends.tolist()):
+            if last > first:
+                some = order[first:last]
+                out[some] = found_in(sent.value, asked[some])
+                sent.__dict__.pop("_value", None)  # read again when asked again: one block in memory
+        return out if np.ndim(keys) else out[0]
+
+
+def bucketed(rows: DataFrame) -> Ratios:
+    """The model of all grams given, ready for tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = "".join(batch.column(0).to_pylist()).encode("utf-32-le")
             chosen = gram_codes(np.frombuffer(raw, "<u4"))[::ORDER]
-            weight = np.asarray(batch.column(1)).astype(float)
-            total = pa.array(np.asarray(batch.column(2)) * weight)
-            yield pa.RecordBatch.from_arrays([pa.array(buckets(chosen)), pa.array(weight), total], ["b", "w", "s"])
-
-    found = in_batches(rows.select("gram", "weight", "ratio"), run, "b long, w double, s double")
-    frame = found.groupBy("b").agg((F.sum("s") / F.sum("w")).cast("float").alias("ratio")).toPandas()
-    table = np.zeros(1 << BITS, np.float32)
-    table[frame["b"]] = frame["ratio"]
-    return table
+            yield pa.RecordBatch.from_arrays([pa.array(buckets(chosen).view(np.int64)), batch.column(1)], ["key", "ratio"])
+
+    found = written(in_batches(rows.select("gram", "ratio"), run, "key long, ratio double"), "ratios")
+    bits = max(0, (max(1, found.count()) - 1).bit_length() - BITS)
+    blocks = []
+    for k in range(1 << bits):
+        block = found.where(F.shiftrightunsigned("key", 64 - bits) == k) if bits else found
+        got = block.toArrow()
+        keys, ratio = (got.column(c).to_numpy() for c in ("key", "ratio"))
+        blocks.append(rows.sparkSession.sparkContext.broadcast(block_of(keys.view(np.uint64), ratio, bits)))
+    return Ratios(blocks, bits)
 
 
-def stretch_ratio(texts: list[str | None], table: np.ndarray) -> list[float]:
+def stretch_ratio(texts: list[str | None], table: Ratios) -> list[float]:
     """The largest mean log ratio over the stretches of each text."""
     letters, spans = letters_of(texts)
     ratio = table[buckets(gram_codes(letters))]
@@ -197,12 +249,12 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def score_texts(docs: DataFrame, model: tuple | None, keep: list[str], text: str = "text") -> DataFrame:
     """The columns to keep, with ``ratio`` and ``score``."""
     table, slope, start = model or (None, 0.0, 0.0)
-    sent = docs.sparkSession.sparkContext.broadcast(table)
+    # Every block is read once for a slice: slices are larger where there are several.
+    size = 1 << 20 if table is None or not table.bits else 8 << 20
     names = [*keep, "ratio", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = sent.value
-        for batch in slices(batches, len(keep), 1 << 20):
+        for batch in slices(batches, len(keep), size):
             texts = batch.column(len(keep)).to_pylist()
             ratio = np.array([0.0] * len(texts) if table is None else stretch_ratio(texts, table))
             score = ratio if table is None else 1 / (1 + np.exp(-np.clip(slope * ratio + start, -500, 500)))
@@ -214,7 +266,7 @@ def score_texts(docs: DataFrame, model: tuple | None, keep: list[str], text: str
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic"):
-    """Model from labelled documents: a table of ratios and the curve; None without both classes."""
+    """Model from labelled documents: the ratios and the curve; None without both classes."""
     given = labels.where(F.col(toxic).isNotNull()).select(F.col(doc_id).alias("id"), F.col(toxic).cast("int").alias("toxic"))
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     # Labels grow with the documents: they are never sent whole to the tasks, however few they are.
