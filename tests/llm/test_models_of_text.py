@@ -4,6 +4,7 @@ import itertools
 import math
 import re
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -213,6 +214,41 @@ def test_forward_and_expected_counts_against_all_segmentations():
     assert into == pytest.approx(want)
 
 
+def test_sums_of_runs_of_untrained_letters_at_a_large_corpus():
+    lattice = piece_language.Lattice(sorted(["▁", "▁th", "th", "t", "h", "e", "the", "▁the"]))
+    chance = np.array([[0.2, 1e-6], [0.1, 1e-9], [0.05, 0.1], [0.3, 0.01], [0.02, 0.2], [1e-7, 0.1], [0.1, 0.2], [0.2, 0.1]])
+    chance = np.concatenate([chance, [[3e-25, 1e-12]]])  # a letter outside the vocabulary
+    number = {p: i for i, p in enumerate(lattice.pieces)}
+
+    def exact(word, k):
+        reach = [Fraction(1)] + [Fraction(0)] * len(word)
+        for start in range(len(word)):
+            for end in range(start + 1, len(word) + 1):
+                piece = number.get(word[start:end], lattice.unknown if end == start + 1 else None)
+                if piece is not None:
+                    reach[end] += reach[start] * Fraction(chance[piece, k])
+        return math.log(reach[-1].numerator) - math.log(reach[-1].denominator)
+
+    words = ["▁the", "▁" + "ж" * 32, "▁" + "ж" * 12, "▁the" + "ж" * 25 + "thet", "▁thethe"]
+    logs = lattice.forward(words, chance)
+    for word, row in zip(words, logs):
+        assert row == pytest.approx([exact(word, k) for k in range(2)], rel=1e-12)
+
+
+def test_a_run_of_untrained_letters_does_not_decide(spark):
+    docs = spark.createDataFrame([(1, prose(1, 300), "en"), (2, "zwölf boxkämpfer jagen viktor quer über den sylter deich " * 4, "de")], "doc_id long, text string, lang string")
+    langs, chance = piece_language.learn(docs, PIECES)
+    known = set("".join(piece_language.vocabulary(PIECES).pieces))
+    letter = next(c for c in map(chr, range(0x1400, 0x1680)) if c.isalpha() and c not in known)
+    chance = chance.copy()
+    chance[-1, langs.index("en")], chance[-1, langs.index("de")] = 3e-15, 1e-12  # as at 0.5 GB of text, mostly English
+    texts = [(n, prose(5, 400) + " " + letter * n) for n in (0, 8, 23, 28, 32)]
+    probe = spark.createDataFrame(texts, "doc_id long, text string")
+    got = piece_language.predict(probe, langs, chance, PIECES, ["doc_id"]).collect()
+    assert {(r.doc_id, r.lang_pred) for r in got} == {(n, "en") for n, _ in texts}
+    assert all(r.score > 0.99 for r in got)
+
+
 def test_language_of_held_out_documents(spark, medium):
     got = QUERIES["op5_piece_language"](spark, medium).collect()
     lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{medium}/documents.parquet").collect()}

@@ -6,6 +6,9 @@ pass over the word computes it without listing the ways. The piece probabilities
 counts from a forward-backward pass over every training text, so what is gathered has at most
 one number per piece and language, however large the corpus.
 
+The sums run on plain products; a word whose products come near the smallest number that a
+float holds in any language (long runs of letters never learned) is summed again in logs.
+
 Words are runs of letters, lower-cased and marked at their start; runs of more than ``LONGEST``
 letters are scored in stretches of that length. Equal words of a batch are scored once.
 
@@ -33,6 +36,9 @@ from windrow.llm.registry import query
 #: Letters of a word scored together, words scored together, weight of the shared counts.
 LONGEST, TOGETHER, SHARED = 32, 16_384, 200.0
 
+#: A sum of products this large has lost nothing that counts to underflow: what is lost is below 1e-300.
+SAFE = 1e-200
+
 START = "▁"
 _words = re.compile(r"[^\W\d_]+").findall
 
@@ -105,9 +111,24 @@ class Lattice:
             reach[0] = 1.0
             for start, end, row, piece in steps:
                 reach[end, row] += reach[start, row] * chance[piece]
-            logs[rows] = np.log(reach[size, np.arange(len(rows))])
+            whole = reach[size, np.arange(len(rows))]
+            low = (whole < SAFE).any(axis=1)
+            logs[rows[~low]] = np.log(whole[~low])
+            if low.any():
+                logs[rows[low]] = self.forward_in_logs([words[i] for i in rows[low].tolist()], chance)
         return logs
 
+    def forward_in_logs(self, words: list[str], chance: np.ndarray) -> np.ndarray:
+        """The same for words whose products are too small for a float."""
+        size, width, steps = self.edges(words)
+        with np.errstate(divide="ignore"):
+            logs = np.log(chance)
+        reach = np.full((width + 1, len(words), chance.shape[1]), -np.inf)
+        reach[0] = 0.0
+        for start, end, row, piece in steps:
+            reach[end, row] = np.logaddexp(reach[end, row], reach[start, row] + logs[piece])
+        return reach[size, np.arange(len(words))]
+
     def expected(self, words: list[str], weight: np.ndarray, chance: np.ndarray, into: np.ndarray) -> None:
         """Add the expected number of each piece in the words, each word ``weight`` times."""
         order = np.array(sorted(range(len(words)), key=lambda i: len(words[i])), np.int64)
