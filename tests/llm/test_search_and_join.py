@@ -65,6 +65,16 @@ def test_phrases_in_hostile_rows_and_blocks_of_items(spark, hostile, monkeypatch
     assert got == want
 
 
+def test_items_without_an_id_are_searched(spark):
+    asked = [(None, "quiet jackals"), (None, "lazy dog"), (3, "seven wizards")]
+    items = spark.createDataFrame(asked, "item_id long, text string")
+    rows = [(1, "quiet jackals and a lazy dog"), (2, "seven wizards box quiet jackals"), (3, "seven wizards"), (4, "none of them")]
+    index = positional_index.build_index(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = positional_index.contamination(positional_index.search_index(index, items)).collect()
+    got = {r.doc_id: (r.n_hit, r.n_items, list(r["items"]), r.contaminated) for r in found}
+    assert got == {1: (4, 1, [], True), 2: (4, 2, ["3"], True), 3: (2, 1, ["3"], True), 4: (0, 0, [], False)}
+
+
 def test_phrases_never_cross_documents_or_segments(spark, monkeypatch):
     monkeypatch.setattr(positional_index, "SEGMENT_WORDS", 50)
     rows = [(i, prose(i, 17)) for i in range(40)] + [(100, "the quick"), (101, "brown fox")]

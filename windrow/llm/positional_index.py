@@ -11,6 +11,8 @@ size, each searched against the whole index.
 
 - null or empty text: no words, never hit; a null id: a row of its own;
 - an item without words: no phrase; items with one text or one id: each counts, equal ids once;
+- items with a null id are searched like others and cover words; those that hit count as one item
+  among the items hit, and the list of ids leaves them out;
 - an occurrence never crosses from one document into the next;
 - extra columns are ignored.
 """
@@ -207,7 +209,7 @@ def _blocks(items: DataFrame) -> Iterator[list[tuple[str, list[bytes]]]]:
     block = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
     for k in range(blocks):
         rows = items.where(block == k).collect()
-        yield [(row.item, words_of(row.text)) for row in rows if row.item is not None]
+        yield [(row.item, words_of(row.text)) for row in rows]
 
 
 def search_index(
@@ -282,12 +284,14 @@ def covered_words(matches: Column) -> Column:
 
 
 def contamination(found: DataFrame, share: int = 20) -> DataFrame:
-    """Per document the words hit, the items found and the verdict: at least one word in ``share`` hit."""
+    """Per document the words hit, the ids found, how many (null as one) and the verdict: at least one word in ``share`` hit."""
+    ids = F.array_distinct(F.transform("matches", lambda m: m["item"]))
     counted = found.select(
         "doc_id",
         "n_words",
         covered_words(F.col("matches")).alias("n_hit"),
-        F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item"]))).alias("items"),
+        F.array_sort(F.array_compact(ids)).alias("items"),
+        F.size(ids).cast("long").alias("n_items"),
     )
     return counted.withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words")))
 
@@ -326,7 +330,4 @@ def op10_benchmark_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = build_index(load(spark, sf_dir, "documents"))
     result = contamination(search_index(index, load(spark, sf_dir, "benchmark")))
     digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
-    items = F.size("items").cast("long")
-    return result.select(
-        "doc_id", "n_words", "n_hit", items.alias("n_items"), digest.alias("items_sha256"), "contaminated"
-    )
+    return result.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
