@@ -194,6 +194,17 @@ def test_chains_are_one_class(spark):
     assert {got.get(n, n) for n in (1000, 1500, 2000)} == {1000}
 
 
+def test_runs_reach_the_recall_over_all_signatures():
+    """Pairs at 0.8 drawn at random: signatures that agree more or less, met in buckets split twice."""
+    random = np.random.default_rng(4)
+    agreement = random.binomial(chosen_path.COORDINATES, 0.8, 400_000) / chosen_path.COORDINATES
+    lives = np.ones(len(agreement))
+    for width in (chosen_path.WIDER, chosen_path.WIDER, 1.0):
+        lives = 1 - np.exp(-width * agreement / 0.8 * lives)
+    first = sum(map(len, chosen_path.first_coordinates(chosen_path.runs_needed(0.995))))
+    assert ((1 - agreement * lives) ** first).mean() <= 0.005
+
+
 def test_signatures_estimate_similarity():
     a = chosen_path.shingles(prose(1, 400))
     b = np.unique(np.concatenate([a[: len(a) * 9 // 10], chosen_path.shingles(prose(2, 60))]))

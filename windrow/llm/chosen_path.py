@@ -72,15 +72,21 @@ def first_coordinates(runs: int) -> list[list[int]]:
 def runs_needed(recall: float = RECALL) -> int:
     """Runs until a pair of the least similarity has met with this probability.
 
-    After the first coordinates, a pair shares one sampled token on average at each level, which is
-    the branching process whose chance to live on is 1 - exp(-chance one level further down).
+    All runs share one signature, on which such a pair agrees in a binomial number of coordinates:
+    the probability to miss is averaged over that number. After the first coordinates, a pair that
+    agrees as expected shares one sampled token on average at each level, which is the branching
+    process whose chance to live on is 1 - exp(-chance one level further down).
     """
-    chance = 1.0
+    agreed = np.arange(COORDINATES + 1)
+    ways = np.array([float(math.comb(COORDINATES, k)) for k in agreed.tolist()])
+    likely = ways * LEAST**agreed * (1 - LEAST) ** (COORDINATES - agreed)
+    agreement = agreed / COORDINATES
+    chance = np.ones(COORDINATES + 1)
     for level in range(LEVELS - 1 + SPLITS, 0, -1):
-        chance = 1 - math.exp(-(WIDER if level >= LEVELS else 1.0) * chance)
-    missed, runs = 1.0, 0
-    while missed > 1 - recall:
-        missed *= (1 - LEAST * chance) ** (2 if runs % 4 == 0 else 1)
+        chance = 1 - np.exp(-(WIDER if level >= LEVELS else 1.0) * agreement / LEAST * chance)
+    missed, runs = np.ones(COORDINATES + 1), 0
+    while likely @ missed > 1 - recall:
+        missed *= (1 - agreement * chance) ** (2 if runs % 4 == 0 else 1)
         runs += 1
     return runs
 
