@@ -1,0 +1,85 @@
+"""Exact dedup against plain grouping in Python."""
+
+import hashlib
+import random
+from collections import defaultdict
+
+import pytest
+from conftest_llm import hostile_rows, prose
+
+from windrow.llm import exact_dedup
+from windrow.llm.queries import QUERIES
+
+
+def plain(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def expected(rows):
+    """Per row id, the id kept, the group's size and the digest, sorted; and the rows kept per text."""
+    groups = defaultdict(list)
+    for key, text in rows:
+        groups[plain(text)].append(key)
+    said = []
+    for text, ids in groups.items():
+        known = [i for i in ids if i is not None]
+        keep = max(known) if known else None
+        said += [(i, keep, len(ids), hashlib.sha256(text.encode()).hexdigest()) for i in ids]
+    return sorted(said, key=str), len(groups)
+
+
+def check(result, rows):
+    got = result.collect()
+    want, groups = expected(rows)
+    assert sorted([(r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got], key=str) == want
+    kept = [r for r in got if r.kept]
+    assert len(kept) == groups == len({r.text_sha256 for r in kept})
+    assert all(r.doc_id == r.keep_id for r in kept)
+
+
+def frame(spark, rows, partitions=6):
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(partitions)
+
+
+def test_hostile_rows_and_nothing(spark, hostile, nothing):
+    check(exact_dedup.exact_dedup(hostile), [r[:2] for r in hostile_rows()])
+    result = exact_dedup.exact_dedup(nothing)
+    assert result.count() == 0
+    assert result.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+
+
+@pytest.mark.parametrize("table_bytes", [600, 4000])
+def test_a_third_of_the_rows_in_one_text_and_tables_that_overflow(spark, monkeypatch, table_bytes):
+    monkeypatch.setattr(exact_dedup, "TABLE_BYTES", table_bytes)
+    pick = random.Random(4)
+    texts = [prose(i, pick.randint(1, 30)) for i in range(60)] + [prose(99, 500)]
+    rows = [(i, "Hot Text" if i % 3 == 0 else pick.choice(texts)) for i in range(400)]
+    rows += [(None, "hot text"), (7, "HOT TEXT"), (399, "hot text"), (900, ""), (901, None)]
+    check(exact_dedup.exact_dedup(frame(spark, rows)), rows)
+
+
+def test_equal_hashes_of_different_texts_are_told_apart():
+    table = exact_dedup.ContentTable()
+    numbers = [table.place(5, b"a"), table.place(5, b"b"), table.place(5 + 1024, b"c"), table.place(5, b"a")]
+    assert numbers == [0, 1, 2, 0]
+    placed = {table.place(i % 7, str(i).encode()) for i in range(3000)}
+    assert len(placed) == 3000
+    assert [table.place(i % 7, str(i).encode()) for i in (0, 2999)] == [3, 3002]
+
+
+def test_only_a_to_z_are_folded(spark):
+    rows = [(1, "É a"), (2, "é a"), (3, "É A"), (4, "É a ")]
+    check(exact_dedup.exact_dedup(frame(spark, rows, 1)), rows)
+
+
+def test_kept_documents_keep_their_columns(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    kept = exact_dedup.kept_documents(docs)
+    rows = docs.select("doc_id", "text").collect()
+    assert kept.columns == docs.columns
+    assert kept.count() == len({plain(r.text) for r in rows})
+
+
+def test_query_over_all_documents(spark, small):
+    rows = [tuple(r) for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()]
+    check(QUERIES["op13_grace_exact_dedup"](spark, small), rows)

@@ -4,6 +4,7 @@ from windrow.llm import (  # noqa: F401
     bpe_bitmap,
     bpe_heap,
     chosen_path,
+    exact_dedup,
     line_dedup,
     line_quality,
     piece_language,
