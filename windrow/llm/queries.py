@@ -7,6 +7,7 @@ from windrow.llm import (  # noqa: F401
     exact_dedup,
     line_dedup,
     line_quality,
+    phrase_mining,
     piece_language,
     positional_index,
     robust_rules,
