@@ -10,6 +10,7 @@ from windrow.llm import (  # noqa: F401
     phrase_mining,
     piece_language,
     positional_index,
+    ranked_search,
     robust_rules,
     toxicity,
     warc,
