@@ -122,3 +122,54 @@ def test_every_type_goes_there_and_back(spark):
     for frame in (df, holes):
         back = groups.apply_partitions(frame, lambda rows: rows, frame.schema)
         assert sorted(map(str, back.collect())) == sorted(map(str, frame.collect()))
+
+
+def test_a_hot_group_streams_in_little_memory(spark):
+    """A third of three million rows in one group, 300 MB of it: the function's worker grows by far less."""
+    rows = spark.range(0, 3_000_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 1000).alias("k"), "id", F.repeat(F.lit("x"), 300).alias("text")
+    )
+
+    def resident_mb():
+        with open("/proc/self/status") as status:
+            return next(int(line.split()[1]) for line in status if line.startswith("VmRSS")) / 1024
+
+    def watch(key, frames):
+        n, most, start, largest = 0, 0.0, resident_mb(), 0
+        for frame in frames:
+            n, largest = n + len(frame), max(largest, len(frame))
+            most = max(most, resident_mb())
+        return pd.DataFrame({"n": [n], "largest": [largest], "grown": [most - start]})
+
+    got = groups.apply_groups(rows, ["k"], watch, "k long, n long, largest long, grown double", prepend_key=True, batches=True)
+    by_key = {r["k"]: r for r in got.collect()}
+    assert by_key[0]["n"] == 1_000_000 + 2000 and by_key[0]["largest"] <= 10_000 and by_key[0]["grown"] < 100
+    assert sum(r["n"] for r in by_key.values()) == 3_000_000
+
+
+def test_streamed_groups_yield_any_number_of_frames_in_order(spark):
+    rows = spark.range(0, 50_000, 1, 4).select((F.col("id") % 3).alias("k"), (-F.col("id")).alias("v"))
+
+    def parts(key, frames):
+        last = None
+        for frame in frames:
+            sorted_in = frame["v"].is_monotonic_increasing and (last is None or frame["v"].iloc[0] >= last)
+            last = frame["v"].iloc[-1]
+            yield pd.DataFrame({"n": [len(frame)], "sorted_in": [bool(sorted_in)]})
+
+    got = groups.apply_groups(
+        rows, ["k"], parts, "k long, n long, sorted_in boolean", prepend_key=True, batches=True, order=["v"]
+    ).collect()
+    assert all(r["sorted_in"] for r in got) and sum(r["n"] for r in got) == 50_000 and len(got) >= 6
+    nothing = groups.apply_groups(rows.limit(0), ["k"], parts, "k long, n long, sorted_in boolean", prepend_key=True, batches=True)
+    assert nothing.count() == 0
+    with pytest.raises(ValueError, match="batches"):
+        groups.apply_groups(rows, ["k"], parts, "k long", order=["v"])
+
+
+def test_streamed_groups_are_dealt_and_sorted_once(spark):
+    rows = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
+    ordered = groups.apply_groups(rows, ["k"], lambda key, frames: next(frames), "k long, id long", batches=True, order=["id"])
+    plan = ordered._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[-1]
+    assert final.count("Exchange hashpartitioning") == 1 and final.count("Sort [") == 1, plan

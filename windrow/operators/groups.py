@@ -75,32 +75,63 @@ def _select(df: DataFrame, columns: Sequence[str] | None, keys: Sequence[str] =
 def apply_groups(
     df: DataFrame,
     keys: Sequence[str],
-    fn: Callable[[tuple, Frame], Frame],
+    fn: Callable[[tuple, Any], Any],
     schema: T.StructType | str,
     *,
     columns: Sequence[str] | None = None,
     prepend_key: bool = False,
     by_position: bool = False,
+    batches: bool = False,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Call ``fn(key, frame)`` once per group with all its rows.
 
-    The whole group meets in one task, as the meaning asks: it must fit there. For groups
-    that may not, use ``reduce_groups``. With ``prepend_key`` the function returns its own
-    columns only and the key columns are put in front.
+    The whole group meets in one task, as the meaning asks: it must fit there. With ``batches``
+    the function is called ``fn(key, frames)`` instead, with an iterator over frames of bounded
+    size, and yields frames or returns one: a group of any size streams through it, and what it
+    holds on to is all that is held. Python then never sees more than a batch; Spark sorts the rows
+    by group on disk where memory ends. ``order`` sorts the rows inside each group by further
+    columns, among those given. For groups whose rows need not meet, use ``reduce_groups``.
+
+    With ``prepend_key`` the function returns its own columns only and the key columns are
+    put in front.
     """
     df = _select(df, columns, keys)
     declared = to_arrow_schema(as_schema(schema))
     key_fields = [declared.field(k) for k in keys] if prepend_key else []
     own = pa.schema([f for f in declared if f not in key_fields])
 
-    def call(key: tuple, table: pa.Table) -> pa.Table:
-        key = tuple(k.as_py() for k in key)
-        result = conform(fn(key, to_frame(table)), own, by_position)
+    def finished(key: tuple, frame: Frame) -> pa.Table:
+        result = conform(frame, own, by_position)
         for i, f in enumerate(key_fields):
             result = result.add_column(i, f, pa.array([key[i]] * result.num_rows, type=f.type))
         return result.select(declared.names)
 
-    return df.groupBy(*keys).applyInArrow(call, as_schema(schema))
+    def call(key: tuple, table: pa.Table) -> pa.Table:
+        key = tuple(k.as_py() for k in key)
+        return finished(key, fn(key, to_frame(table)))
+
+    def stream(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = tuple(k.as_py() for k in key)
+        given = (to_frame(pa.Table.from_batches([part])) for part in parts if part.num_rows)
+        result = fn(key, given)
+        for frame in [result] if isinstance(result, Frame) else result:
+            yield from finished(key, frame).to_batches()
+
+    if order and not batches:
+        raise ValueError("order is for functions over batches")
+    if not batches:
+        return df.groupBy(*keys).applyInArrow(call, as_schema(schema))
+    # Spark tells the two kinds of function apart by these.
+    stream.__annotations__ = {
+        "key": tuple[pa.Scalar, ...],
+        "parts": Iterator[pa.RecordBatch],
+        "return": Iterator[pa.RecordBatch],
+    }
+    if order:
+        # Dealt and sorted here, by group first: the grouping needs neither again and keeps this order.
+        df = df.repartition(*keys).sortWithinPartitions(*keys, *order)
+    return df.groupBy(*keys).applyInArrow(stream, as_schema(schema))
 
 
 def apply_partitions(

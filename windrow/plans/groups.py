@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
@@ -203,14 +205,17 @@ SUPPLIER_LINES_SQL = """SELECT l_suppkey, COUNT(*) AS n_lines, CAST(SUM(l_quanti
     FROM lineitem GROUP BY l_suppkey"""
 
 
-def supplier_summary(rows: pd.DataFrame) -> dict[str, list]:
-    """What the lines of one supplier come to: groups of some hundred rows at any size of the table."""
-    return {
-        "n_lines": [len(rows)],
-        "quantity": [rows["l_quantity"].sum()],
-        "dearest": [rows["l_extendedprice"].max()],
-        "first_part": [rows.sort_values(["l_orderkey", "l_linenumber"])["l_partkey"].iloc[0]],
-    }
+def supplier_summary(frames: Iterator[pd.DataFrame]) -> dict[str, list]:
+    """What the lines of one supplier come to, batch by batch: a supplier may have any number of them."""
+    n, quantity, dearest, first = 0, 0.0, None, None
+    for rows in frames:
+        n += len(rows)
+        quantity += rows["l_quantity"].sum()
+        top = rows["l_extendedprice"].max()
+        dearest = top if dearest is None else max(dearest, top)
+        order, line, part = rows.sort_values(["l_orderkey", "l_linenumber"]).iloc[0][["l_orderkey", "l_linenumber", "l_partkey"]]
+        first = min(filter(None, (first, (int(order), int(line), int(part)))))
+    return {"n_lines": [n], "quantity": [quantity], "dearest": [dearest], "first_part": [first[2]]}
 
 
 SUPPLIER_COLUMNS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_partkey"]
@@ -219,13 +224,13 @@ SUPPLIER_SCHEMA = "l_suppkey long, n_lines long, quantity double, dearest double
 
 @query("supplier_lines_udf", SUPPLIER_LINES_SQL)
 def supplier_lines_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A function over all lines of each supplier."""
+    """A function over all lines of each supplier, which stream through it."""
     items = load(spark, sf_dir, "lineitem")
 
-    def summary(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"l_suppkey": [key[0]], **supplier_summary(rows)})
+    def summary(key: tuple, frames: Iterator[pd.DataFrame]) -> pd.DataFrame:
+        return pd.DataFrame({"l_suppkey": [key[0]], **supplier_summary(frames)})
 
-    return groups.apply_groups(items, ["l_suppkey"], summary, SUPPLIER_SCHEMA, columns=SUPPLIER_COLUMNS)
+    return groups.apply_groups(items, ["l_suppkey"], summary, SUPPLIER_SCHEMA, columns=SUPPLIER_COLUMNS, batches=True)
 
 
 @query("supplier_lines_prepend", SUPPLIER_LINES_SQL)
@@ -233,10 +238,41 @@ def supplier_lines_prepend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, the function returning its own columns only."""
     items = load(spark, sf_dir, "lineitem")
 
-    def summary(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(supplier_summary(rows))
+    def summary(key: tuple, frames: Iterator[pd.DataFrame]) -> pd.DataFrame:
+        return pd.DataFrame(supplier_summary(frames))
+
+    return groups.apply_groups(
+        items, ["l_suppkey"], summary, SUPPLIER_SCHEMA, columns=SUPPLIER_COLUMNS, prepend_key=True, batches=True
+    )
 
-    return groups.apply_groups(items, ["l_suppkey"], summary, SUPPLIER_SCHEMA, columns=SUPPLIER_COLUMNS, prepend_key=True)
+
+@query(
+    "supplier_running_quantity",
+    """SELECT l_suppkey, l_orderkey, l_linenumber,
+        CAST(SUM(l_quantity) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity
+            ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running FROM lineitem""",
+)
+def supplier_running_quantity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A function that gives a row for every row: each supplier's quantity so far, its lines in order."""
+    items = load(spark, sf_dir, "lineitem")
+
+    def running(key: tuple, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        so_far = 0.0
+        for rows in frames:
+            total = so_far + rows["l_quantity"].cumsum()
+            so_far = float(total.iloc[-1])
+            yield rows[["l_orderkey", "l_linenumber"]].assign(running=total)
+
+    return groups.apply_groups(
+        items,
+        ["l_suppkey"],
+        running,
+        "l_suppkey long, l_orderkey long, l_linenumber int, running double",
+        columns=["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"],
+        prepend_key=True,
+        batches=True,
+        order=["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"],
+    )
 
 
 @F.pandas_udf(T.DoubleType())
