@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from conftest_llm import hostile_rows
 
-from windrow.llm import phrase_mining
+from windrow.llm import packing, phrase_mining
 from windrow.llm.phrase_mining import mine_phrases
 from windrow.llm.queries import ORACLES, QUERIES
 
@@ -64,9 +64,13 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, "text string, lang string").repartition(5)
 
 
-@pytest.mark.parametrize(("block", "chunk", "part", "ranges", "ranked"), [(10**6, 10**6, 10**6, 10**6, 10**6), (50, 20, 300, 40, 30)])
-def test_small_blocks_ranges_and_slices_change_nothing(spark, monkeypatch, block, chunk, part, ranges, ranked):
-    for name, value in zip(("BLOCK_WORDS", "CHUNK_BYTES", "PART_ROWS", "RANGE_ROWS", "RANK_ROWS"), (block, chunk, part, ranges, ranked)):
+SIZES = ("BLOCK_WORDS", "PART_ROWS", "FAN", "RANGE_ROWS", "RANK_ROWS")
+
+
+@pytest.mark.parametrize(("chunk", "sizes"), [(10**6, [10**6] * 5), (20, [50, 1500, 256, 40, 30]), (50, [200, 1200, 3, 500, 900])])
+def test_small_blocks_levels_ranges_and_slices_change_nothing(spark, monkeypatch, chunk, sizes):
+    monkeypatch.setattr(packing, "CHUNK_BYTES", chunk)
+    for name, value in zip(SIZES, sizes):
         monkeypatch.setattr(phrase_mining, name, value)
     rows = corpus(3, 150)
     assert got(mine_phrases(frame(spark, rows))) == plainly(rows)

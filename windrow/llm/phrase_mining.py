@@ -29,17 +29,17 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from windrow.llm.common import in_batches, load, written
+from windrow.llm.packing import chunks, pack, pack_words, tally, unpack, unpack_words
 from windrow.llm.registry import query
 
-#: Words of a block, bytes of a text taken at once, phrases merged in one task, rows of a range,
-#: candidates ranked in one task before the ranks are merged.
-BLOCK_WORDS, CHUNK_BYTES, PART_ROWS, RANGE_ROWS, RANK_ROWS = 3_000_000, 1 << 20, 4_000_000, 250_000, 1_000_000
+#: Words of a block, phrases merged in one task, parts that a block is dealt to at once, rows of
+#: a range, candidates ranked in one task before the ranks are merged.
+BLOCK_WORDS, PART_ROWS, FAN, RANGE_ROWS, RANK_ROWS = 3_000_000, 4_000_000, 256, 250_000, 1_000_000
 
 # What ends a piece becomes a line end, a tab a blank, A to Z become a to z.
 _ENDS = set(b".,;:!?\n\x0b\x0c\r")
@@ -48,7 +48,7 @@ _FOLD = bytes(10 if b in _ENDS else 32 if b == 9 else b + 32 if 65 <= b <= 90 el
 #: Marks in a sequence of word numbers: the end of a piece; nothing between two blanks.
 _END, _NOTHING = -1, -2
 
-BLOCKS = "part int, lang string, total long, words binary, lengths binary, ids array<binary>, counts array<binary>"
+BLOCKS = "part long, lang string, total long, words binary, lengths binary, ids array<binary>, counts array<binary>"
 COUNTS = "lang string, size int, key binary, n long"
 
 
@@ -63,62 +63,6 @@ class Numbers(dict):
         return number
 
 
-def _chunks(body: bytes) -> Iterator[bytes]:
-    """A folded text in parts that end between words."""
-    start = 0
-    while start < len(body):
-        end = start + CHUNK_BYTES
-        if end < len(body):
-            at = max(body.rfind(b" ", start, end), body.rfind(b"\n", start, end))
-            if at <= start:
-                later = [p for p in (body.find(b" ", end), body.find(b"\n", end)) if p >= 0]
-                at = min(later, default=len(body))
-            end = at
-        yield body[start:end]
-        start = end
-
-
-def pack(values: np.ndarray) -> bytes:
-    """Numbers as bytes, those of one weight together, compressed."""
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.dtype.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def unpack(data: bytes, kind: type) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(size, -1)
-    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
-
-
-def tally(columns: list[np.ndarray], width: int, weights: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows of columns of numbers below ``width``, in order, and the sum of each one's weights."""
-    code, room = columns[0].astype(np.int64), width
-    packed = True
-    for column in columns[1:]:
-        if room * width >= 1 << 62:  # numbered anew, in the same order
-            distinct, code = np.unique(code, return_inverse=True)
-            room, packed = len(distinct), False
-        code = code * width + column
-        room *= width
-    if weights is None and packed:
-        code.sort()
-        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
-        sums, code = np.diff(first, append=len(code)), code[first]
-        rows = []
-        for _ in columns:
-            code, last = np.divmod(code, width)
-            rows.insert(0, last.astype(np.int32))
-        return rows, sums
-    order = np.argsort(code, kind="stable")
-    code = code[order]
-    first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
-    if weights is None:
-        sums = np.diff(first, append=len(code))
-    else:
-        sums = np.add.reduceat(weights[order], first) if len(first) else np.zeros(0, np.int64)
-    return [column[order[first]] for column in columns], sums
-
-
 class Block:
     """Word numbers per language, to be turned into counted phrases."""
 
@@ -140,10 +84,9 @@ class Block:
         words = list(self.numbers)[2:]
         return [words[i] for i in ids]
 
-    def dealt(self, parts: int) -> Iterator[dict]:
-        """Rows of ``BLOCKS``."""
+    def dealt(self, fan: int) -> Iterator[dict]:
+        """Rows of ``BLOCKS``, dealt to ``fan`` parts."""
         words = pa.array(list(self.numbers)[2:], pa.binary())
-        hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in list(self.numbers)[2:]], np.uint64)
         for lang, runs in self.said.items():
             ids = np.concatenate(runs)
             skip = self.begun.get(lang, 0)
@@ -152,29 +95,28 @@ class Block:
                 columns = [ids[k : len(ids) - n + 1 + k] for k in range(n)] if len(ids) >= n else [ids[:0]] * n
                 whole = np.logical_and.reduce([c >= 0 for c in columns])
                 whole[: max(0, skip - n + 1)] = False
-                rows, sums = tally([c[whole] for c in columns], max(1, len(words)))
-                grams.append((rows, sums))
-            yield from deal(lang, words, hashes, grams, parts)
+                grams.append(tally([c[whole] for c in columns], max(1, len(words))))
+            yield from deal(lang, words, grams, int(grams[0][1].sum()), fan)
 
 
-def deal(lang: str, words: pa.Array, hashes: np.ndarray, grams: list, parts: int) -> Iterator[dict]:
-    """Counted phrases by the part their hash names, each part with its own vocabulary."""
-    sorted_grams = []
+def deal(lang: str, words: pa.Array, grams: list, total: int, fan: int, level: int = 0, part: int = 0) -> Iterator[dict]:
+    """Counted phrases by a digit of their hash, each part with its own vocabulary."""
+    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words.to_pylist()], np.uint64)
+    dealt = []
     for rows, sums in grams:
         mixed = np.zeros(len(sums), np.uint64)
         for column in rows:
             mixed = (mixed ^ hashes[column]) * np.uint64(0x9E3779B97F4A7C15)
             mixed ^= mixed >> np.uint64(29)
-        part = (mixed >> np.uint64(16)) % np.uint64(parts)
-        part = part.astype(np.uint16 if parts <= 1 << 16 else np.int64)
-        order = np.argsort(part, kind="stable")
-        bounds = np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
-        sorted_grams.append(([c[order] for c in rows], sums[order], bounds))
+        digit = ((mixed >> np.uint64(8)) // np.uint64(fan**level) % np.uint64(fan)).astype(np.uint16)
+        order = np.argsort(digit, kind="stable")
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(digit, minlength=fan))])
+        dealt.append(([c[order] for c in rows], sums[order], bounds))
     used, place = np.zeros(len(words), bool), np.zeros(len(words), np.int32)
-    total = int(grams[0][1].sum())
-    for p in range(parts):
-        some = [([c[b[p] : b[p + 1]] for c in rows], sums[b[p] : b[p + 1]]) for rows, sums, b in sorted_grams]
-        if not any(len(sums) for _, sums in some) and not (p == 0 and total):
+    for p in range(fan):
+        some = [([c[b[p] : b[p + 1]] for c in rows], sums[b[p] : b[p + 1]]) for rows, sums, b in dealt]
+        own_total = total if p == 0 else 0
+        if not own_total and not any(len(sums) for _, sums in some):
             continue
         for rows, _ in some:
             for column in rows:
@@ -182,55 +124,49 @@ def deal(lang: str, words: pa.Array, hashes: np.ndarray, grams: list, parts: int
         own = np.flatnonzero(used)
         used[own] = False
         place[own] = np.arange(len(own))
-        taken = words.take(pa.array(own))
+        text, lengths = pack_words(words.take(pa.array(own)))
         yield {
-            "part": p,
+            "part": part + p * fan**level,
             "lang": lang,
-            "total": total if p == 0 else 0,
-            "words": zstandard.ZstdCompressor(level=1).compress(b"".join(taken.to_pylist())),
-            "lengths": pack(pc.binary_length(taken).to_numpy(zero_copy_only=False).astype(np.int32)),
+            "total": own_total,
+            "words": text,
+            "lengths": lengths,
             "ids": [pack(np.concatenate([place[c] for c in rows])) for rows, _ in some],
             "counts": [pack(sums.astype(np.int64)) for _, sums in some],
         }
 
 
-def _rows(rows: Iterator[dict], schema: pa.Schema, size: int) -> Iterator[pa.RecordBatch]:
-    held = []
+def _each(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
     for row in rows:
-        held.append(row)
-        if len(held) == size:
-            yield pa.RecordBatch.from_pylist(held, schema)
-            held = []
-    if held:
-        yield pa.RecordBatch.from_pylist(held, schema)
+        yield pa.RecordBatch.from_pylist([row], _BLOCKS)
 
 
 _BLOCKS = pa.schema(
-    [("part", pa.int32()), ("lang", pa.string()), ("total", pa.int64()), ("words", pa.binary()), ("lengths", pa.binary()),
+    [("part", pa.int64()), ("lang", pa.string()), ("total", pa.int64()), ("words", pa.binary()), ("lengths", pa.binary()),
      ("ids", pa.list_(pa.binary())), ("counts", pa.list_(pa.binary()))]
 )
 
 
-def counted_blocks(docs: DataFrame, max_words: int, parts: int) -> DataFrame:
+def counted_blocks(docs: DataFrame, max_words: int, fan: int) -> DataFrame:
     """``BLOCKS`` of the phrases of all texts; ``docs`` has the columns lang and text."""
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         block = Block(max_words)
         for batch in batches:
             for lang, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for chunk in _chunks((value.as_py() or b"").translate(_FOLD)):
+                for chunk in chunks((value.as_py() or b"").translate(_FOLD)):
                     block.add(lang, chunk.replace(b"\n", b" \n ").split(b" "))
                     if block.size >= BLOCK_WORDS:
                         tail = block.tail(lang)
-                        yield from block.dealt(parts)
+                        yield from block.dealt(fan)
                         block = Block(max_words)
                         block.add(lang, tail)
                         block.begun[lang] = len(tail)
                 block.add(lang, [b"\n"])
         if block.size:
-            yield from block.dealt(parts)
+            yield from block.dealt(fan)
 
-    return in_batches(docs.select("lang", F.col("text").cast("binary")), lambda b: _rows(dealt(b), _BLOCKS, 1), BLOCKS)
+    return in_batches(docs.select("lang", F.col("text").cast("binary")), lambda b: _each(dealt(b)), BLOCKS)
 
 
 class Merged:
@@ -239,13 +175,10 @@ class Merged:
     def __init__(self) -> None:
         self.words: list[pa.Array] = []
         self.rows: list[list[tuple[int, list[np.ndarray], np.ndarray]]] = []
-        self.total, self.size = 0, 0
+        self.total, self.size, self.room = 0, 0, 2 * PART_ROWS
 
     def add(self, row: dict) -> None:
-        lengths = unpack(row["lengths"], np.int32)
-        offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-        data = zstandard.ZstdDecompressor().decompress(row["words"])
-        self.words.append(pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(data)]))
+        self.words.append(unpack_words(row["words"], row["lengths"]))
         for n, (ids, counts) in enumerate(zip(row["ids"], row["counts"])):
             counts = unpack(counts, np.int64)
             columns = list(unpack(ids, np.int32).reshape(n + 1, -1))
@@ -270,6 +203,33 @@ class Merged:
         return words, grams
 
 
+def dealt_again(blocks: DataFrame, fan: int, level: int, slices: int) -> DataFrame:
+    """Blocks of the parts of one level, merged in slices and dealt to the parts of the next."""
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        last, merged = None, {}
+
+        def emptied(some: dict[str, Merged]) -> Iterator[dict]:
+            for lang, have in some.items():
+                words, grams = have.merge()
+                yield from deal(lang, words, grams, have.total, fan, level, last)
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["part"] != last:
+                    yield from emptied(merged)
+                    last, merged = row["part"], {}
+                have = merged.setdefault(row["lang"], Merged())
+                have.add(row)
+                if have.size > PART_ROWS:
+                    yield from emptied({row["lang"]: merged.pop(row["lang"])})
+        yield from emptied(merged)
+
+    slice_of = F.pmod(F.xxhash64("words", "counts"), F.lit(slices))
+    spread = blocks.repartition(fan**level * slices, "part", slice_of).sortWithinPartitions("part")
+    return in_batches(spread, lambda b: _each(dealt(b)), BLOCKS)
+
+
 def _escape(word: bytes) -> bytes:
     """Order is kept, and the bytes 0 and the end of a word can't be mistaken."""
     return word.replace(b"\x01", b"\x01\x02").replace(b"\x00", b"\x01\x01")
@@ -291,8 +251,9 @@ def frequent(blocks: DataFrame, parts: int, min_count: int) -> DataFrame:
             for row in batch.to_pylist():
                 have = merged.setdefault(row["lang"], Merged())
                 have.add(row)
-                if have.size > 2 * PART_ROWS:
+                if have.size > have.room:
                     have.merge()
+                    have.room = 2 * max(PART_ROWS, have.size)
         for lang, have in merged.items():
             words, grams = have.merge()
             if have.total:
@@ -306,7 +267,7 @@ def frequent(blocks: DataFrame, parts: int, min_count: int) -> DataFrame:
                     cut = slice(start, start + (1 << 16))
                     yield _counts(lang, n + 1, keys[cut], sums[often[cut]])
 
-    return in_batches(blocks.repartitionById(parts, "part"), run, COUNTS)
+    return in_batches(blocks.repartitionById(parts, F.col("part").cast("int")), run, COUNTS)
 
 
 def _counts(lang: str, size: int, keys: pa.Array, counts) -> pa.RecordBatch:
@@ -452,7 +413,12 @@ def mine_phrases(
     given = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text"))
     size = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, math.ceil(size * max_words / 6 / PART_ROWS))
-    counts = written(frequent(counted_blocks(given, max_words, parts), parts, min_count), "counts")
+    levels = max(1, math.ceil(math.log(parts, FAN))) if parts > 1 else 1
+    fan = max(1, math.ceil(parts ** (1 / levels)))
+    blocks = counted_blocks(given, max_words, fan)
+    for level in range(1, levels):
+        blocks = dealt_again(blocks, fan, level, math.ceil(parts / fan**level))
+    counts = written(frequent(blocks, fan**levels, min_count), "counts")
     rows = counts.count()
     passed = lockstep(laid_out(counts, _splitters(counts, rows)))
     # Every extension of a phrase is at most as frequent as some extension by one word.
