@@ -239,15 +239,46 @@ def report_at_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def clog_full_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals at every version of the walk, from one pass over the rows and their validity."""
-    ranges = history.valid_ranges(order_changes(spark, sf_dir), KEY)
-    last = F.coalesce(F.col("until"), F.lit(COMMITS).cast("long")) - 1
-    valid = ranges.select("o_custkey", "o_totalprice", F.explode(F.sequence("version", last)).alias("version"))
-    return valid.groupBy("version").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct("o_custkey").alias("n_customers"),
-        exact_sum("o_totalprice").alias("total"),
+    """Totals at every version of the walk, from what each change adds and takes away."""
+    totals = history.totals_by_version(
+        order_changes(spark, sf_dir), KEY, {"total": F.col("o_totalprice").cast("decimal(18,2)")}, {"n_customers": "o_custkey"}
     )
+    return totals.withColumn("total", F.col("total").cast("double"))
+
+
+@query(
+    "clog_net_changes",
+    f"""WITH {WALK}, pairs AS (
+        SELECT a.o_orderkey AS before_key, b.o_orderkey AS after_key, a.o_totalprice AS before_price, b.o_totalprice AS after_price,
+            a.o_orderstatus AS before_status, b.o_orderstatus AS after_status,
+            ({", ".join("a." + c.strip() for c in COLUMNS.split(","))}) IS DISTINCT FROM
+            ({", ".join("b." + c.strip() for c in COLUMNS.split(","))}) AS other
+        FROM v6 AS a FULL JOIN v10 AS b ON a.o_orderkey = b.o_orderkey)
+    SELECT 'delete' AS change, before_key AS o_orderkey, before_price AS o_totalprice, before_status AS o_orderstatus
+    FROM pairs WHERE after_key IS NULL
+    UNION ALL SELECT 'insert', after_key, after_price, after_status FROM pairs WHERE before_key IS NULL
+    UNION ALL SELECT 'update_before', before_key, before_price, before_status FROM pairs
+        WHERE before_key IS NOT NULL AND after_key IS NOT NULL AND other
+    UNION ALL SELECT 'update_after', after_key, after_price, after_status FROM pairs
+        WHERE before_key IS NOT NULL AND after_key IS NOT NULL AND other""",
+)
+def clog_net_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the last state differs from the one before the delete, whatever happened in between."""
+    net = history.net_changes(order_changes(spark, sf_dir), KEY, 6, 10)
+    return net.select("change", "o_orderkey", "o_totalprice", "o_orderstatus")
+
+
+@query("time_travel_snapshot", f"WITH {WALK} {SHOWN}, {NO_AMOUNT} FROM v9")
+def time_travel_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A version read from the nearest of two snapshots and the changes after it."""
+    folder = scratch_dir(spark, "snapshots")
+    changes = order_changes(spark, sf_dir)
+    changes.write.partitionBy("version").parquet(f"{folder}/changes")
+    stored = spark.read.parquet(f"{folder}/changes").withColumn("version", F.col("version").cast("long"))
+    for version in (3, 7):
+        history.take_snapshot(stored, KEY, version, f"{folder}/states")
+    states = spark.read.parquet(f"{folder}/states")
+    return shown(history.state_from_snapshot(states, stored, KEY, version=9))
 
 
 @query(
