@@ -127,6 +127,10 @@ def table_jobs(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], objec
             F.when(F.col("hit"), F.col("c")).otherwise(F.col("o_custkey")).alias("o_custkey"),
             F.when(F.col("hit"), F.col("p")).otherwise(F.col("o_totalprice")).alias("o_totalprice"),
         )
+        name = f"windrow_bench_{percent}"
+        stored = changes.lay_out(orders, name, scratch_dir(spark, "p5-laid-out"), ["o_orderkey"], 8)
+        spark.sql(f"DROP TABLE {name}")
+        jobs[f"p5_merge_laid_out_{percent}pc"] = lambda t=stored, s=source: force(changes.merge_laid_out(t, s, ["o_orderkey"], 8))
         jobs[f"p5_merge_{percent}pc"] = lambda s=source: force(changes.merge_upsert(orders, s, ["o_orderkey"]))
         jobs[f"p5_full_outer_{percent}pc"] = lambda o=outer: force(o)
     return jobs

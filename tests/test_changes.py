@@ -104,3 +104,56 @@ def test_append_checks_the_schema(spark):
         changes.append_merge_schema(df, df.withColumn("v", F.lit("x")))
     wide = changes.append_merge_schema(df, df.select("k", F.lit(2.5).alias("amount")))
     assert rows(wide) == sorted([("a", 1, None), ("a", None, 2.5)], key=repr)
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    """Stores rows as a laid-out table; the tables go after the test."""
+    names = []
+
+    def store(df, keys, buckets=4):
+        names.append(f"laid_out_{tmp_path.name.replace('-', '_')}_{len(names)}")
+        return changes.lay_out(df, names[-1], str(tmp_path / names[-1]), keys, buckets)
+
+    yield store
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_laid_out_merge_is_the_merge(spark, stored, seed):
+    """Random tables with repeated and null keys, a third of the rows in one key; values of matches may be null."""
+    pick = random.Random(seed)
+    keys = [None, "hot", *(f"k{i}" for i in range(40))]
+    target = [("hot" if i % 3 == 0 else pick.choice(keys), pick.randrange(9)) for i in range(200)]
+    matched = [(k, pick.choice([None, 100])) for k in pick.sample(keys[1:], 15)]
+    source = matched + [(None, 1), (None, 1), ("new", 5), ("new", 5), ("other", None)]
+    a, b = (local_frame(spark, r, KV).repartition(3) for r in (target, source))
+    assert rows(changes.merge_laid_out(stored(a, ["k"]), b, ["k"], 4)) == rows(changes.merge_upsert(a, b, ["k"]))
+    empty = b.limit(0)
+    assert rows(changes.merge_laid_out(stored(a, ["k"]), empty, ["k"], 4)) == rows(a)
+    assert rows(changes.merge_laid_out(stored(a.limit(0), ["k"]), b, ["k"], 4)) == rows(b)
+
+
+def test_laid_out_merge_over_two_keys_refuses_two_rows_for_one(spark, stored):
+    schema = "v bigint, k string, j int"
+    target = stored(local_frame(spark, [(1, "a", 1), (2, "a", 2), (3, "b", 1)], schema), ["k", "j"])
+    once = local_frame(spark, [(9, "a", 2), (8, "b", 2), (7, "b", 2)], schema)
+    assert rows(changes.merge_laid_out(target, once, ["k", "j"], 4)) == [(1, "a", 1), (3, "b", 1), (7, "b", 2), (8, "b", 2), (9, "a", 2)]
+    merged = changes.merge_laid_out(target, once.unionByName(once), ["k", "j"], 4)
+    for action in (merged.collect, merged.count):
+        with pytest.raises(SparkRuntimeException, match="several source rows"):
+            action()
+
+
+def test_laid_out_merge_reads_the_table_once_and_shuffles_only_the_source(spark, stored, medium):
+    orders = spark.read.parquet(f"{medium}/orders.parquet").select("o_orderkey", "o_totalprice")
+    table = stored(orders, ["o_orderkey"])
+    assert len({r[0] for r in table.select(F.input_file_name()).distinct().collect()}) == 4
+    batch = orders.withColumn("o_orderkey", F.col("o_orderkey") + 5)
+    merged = changes.merge_laid_out(table, batch, ["o_orderkey"], 4)
+    tree = merged._jdf.queryExecution().executedPlan().toString()
+    left, right = tree.split("SortMergeJoin")[1].split("Window", 1)
+    assert "Exchange" not in left and "Bucketed: true" in left
+    assert tree.count("Exchange hashpartitioning") == 1 and right.count("Exchange hashpartitioning") == 1
+    assert tree.count("FileScan") == 2

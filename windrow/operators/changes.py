@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from windrow.session import scratch_dir
 from windrow.sources.readers import local_frame
@@ -173,6 +174,48 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     return kept.unionByName(added.select(*target.columns))
 
 
+def lay_out(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Store rows as a table laid out by key: ``buckets`` files, each with all rows of its keys.
+
+    Joins and merges on the keys then read co-located files instead of shuffling the table. Choose so
+    many buckets that one fits a task's memory; a table that is merged again and again stays laid
+    out if its new state is written by this again.
+    """
+    # Dealt like the buckets first, so that every bucket is one file and not one per task.
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).mode("overwrite").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def merge_laid_out(target: DataFrame, source: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """``merge_upsert`` into a table that ``lay_out`` has stored with so many buckets.
+
+    The table is read once, bucket by bucket, and not shuffled; the source is dealt to the same
+    buckets and read once. The cost of the shuffle follows the change, not the table. A key with
+    many rows in the table is in one bucket by its layout, and rows of the source that
+    share a key (null among them) meet in one task. Several source rows that match one target
+    row fail the job; those that match none are all inserted.
+    """
+    keys = list(keys)
+    source = fit_to(source, target.schema)
+    key_columns = [F.col(f"`{k}`") for k in keys]
+    # The count takes the order that the join needs as well.
+    counted = source.repartition(buckets, *key_columns).withColumn("_matches", F.count(F.lit(1)).over(Window.partitionBy(*key_columns)))
+    change = counted.select(
+        *[c.alias(f"_key{i}") for i, c in enumerate(key_columns)],
+        F.struct(*[F.col(f"`{c}`") for c in source.columns]).alias("_new"),
+        "_matches",
+    )
+    same = [F.col(f"`{k}`") == F.col(f"_key{i}") for i, k in enumerate(keys)]
+    both = target.withColumn("_held", F.lit(True)).join(change, same, "full")
+    clash = F.raise_error(F.lit("several source rows match one target row")).cast("boolean")
+    told = F.col("_matches").isNotNull()
+    sound = F.when(F.col("_held") & (F.col("_matches") > 1), clash).otherwise(True)
+    return both.filter(sound).select(
+        *[F.when(told, F.col(f"_new.`{c}`")).otherwise(F.col(f"`{c}`")).alias(c) for c in target.columns]
+    )
+
+
 def swap_in(df: DataFrame, path: str, view: str) -> DataFrame:
     """Write the new state to a fresh folder, then point the view at it.
 

@@ -84,6 +84,20 @@ def merge_upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.merge_upsert(orders, batch, ["o_orderkey"])
 
 
+@query(
+    "merge_laid_out",
+    f"{ORDERS} WHERE o_orderkey NOT IN (SELECT o_orderkey FROM ({ORDER_BATCH})) UNION ALL ({ORDER_BATCH})",
+)
+def merge_laid_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same into orders laid out by key, which the merge does not shuffle."""
+    orders, batch = order_batch(spark, sf_dir)
+    name = view_name("orders")
+    stored = changes.lay_out(orders, name, scratch_dir(spark, "laid-out"), ["o_orderkey"], 8)
+    merged = changes.merge_laid_out(stored, batch, ["o_orderkey"], 8)
+    spark.sql(f"DROP TABLE {name}")  # its files stay, and the result reads them
+    return merged
+
+
 @query(
     "insert_values",
     f"""{LOANS_SQL} UNION ALL SELECT '7', 450 FROM range(6)""",
