@@ -184,3 +184,83 @@ def test_saved_model_predicts_the_same(spark, tmp_path):
     again = models.load_model(str(tmp_path / "m"))
     a, b = (models.predict(m, df, ["x"]).select("prediction").collect() for m in (model, again))
     assert a == b
+
+
+def test_text_columns_count_by_level(spark):
+    """Against a design matrix made by hand; rows with a null leave, also from the levels."""
+    rng = np.random.default_rng(3)
+    rows = [
+        (str(rng.choice(["b", "a", "c", "é"])), bool(rng.random() < 0.5), float(x), int(x) % 7)
+        for x in rng.integers(0, 50, 400)
+    ]
+    rows += [("only with a null", True, None, 1), (None, True, 4.0, 2)]
+    schema = "color string, flag boolean, x double, w int"
+    df = local_frame(spark, rows, schema).withColumn("y", F.col("x") * 2 + F.length("color") + F.pmod(F.xxhash64("x", "w", "color", "flag"), F.lit(13)))
+    got = {r["term"]: r for r in models.ols(df, "y", ["color", "flag", "x", "w"]).collect()}
+    known = df.dropna().toPandas()
+    columns = {"(Intercept)": np.ones(len(known))}
+    columns |= {f"color{c}": (known["color"] == c).to_numpy(float) for c in ("b", "c", "é")}
+    columns |= {"flagtrue": known["flag"].to_numpy(float), "x": known["x"], "w": known["w"].to_numpy(float)}
+    design = np.column_stack(list(columns.values()))
+    beta, rss, *_ = np.linalg.lstsq(design, known["y"].to_numpy(float), rcond=None)
+    error = np.sqrt(np.diag(np.linalg.inv(design.T @ design)) * rss[0] / (len(known) - len(columns)))
+    assert list(got) == list(columns)
+    for i, term in enumerate(columns):
+        assert (got[term]["estimate"], got[term]["std_error"]) == (pytest.approx(beta[i], rel=1e-7), pytest.approx(error[i], rel=1e-7))
+
+
+def test_text_with_one_level_or_too_many(spark, monkeypatch):
+    df = spark.range(60).select(F.lit("same").alias("t"), F.col("id").cast("string").alias("many"), (F.col("id") * 2.0 + F.sin("id")).alias("y"), "id")
+    got = models.ols(df, "y", ["t", "id"]).collect()
+    assert [r["term"] for r in got] == ["(Intercept)", "id"]
+    monkeypatch.setattr(models, "MAX_LEVELS", 59)
+    with pytest.raises(ValueError, match="more than 59"):
+        models.ols(df, "y", ["many", "id"])
+
+
+def test_predictions_with_text_and_levels_never_seen(spark):
+    df = spark.range(200).select(
+        F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 3 == 1, "b").otherwise("c").alias("t"), (F.col("id") % 11).cast("double").alias("x")
+    ).withColumn("y", F.col("x") * 3 + F.when(F.col("t") == "b", 5.0).when(F.col("t") == "c", -2.0).otherwise(1.0))
+    levels = models.levels_of(df, ["t"])
+    assert levels == {"t": ["a", "b", "c"]}
+    model = models.fit_line(df, "y", ["t", "x"], levels)
+    new = local_frame(spark, [("a", 1.0), ("b", 2.0), ("z", 3.0), (None, 3.0), ("c", None)], "t string, x double")
+    got = {(r["t"], r["x"]): r["prediction"] for r in models.predict(model, new, ["t", "x"], levels).collect()}
+    assert got["a", 1.0] == pytest.approx(4.0) and got["b", 2.0] == pytest.approx(11.0)
+    assert got["z", 3.0] is got[None, 3.0] is got["c", None] is None
+
+
+def test_a_hundred_columns_in_one_job_equal_the_library(spark, monkeypatch):
+    df = spark.range(0, 3000, 1, 7).select(
+        *[(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1000)) / 9 + (10 if i % 10 == 0 else 0)).alias(f"c{i}") for i in range(100)]
+    )
+    df = df.withColumn("y", F.col("c1") * 3 - F.col("c20") + F.col("c99") * 5 + F.pmod(F.xxhash64("c1", "c2"), F.lit(50)))
+    df = df.cache()
+    df.count()
+    passes = []
+    monkeypatch.setattr(models, "wide_moments", lambda *given, real=models.wide_moments: passes.append(1) or real(*given))
+    mine = models.ols(df, "y").collect()
+    assert len(passes) == 1
+    library = models.tidy_model(spark, models.fit_line(df, "y"), [c for c in df.columns if c != "y"]).collect()
+    for a, b in zip(mine, library):
+        assert a["term"] == b["term"]
+        if a["term"] != "(Intercept)":
+            assert tuple(a)[1:4] == pytest.approx(tuple(b)[1:4], rel=1e-6)
+    df.unpersist()
+
+
+def test_both_ways_to_the_moments_agree(spark, monkeypatch):
+    df = spark.range(0, 999, 1, 5).select(*[(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(97)) + 1e7).cast("double").alias(f"v{i}") for i in range(4)])
+    native = models.cross_moments(df, 4)
+    monkeypatch.setattr(models, "PAIRS_AT_ONCE", 1)
+    wide = models.cross_moments(df, 4)
+    assert native[0] == wide[0] == 999
+    assert np.allclose(native[1], wide[1], rtol=1e-13) and np.allclose(native[2], wide[2], rtol=1e-7)
+    assert models.cross_moments(df.limit(0), 4)[0] == 0
+
+
+def test_moments_of_a_hot_group_are_never_listed(spark):
+    df = spark.range(1000).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("x"), F.sin("id").alias("y"))
+    plan = models.group_ols_by_function(df, "g", "y", "x")._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan

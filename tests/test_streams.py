@@ -5,14 +5,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from windrow.sources.readers import local_frame
+from windrow.streaming import folders
 from windrow.streaming.folders import add_batch, names_in, read_batches, stream_batches
-from windrow.streaming.running import latest_result, refresh_result, running_sum, start_running, write_stream
+from windrow.streaming.running import latest_result, refresh_keyed, refresh_result, running_sum, start_running, write_stream
 
 KV = "k string, v bigint"
 
 
 def rows_of(df):
-    return sorted(map(tuple, df.collect()))
+    return sorted(map(tuple, df.collect()), key=str)
 
 
 @pytest.mark.parametrize("seed", range(2))
@@ -81,3 +82,37 @@ def test_sink_writes_each_row_once_across_runs(spark, tmp_path):
     written = write_stream(stream_batches(spark, folder), *where, timeout=120)
     assert rows_of(written) == [("a", 1), ("b", 2), ("c", 3)]
     assert write_stream(stream_batches(spark, folder), *where, timeout=120).count() == 3
+
+
+def test_two_writers_that_both_looked_first_count_once(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "t")
+    rows = local_frame(spark, [("c", i) for i in range(5)], KV)
+    assert add_batch(rows, folder, "one")
+    monkeypatch.setattr(folders, "names_in", lambda *_: [])  # as the other writer saw it
+    assert not add_batch(rows, folder, "one")
+    monkeypatch.undo()
+    assert read_batches(spark, folder).count() == 5
+    assert names_in(spark, f"{folder}/_aside") == []
+
+
+def test_keyed_results_write_what_changed_and_survive_restarts_and_folds(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    where = (str(tmp_path / "result"), str(tmp_path / "checkpoint"))
+    data = [(f"k{i}", i) for i in range(300)]
+    add_batch(local_frame(spark, data, KV), folder, "first")
+    sums = running_sum(stream_batches(spark, folder), "k", "v", "total")
+    result = refresh_keyed(sums, ["k"], *where, timeout=120, fold_after=2)
+    for number in range(4):
+        more = [("k1", 10 + number), (f"new{number}", 1), ("k1", 5), (None, number)]
+        add_batch(local_frame(spark, more, KV), folder, f"more-{number}")
+        earlier, kept = rows_of(result), result
+        result = refresh_keyed(sums, ["k"], *where, timeout=120, fold_after=2)
+        assert sorted(map(str, rows_of(kept))) == sorted(map(str, earlier))
+        want = read_batches(spark, folder).groupBy("k").agg(F.sum("v").alias("total"))
+        assert sorted(map(str, result.collect())) == sorted(map(str, want.collect()))
+        written = spark.read.parquet(f"{where[0]}/batch={number + 1}").count()
+        assert written == 3  # of more than 300 keys
+    assert len([n for n in names_in(spark, where[0]) if n.startswith("batch=")]) <= 4
+    assert sorted(map(str, refresh_keyed(sums, ["k"], *where, timeout=120, fold_after=2).collect())) == sorted(map(str, result.collect()))
+    with pytest.raises(ValueError, match="batch"):
+        refresh_keyed(sums.withColumnRenamed("total", "batch"), ["k"], *where)

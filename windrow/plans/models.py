@@ -125,6 +125,37 @@ def global_ols_redundant(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "global_ols_text",
+    """
+WITH g AS (
+    SELECT l_returnflag AS flag, COUNT(*) AS n, avg(l_quantity) AS mx, avg(l_extendedprice) AS my,
+        regr_sxx(l_extendedprice, l_quantity) AS sxx, regr_syy(l_extendedprice, l_quantity) AS syy,
+        regr_sxy(l_extendedprice, l_quantity) AS sxy FROM lineitem GROUP BY 1
+), f AS (
+    SELECT sum(sxx) AS sxx, sum(sxy) / sum(sxx) AS b,
+        (sum(syy) - sum(sxy) * sum(sxy) / sum(sxx)) / (sum(n) - count(*) - 1) AS v FROM g
+), base AS (SELECT * FROM g WHERE flag = (SELECT min(flag) FROM g)),
+t AS (
+    SELECT '(Intercept)' AS term, my - b * mx AS estimate, sqrt(v * (1.0 / n + mx * mx / f.sxx)) AS std_error FROM base, f
+    UNION ALL SELECT 'l_quantity', b, sqrt(v / sxx) FROM f
+    UNION ALL SELECT 'l_returnflag' || g.flag, (g.my - b * g.mx) - (base.my - b * base.mx),
+        sqrt(v * (1.0 / g.n + 1.0 / base.n + (g.mx - base.mx) * (g.mx - base.mx) / f.sxx))
+    FROM g, f, base WHERE g.flag <> base.flag
+)
+SELECT term, round(estimate, 3) AS estimate, round(std_error, 3) AS std_error, round(estimate / std_error, 4) AS statistic FROM t
+""",
+)
+def global_ols_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One regression on all other columns, one of them text: its levels against the first."""
+    items = load(spark, sf_dir, "lineitem").select("l_extendedprice", "l_quantity", "l_returnflag")
+    table = models.ols(items, "l_extendedprice")
+    return table.select(
+        "term", F.round("estimate", 3).alias("estimate"), F.round("std_error", 3).alias("std_error"),
+        F.round("statistic", 4).alias("statistic"),
+    )
+
+
 @query(
     "model_roundtrip",
     "SELECT COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_different, true AS predicts FROM lineitem",

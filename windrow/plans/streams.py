@@ -11,7 +11,7 @@ from windrow.plans.registry import query
 from windrow.session import scratch_dir
 from windrow.sources.readers import local_frame
 from windrow.streaming.folders import add_batch, read_batches, stream_batches
-from windrow.streaming.running import refresh_result, running_sum, write_stream
+from windrow.streaming.running import refresh_keyed, refresh_result, running_sum, write_stream
 
 
 def event_folder(spark: SparkSession, sf_dir: str) -> str:
@@ -39,6 +39,19 @@ def stream_sum_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summed(spark, running_sum(stream, "user_id", "cents", "cents"))
 
 
+@query("stream_keyed_updates", EVENT_SUMS.format(key="user_id", name="cents"))
+def stream_keyed_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sums, kept up to date by writing only the users that each batch touches."""
+    folder, root = scratch_dir(spark, "events"), scratch_dir(spark, "stream")
+    events = load(spark, sf_dir, "events").withColumn("cents", F.round(F.col("value") * 100).cast("long"))
+    buys = F.col("event_type") == "purchase"
+    add_batch(events.filter(~buys), folder, "others")
+    sums = running_sum(stream_batches(spark, folder), "user_id", "cents", "cents")
+    refresh_keyed(sums, ["user_id"], f"{root}/result", f"{root}/checkpoint")
+    add_batch(events.filter(buys), folder, "purchases")
+    return refresh_keyed(sums, ["user_id"], f"{root}/result", f"{root}/checkpoint")
+
+
 @query("stream_sql_view", EVENT_SUMS.format(key="event_type", name="loans"))
 def stream_sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream registered as a view and summed by SQL text."""

@@ -7,6 +7,9 @@ off repeats its batch without counting it twice.
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -27,16 +30,51 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     files.delete(hadoop, True)
 
 
+def _moved(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a folder to a name that is free; False, and nothing changed, where it is taken.
+
+    The move asks the file system to refuse an existing target, which distributed file systems do in one
+    step. Where the test and the move are two steps, a folder that another writer has put there in
+    between takes the moved one inside itself: that is undone.
+    """
+    jvm = spark._jvm
+    paths = [jvm.org.apache.hadoop.fs.Path(path) for path in (source, target)]
+    files = paths[1].getFileSystem(spark._jsc.hadoopConfiguration())
+    paths = [files.makeQualified(path) for path in paths]
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(paths[1].toUri(), spark._jsc.hadoopConfiguration())
+    kinds = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(kinds, 1)
+    options[0] = getattr(kinds, "NONE")
+    try:
+        context.rename(*paths, options)
+    except Py4JJavaError as error:
+        if "AlreadyExists" not in str(error.java_exception.getClass().getName()):
+            raise
+        return False
+    inside = jvm.org.apache.hadoop.fs.Path(paths[1], paths[0].getName())
+    if files.exists(inside):
+        files.delete(inside, True)
+        return False
+    return True
+
+
 def add_batch(rows: DataFrame, folder: str, name: str) -> bool:
-    """Add rows as batch ``name``; False where that batch is there already."""
+    """Add rows as batch ``name``; False where that batch is there already.
+
+    Of several writers of one batch one succeeds, whenever they look. Each writes aside under a
+    name of its own.
+    """
     spark = rows.sparkSession
     if name in names_in(spark, f"{folder}/batches"):
         return False
-    aside = f"{folder}/_aside/{name}"
-    rows.write.mode("overwrite").parquet(aside)
+    aside = f"{folder}/_aside/{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(aside)
     files, target = _files(spark, f"{folder}/batches")
     files.mkdirs(target)
-    return bool(files.rename(_files(spark, aside)[1], _files(spark, f"{folder}/batches/{name}")[1]))
+    added = _moved(spark, aside, f"{folder}/batches/{name}")
+    if not added:
+        remove_folder(spark, aside)
+    return added
 
 
 def read_batches(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,10 +8,11 @@ the RocksDB state store for its session.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from windrow.streaming.folders import names_in, remove_folder
@@ -90,6 +91,52 @@ def latest_result(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{path}/{max(names, key=_number)}")
 
 
+def _batches(spark: SparkSession, path: str, kind: str = "batch") -> list[int]:
+    return sorted(int(name.split("=")[1]) for name in names_in(spark, path) if name.startswith(f"{kind}="))
+
+
+def refresh_keyed(
+    df: DataFrame, keys: Sequence[str], path: str, checkpoint: str, timeout: int | None = None, fold_after: int = 50
+) -> DataFrame:
+    """Bring a running aggregate up to date, writing only the keys that new rows touched.
+
+    Every batch adds its changed keys under its number (update mode); the result takes the last
+    row of each key, by one aggregation. When more than ``fold_after`` batches lie there, they are
+    folded into one state, so that reading does not grow with the age of the stream. What
+    this returned before stays readable until the next call.
+    """
+    if {"batch", "state"} & set(df.columns):
+        raise ValueError("columns named batch or state are in the way of the result's folders")
+    spark = df.sparkSession
+    states = [n for n in _batches(spark, path, "state") if "_SUCCESS" in names_in(spark, f"{path}/state={n}")]
+    for kind, upto in (("batch", states[-1] if states else -1), ("state", states[-1] - 1 if states else -1)):
+        for number in _batches(spark, path, kind):
+            if number <= upto:
+                remove_folder(spark, f"{path}/{kind}={number}")
+    run_available(df, checkpoint, _into(path, None), "update", timeout)
+    numbers = _batches(spark, path)
+    if len(numbers) > fold_after:
+        # Without its _SUCCESS file, a state that was broken off is not read.
+        latest_keyed(df, keys, path).write.mode("overwrite").parquet(f"{path}/state={numbers[-1]}")
+    return latest_keyed(df, keys, path)
+
+
+def latest_keyed(df: DataFrame, keys: Sequence[str], path: str) -> DataFrame:
+    """The last row of every key among the batches written; no rows where there are none."""
+    spark = df.sparkSession
+    whole = [n for n in _batches(spark, path, "state") if "_SUCCESS" in names_in(spark, f"{path}/state={n}")]
+    base = whole[-1] if whole else -1
+    rows = spark.createDataFrame([], df.schema).withColumn("batch", F.lit(0))
+    if whole:
+        rows = spark.read.schema(df.schema).parquet(f"{path}/state={base}").withColumn("batch", F.lit(base))
+    later = [f"{path}/batch={n}" for n in _batches(spark, path) if n > base]
+    if later:
+        schema = T.StructType([*df.schema.fields, T.StructField("batch", T.IntegerType())])
+        rows = rows.unionByName(spark.read.schema(schema).option("basePath", path).parquet(*later))
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), "batch").alias("_last"))
+    return last.select("_last.*")
+
+
 def write_stream(df: DataFrame, path: str, checkpoint: str, timeout: int | None = None) -> DataFrame:
     """Write a stream's rows to files, every row once, and return what is written."""
 
