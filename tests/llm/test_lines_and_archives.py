@@ -153,3 +153,15 @@ def test_batches_are_bounded_by_bytes(spark):
         assert sum(got) == 2000 and max(got) <= 150
     finally:
         spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_line_counts_in_either_ansi_mode(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        docs = spark.createDataFrame([(1, "a line of text\nother words here"), (2, "a line of text"), (3, None), (4, "")], "doc_id long, text string")
+        got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept_text) for r in line_dedup.dedup_lines(docs).collect()}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert got == {1: (2, 0, "a line of text\nother words here"), 2: (1, 1, ""), 3: (1, 0, None), 4: (1, 0, "")}

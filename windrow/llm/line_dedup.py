@@ -86,8 +86,9 @@ def dedup_lines(
     return given.join(lost, ["doc", "row"], "left").select(
         F.col("doc").alias(doc_id),
         kept.alias("kept_text"),
-        F.coalesce(F.size("body"), F.lit(1)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("lost"), F.lit(0)).cast("long").alias("n_dropped"),
+        # The size of a null is null or -1, as the session's ANSI mode has it.
+        F.when(F.col("body").isNull(), 1).otherwise(F.size("body")).cast("long").alias("n_lines"),
+        F.when(F.col("lost").isNull(), 0).otherwise(F.size("lost")).cast("long").alias("n_dropped"),
         "carried",
     )
 
