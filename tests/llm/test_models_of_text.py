@@ -169,6 +169,21 @@ def test_outliers_of_a_group_are_rejected(spark):
     assert sum(passed) >= 0.98 * len(passed)
 
 
+def test_small_groups_take_the_estimate_of_their_language_or_of_all(spark):
+    """A source per document, as web data has it: outliers go all the same."""
+    clean = [(i, prose(i, 80 + i % 40), "en", f"host{i}") for i in range(150)]
+    rare = [(500 + i, prose(700 + i, 90), "xx", None) for i in range(5)]
+    odd = [(1000 + i, " ".join(w + "###" for w in prose(300 + i, 80).split()), ("en", "xx", None)[i % 3], f"odd{i}") for i in range(9)]
+    docs = spark.createDataFrame(clean + rare + odd, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in robust_rules.quality_rules(docs).collect()}
+    assert len(got) == len(clean) + len(rare) + len(odd)
+    assert not any(got[1000 + i].kept for i in range(9))
+    passed = [r.kept for r in got.values() if r.doc_id < 1000 and not r.base_failed]
+    assert len(passed) > 100 and sum(passed) >= 0.97 * len(passed)
+    few = robust_rules.quality_rules(docs.where("doc_id < 10")).collect()
+    assert all(r.kept != r.base_failed and r.distance is None for r in few)
+
+
 def test_clean_documents_are_kept(spark, medium):
     labels = labelled(spark, medium, "quality")
     got = [r for r in QUERIES["op3_mcd_quality_rules"](spark, medium).collect() if not r.base_failed and r.doc_id in labels]

@@ -12,7 +12,8 @@ the half kept as a whole, the last one by part.
 
 - null or empty text: no words, fails the base rules; null language or source: a group of its own;
 - documents failing the base rules take no part in the estimates;
-- a group of fewer than ``SMALLEST`` documents has no estimate: the base rules decide alone;
+- a group of fewer than ``SMALLEST`` documents takes the estimate of its language, then of all documents;
+  only where all are fewer, the base rules decide alone;
 - several rows with one id: one result each; extra columns are ignored.
 """
 
@@ -191,18 +192,25 @@ def minimum_determinant(weight: np.ndarray, sums: np.ndarray, products: np.ndarr
     return _moments(weight, near, sums, products) if near.sum() else (mean, scatter)
 
 
-def group_estimates(counted: DataFrame, keys: list[str]) -> DataFrame:
-    """Centre and whitening rows per group: ``centre`` and ``whiten``, arrays of double."""
+_PAIRS = [(i, j) for i in range(RATES) for j in range(i, RATES)]
+_SUMS = [f"s{i}" for i in range(RATES)] + [f"p{i}{j}" for i, j in _PAIRS]
+
+
+def occupied_cells(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """Cells of the rates per group: ``weight``, the rates' sums and the sums of their products."""
     vector = [rate.alias(f"x{i}") for i, rate in enumerate(rates())]
     rows = counted.where(~F.col("base_failed")).select(*keys, *vector)
     cell = [F.floor(F.col(f"x{i}") / CELL).alias(f"cell{i}") for i in range(RATES)]
-    pairs = [(i, j) for i in range(RATES) for j in range(i, RATES)]
-    cells = rows.groupBy(*keys, *cell).agg(
+    return rows.groupBy(*keys, *cell).agg(
         F.count("*").alias("weight"),
         *(F.sum(f"x{i}").alias(f"s{i}") for i in range(RATES)),
-        *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"p{i}{j}") for i, j in pairs),
+        *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"p{i}{j}") for i, j in _PAIRS),
     )
-    kinds = dict(counted.dtypes)
+
+
+def estimates_of(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Centre and whitening rows per group of cells, where a group has ``SMALLEST`` documents."""
+    kinds = dict(cells.dtypes)
 
     def estimate(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values([f"cell{i}" for i in range(RATES)])
@@ -210,7 +218,7 @@ def group_estimates(counted: DataFrame, keys: list[str]) -> DataFrame:
         if weight.sum() < SMALLEST:
             return pd.DataFrame(columns=[*keys, "centre", "whiten"])
         products = np.zeros((len(frame), RATES, RATES))
-        for i, j in pairs:
+        for i, j in _PAIRS:
             products[:, i, j] = products[:, j, i] = frame[f"p{i}{j}"]
         mean, scatter = minimum_determinant(weight, frame[[f"s{i}" for i in range(RATES)]].to_numpy(), products)
         whiten = np.linalg.inv(np.linalg.cholesky(scatter))
@@ -221,6 +229,32 @@ def group_estimates(counted: DataFrame, keys: list[str]) -> DataFrame:
     return cells.groupBy(*keys).applyInPandas(estimate, schema)
 
 
+def group_estimates(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """Centre and whitening rows per group: ``centre`` and ``whiten``, arrays of double."""
+    return estimates_of(occupied_cells(counted, keys), keys)
+
+
+def pooled_estimates(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """``group_estimates`` of every group: one that is too small takes that of the keys before its last,
+    and so on to that of all documents. Cells add up, so the documents are read once.
+    """
+    cells = written(occupied_cells(counted, keys), "cells")
+    grid = [f"cell{i}" for i in range(RATES)]
+    found = cells.select(*keys).distinct().withColumns({"centre": F.lit(None).cast("array<double>"), "whiten": F.lit(None).cast("array<double>")})
+    for size in range(len(keys), -1, -1):
+        some = keys[:size]
+        pooled = cells.groupBy(*some, *grid).agg(F.sum("weight").alias("weight"), *[F.sum(c).alias(c) for c in _SUMS])
+        # The last one is a single row, alike for all groups.
+        level = estimates_of(pooled.withColumn("_all", F.lit(0)), [*some, "_all"])
+        level = level.withColumnsRenamed({**{k: f"_{k}" for k in some}, "centre": "_centre", "whiten": "_whiten"})
+        same = F.col("_one") == F.col("_all")
+        for key in some:
+            same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
+        joined = found.withColumn("_one", F.lit(0)).join(level, same, "left")
+        found = joined.select(*keys, *[F.coalesce(c, f"_{c}").alias(c) for c in ("centre", "whiten")])
+    return found.where(F.col("centre").isNotNull())
+
+
 def quality_rules(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source"
 ) -> DataFrame:
@@ -234,7 +268,7 @@ def quality_rules(
     counted = document_counts(renamed, ["doc_id", "lang", "source"], "text")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     counted = written(counted.withColumn("base_failed", failed), "counts")
-    found = written(group_estimates(counted, ["lang", "source"]), "estimates")
+    found = written(pooled_estimates(counted, ["lang", "source"]), "estimates")
     found = found.withColumnsRenamed({"lang": "of_lang", "source": "of_source"})
     joined = counted.join(
         found, F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source")), "left"
