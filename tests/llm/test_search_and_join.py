@@ -219,3 +219,20 @@ def test_intersections():
     sets = [np.unique(np.array([pick.randrange(50) for _ in range(20)], np.uint64)) for _ in range(30)]
     got = chosen_path.shared_counts(sets)
     assert all(got[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(30) for j in range(30) if i != j)
+
+
+def test_rows_without_an_id_meet_the_sets_of_their_own_text_only(spark):
+    """The join that fetches texts carries one row per row at most, however many share an id or lack one."""
+    rows = [(None if i % 2 else 7, prose(i, 30)) for i in range(60)] + [(None, prose(1, 30))] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sets = chosen_path.sets_of(docs, "doc_id", "text").cache()
+    members = sets.select("doc", "node", "h1", "h2")
+    fetched = chosen_path.node_sets(docs, members, members.select("node").distinct(), "doc_id", "text")
+    seen = {r.node: r for r in fetched.collect()}
+    assert len(seen) == sets.select("node").distinct().count()
+    assert sum(r.copies for r in seen.values()) == len(rows)
+    for r in sets.collect():
+        assert chosen_path.set_number(np.frombuffer(seen[r.node].tokens, np.uint64)) == r.node
+    plan = fetched._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner, (((" in plan and "h1#" in plan.split("Join Inner", 1)[1].splitlines()[0]
+    sets.unpersist()

@@ -127,7 +127,7 @@ def set_number(tokens: np.ndarray) -> int:
 
 
 def sets_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Per row the id, the number of its set and the set's signature; nulls without a word."""
+    """Per row the id, the number of its set, the set's signature, and two hashes that know the text; nulls without a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,11 +136,17 @@ def sets_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 tokens = shingles(value.as_py())
                 numbers.append(set_number(tokens) if len(tokens) else None)
                 signatures.append(signature(tokens).tobytes() if len(tokens) else None)
-            columns = [batch.column(0), pa.array(numbers, pa.int64()), pa.array(signatures, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc", "node", "signature"])
+            columns = [batch.column(0), pa.array(numbers, pa.int64()), pa.array(signatures, pa.binary()), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "node", "signature", "h1", "h2"])
 
     kind = dict(docs.dtypes)[doc_id]
-    return in_batches(docs.select(doc_id, text), run, f"doc {kind}, node long, signature binary")
+    given = docs.select(doc_id, text, *text_hashes(F.col(text)))
+    return in_batches(given, run, f"doc {kind}, node long, signature binary, h1 long, h2 long")
+
+
+def text_hashes(text: Column) -> list[Column]:
+    """Two 64-bit hashes of a text, ``h1`` and ``h2``."""
+    return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]
 
 
 def sampled(paths: np.ndarray, width: float) -> np.ndarray:
@@ -413,15 +419,19 @@ def node_sets(docs: DataFrame, members: DataFrame, wanted: DataFrame, doc_id: st
             rows = []
             for node, copies, value in zip(*(c.to_pylist() for c in batch.columns)):
                 tokens = shingles(value)
-                # Another row of the same id may hold another text.
                 if len(tokens) and set_number(tokens) == node:
                     rows.append((node, copies, tokens.tobytes()))
             columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.binary()))]
             yield pa.RecordBatch.from_arrays(columns, ["node", "copies", "tokens"])
 
-    chosen = members.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc").alias("doc"), F.count("*").alias("copies"))
-    texts = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("body"))
-    carried = texts.join(chosen.select(F.col("doc").alias("of"), "node", "copies"), F.col("doc").eqNullSafe(F.col("of")))
+    # One row of each node, known by its id and its text: rows without an id, or with one id, meet
+    # the nodes of their own text only.
+    row = F.struct("doc", "h1", "h2")
+    chosen = members.join(wanted, "node", "left_semi").groupBy("node").agg(F.min(row).alias("row"), F.count("*").alias("copies"))
+    of = chosen.select(F.col("row.doc").alias("of"), F.col("row.h1").alias("of1"), F.col("row.h2").alias("of2"), "node", "copies")
+    texts = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("body"), *text_hashes(F.col(text)))
+    same = F.col("doc").eqNullSafe(F.col("of")) & (F.col("h1") == F.col("of1")) & (F.col("h2") == F.col("of2"))
+    carried = texts.join(of, same)
     return in_batches(carried.select("node", "copies", "body"), run, "node long, copies long, tokens binary").dropDuplicates(["node"])
 
 
@@ -469,7 +479,7 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", re
     rows whose sets are as similar as asked, copies included).
     """
     rows = written(sets_of(docs, doc_id, text), "sets")
-    members = rows.select("doc", "node")
+    members = rows.select("doc", "node", "h1", "h2")
     nodes = rows.where(F.col("node").isNotNull()).groupBy("node").agg(F.first("signature").alias("signature"))
     nodes = written(nodes, "nodes")
     partners = written(with_partners(buckets(nodes, runs_needed(recall)), nodes), "partners")
@@ -484,7 +494,7 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", re
     whole = classes.join(least.select("key.root", "class_id"), "root").select(
         F.col("node").alias("of"), "class_id", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
-    joined = members.join(whole, F.col("node") == F.col("of"), "left")
+    joined = members.select("doc", "node").join(whole, F.col("node") == F.col("of"), "left")
     own = F.when(F.col("node").isNull(), F.col("doc")).otherwise(F.col("class_id"))
     links_of = F.coalesce("n_links", F.lit(0)).cast("long")
     return joined.select(F.col("doc").alias(doc_id), own.alias("class_id"), links_of.alias("n_links"))
