@@ -173,3 +173,19 @@ def test_streamed_groups_are_dealt_and_sorted_once(spark):
     plan = ordered._jdf.queryExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[-1]
     assert final.count("Exchange hashpartitioning") == 1 and final.count("Sort [") == 1, plan
+
+
+def test_partition_functions_in_two_passes(spark):
+    """Each row less the mean of its partition; a partition is far larger than a batch, and none is held."""
+    rows = spark.range(0, 90_000, 1, 3).select("id")
+
+    def centred(frames):
+        for frame in frames:
+            yield pd.DataFrame({"id": frame["id"], "off": frame["id"] - frame["mean"], "n": frame["n"], "batch": len(frame)})
+
+    got = groups.apply_partitions_twice(
+        rows, lambda stored, part: stored.groupBy(part).agg(F.avg("id").alias("mean"), F.count("id").alias("n")), centred,
+        "id long, off double, n long, batch long",
+    )
+    summary = got.agg(F.count("id"), F.sum("off"), F.min("n"), F.max("n"), F.max("batch"), F.max(F.abs("off"))).first()
+    assert tuple(summary) == (90_000, 0.0, 30_000, 30_000, 10_000, 14999.5)

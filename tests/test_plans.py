@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from windrow.functions.jitter import jitter_keyed
-from windrow.operators import changes, history, models, shaping, summaries
+from windrow.operators import changes, history, models, sampling, shaping, summaries
 from windrow.plans import QUERIES
 from windrow.plans.models import december
 from windrow.sources.readers import local_frame
@@ -144,3 +144,20 @@ def test_hot_groups_of_a_jitter_are_split(spark, small_partitions):
     target, _ = hot_frames(spark, 600000)
     joins = final_joins(jitter_keyed(target, "k", "v", [F.col("v")], 1).agg(F.sum("jittered")))
     assert len(joins) == 2 and all("skew=true" in j for j in joins), joins
+
+
+@pytest.mark.parametrize("size", [3, 1500])
+def test_samples_per_stratum_are_cut_before_the_shuffle(spark, size):
+    rows = spark.range(0, 9000, 1, 6).select("id", F.when(F.col("id") % 3 > 0, F.lit("hot")).when(F.col("id") % 9 > 0, F.lit("rare")).alias("s"))
+    bound = "spark.sql.optimizer.windowGroupLimitThreshold"
+    before = spark.conf.get(bound)
+    try:
+        sample = sampling.sample_per_stratum(rows, "s", size, [F.col("id")], 4)
+        tree = plan(sample).split("\n\n")[0]
+        got = {r["s"]: r["n"] for r in sample.groupBy("s").agg(F.count("id").alias("n")).collect()}
+        again = sample.collect()
+    finally:
+        spark.conf.set(bound, before)
+    assert tree.count("WindowGroupLimit") == 2 and tree.rindex("WindowGroupLimit") > tree.index("Exchange")
+    assert got == {"hot": size, "rare": min(size, 2000), None: min(size, 1000)}
+    assert sorted(map(str, again)) == sorted(map(str, sampling.sample_per_stratum(rows.repartition(2), "s", size, [F.col("id")], 4).collect()))

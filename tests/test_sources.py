@@ -112,7 +112,7 @@ def test_database_is_restored_after_an_error(spark, tmp_path):
     spark.sql("DROP DATABASE err_db")
 
 
-def test_compaction_keeps_rows_and_does_not_shuffle(spark, tmp_path):
+def test_compaction_keeps_rows(spark, tmp_path):
     small, packed = str(tmp_path / "small"), str(tmp_path / "packed")
     spark.range(1000).repartition(30).write.parquet(small)
     writers.compact_files(spark, small, packed)
@@ -141,6 +141,22 @@ def test_compaction_keeps_partition_folders(spark, tmp_path):
     assert sorted(map(tuple, copy.select("id", "day").collect())) == [(i, i % 3) for i in range(100)]
 
 
+def test_compaction_packs_each_folder_into_files_of_the_size_asked(spark, tmp_path):
+    """Folders of very different size, many small files and one large one: all files near the size asked."""
+    small, packed = str(tmp_path / "small files"), str(tmp_path / "packed")
+    rows = spark.range(120_000).select(
+        "id", F.when(F.col("id") % 10 < 7, "a").when(F.col("id") % 10 < 9, "b/1 %").otherwise("c").alias("part"), F.sha2(F.col("id").cast("string"), 256).alias("text")
+    )
+    rows.where("part <> 'c'").repartition(25).write.partitionBy("part").parquet(small)
+    rows.where("part = 'c' or id % 4 = 0").coalesce(1).write.mode("append").partitionBy("part").parquet(small)
+    size = 600_000
+    copy = writers.compact_files(spark, small, packed, file_bytes=size)
+    files = [(r["file_path"].rsplit("/", 2)[1], r["size_bytes"]) for r in catalog.list_files(spark, packed).collect()]
+    assert len(files) > 8 and len({folder for folder, _ in files}) == 3
+    assert all(0.5 * size <= length <= 1.5 * size for _, length in files), files
+    assert copy.agg(F.sum("id"), F.count("text")).first() == spark.read.parquet(small).agg(F.sum("id"), F.count("text")).first()
+
+
 def test_compaction_refuses_a_target_inside_the_source(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "small"))
     with pytest.raises(ValueError):

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
+from windrow.session import scratch_dir
+
 Frame = pd.DataFrame
 
 
@@ -143,15 +145,24 @@ def apply_partitions(
     whole: bool = False,
     first: bool = False,
     by_position: bool = False,
+    batches: bool = False,
 ) -> DataFrame:
     """Call ``fn(frame)`` on the rows of each partition, batch by batch.
 
     With ``whole`` the function sees a partition at once, as its meaning may need; size the
-    partitions for that by a repartition before. With ``first`` it sees the first batch that
-    has rows, and the rest of the partition is not held.
+    partitions for that by a repartition before, or see ``apply_partitions_twice``. With ``first`` it sees
+    the first batch that has rows, and the rest of the partition is not held. With ``batches`` it is
+    called once per partition with an iterator over its frames, and yields frames.
     """
     declared = to_arrow_schema(as_schema(schema))
 
+    def stream(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in fn(to_frame(pa.Table.from_batches([part])) for part in parts if part.num_rows):
+            yield from conform(frame, declared, by_position).to_batches()
+
+    if batches:
+        return _select(df, columns).mapInArrow(stream, as_schema(schema))
+
     def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         full = (batch for batch in batches if batch.num_rows)
         if first:
@@ -166,6 +177,31 @@ def apply_partitions(
     return _select(df, columns).mapInArrow(call, as_schema(schema))
 
 
+def apply_partitions_twice(
+    df: DataFrame,
+    statistics: Callable[[DataFrame, str], DataFrame],
+    fn: Callable[[Iterator[Frame]], Iterator[Frame]],
+    schema: T.StructType | str,
+    *,
+    columns: Sequence[str] | None = None,
+    part: str = "_part",
+) -> DataFrame:
+    """A function that needs statistics of its whole partition, for partitions of any size.
+
+    The rows are stored with the number of their partition. ``statistics(rows, part)`` makes one row per
+    partition from them, by aggregations; in the second pass ``fn(frames)`` gets the rows in
+    batches, each with its partition's number and statistics as further columns. No partition is held
+    in Python, and rows keep their partition however the second pass is laid out.
+    """
+    rows = _select(df, columns)
+    folder = scratch_dir(df.sparkSession, "partitions")
+    rows.withColumn(part, F.spark_partition_id()).write.parquet(folder)
+    stored = df.sparkSession.read.schema(T.StructType([*rows.schema.fields, T.StructField(part, T.IntegerType())])).parquet(folder)
+    known = statistics(stored, part)
+    # One row per partition of the job before, as many as Spark has tasks.
+    return apply_partitions(stored.join(F.broadcast(known), part), fn, schema, batches=True)
+
+
 def reduce_groups(
     df: DataFrame,
     keys: Sequence[str],

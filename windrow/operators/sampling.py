@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from windrow.functions.numbers import key_fraction
 
@@ -40,6 +41,21 @@ def stratified_sample(df: DataFrame, stratum: str, fractions: dict[object, float
     return df.filter(reduce(lambda a, b: a | b, cases, F.lit(False)))
 
 
+def sample_per_stratum(df: DataFrame, stratum: str, size: int, key: list[Column], seed: int) -> DataFrame:
+    """``size`` rows of each stratum, or all where it has fewer, the null stratum too.
+
+    The rows with the smallest fractions of their keys: the same in every run and layout, and every row
+    is as likely as any other. Each task keeps ``size`` rows of a stratum before the shuffle, so a
+    stratum with most of the table is cut where it lies. Equal fractions go by key.
+    """
+    # Up to this size Spark cuts in each task; it is looked up when the plan is optimised.
+    bound = "spark.sql.optimizer.windowGroupLimitThreshold"
+    if size > int(df.sparkSession.conf.get(bound)):
+        df.sparkSession.conf.set(bound, str(size))
+    order = Window.partitionBy(stratum).orderBy(key_fraction(seed, *key), *key)
+    return df.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= size).drop("_rank")
+
+
 def simple_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
     """Spark's own row sample, e.g. ahead of a plot."""
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from windrow.functions.jitter import jitter_width
+from windrow.functions.jitter import jitter_width, jitter_widths
 from windrow.operators import groups
 from windrow.operators.summaries import exact_sum
 from windrow.plans.inputs import FLIGHTS_SQL, flights, load
@@ -74,13 +74,16 @@ def jitter_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Noise per partition, wide as the partition's values ask; any layout keeps the bounds."""
     delays = flights(spark, sf_dir).select("DepDelay").filter(F.col("DepDelay").isNotNull())
 
-    def jitter(rows: pd.DataFrame) -> pd.DataFrame:
-        x = rows["DepDelay"].to_numpy(float)
-        width = jitter_width(x)
-        noise = task_random().uniform(-width, width, len(x))
-        return pd.DataFrame({"DepDelay": rows["DepDelay"], "jitteredDelay": x + noise, "width": width})
+    def jitter(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        random = task_random()
+        for rows in frames:
+            x, width = rows["DepDelay"].to_numpy(float), rows["width"].to_numpy(float)
+            yield pd.DataFrame({"DepDelay": rows["DepDelay"], "jitteredDelay": x + random.uniform(-width, width), "width": width})
 
-    jittered = groups.apply_partitions(delays, jitter, "DepDelay int, jitteredDelay double, width double", whole=True)
+    # First the width of each partition, then the noise of its rows.
+    jittered = groups.apply_partitions_twice(
+        delays, lambda rows, part: jitter_widths(rows, part, "DepDelay"), jitter, "DepDelay int, jitteredDelay double, width double"
+    )
     distance = F.abs(F.col("jitteredDelay") - F.col("DepDelay"))
     return jittered.agg(
         F.count(F.lit(1)).alias("n_rows"),

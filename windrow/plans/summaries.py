@@ -224,6 +224,17 @@ def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.stratified_sample(orders, "o_orderstatus", {"F": 0.1, "O": 0.05, "P": 0.5}, [F.col("o_orderkey")], 7)
 
 
+@query(
+    "sample_per_stratum",
+    f"""SELECT o_orderkey, o_orderpriority FROM orders QUALIFY row_number() OVER (
+        PARTITION BY o_orderpriority ORDER BY {fraction_sql(11, 'o_orderkey')}, o_orderkey) <= 25""",
+)
+def sample_per_stratum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty-five orders of each priority, e.g. ahead of a plot."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    return sampling.sample_per_stratum(orders, "o_orderpriority", 25, [F.col("o_orderkey")], 11)
+
+
 @query("param_projection", "SELECT l_extendedprice AS x, l_discount AS y FROM lineitem")
 def param_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two user-chosen columns, passed as parameters of the SQL text."""
