@@ -1,8 +1,9 @@
 """Token counts (operator 8) by heap-and-linked-list byte-pair merging.
 
-The symbols of the pre-tokens form a linked list, and a heap holds the ranks that some adjacent
-pair waits for. Each pop of the lowest rank merges the pairs that still stand; the count is the
-number of bytes minus the merges. No identifier is emitted or looked up.
+The symbols of a pre-token form a linked list, and a heap holds the rank and place of every pair that
+some merge joins. The lowest is popped again and again and its pair merged if it still stands;
+the count starts at the number of bytes and falls by one with each merge. No identifier is
+emitted: what is left in the list is never looked at.
 
 - null or empty text: no bytes, no tokens;
 - a special token's text inside a document is that one token, as the library has it;
@@ -11,9 +12,9 @@ number of bytes minus the merges. No identifier is emitted or looked up.
 
 from __future__ import annotations
 
-import heapq
 import json
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import public_tokenizers
 import pyarrow as pa
@@ -21,7 +22,6 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from windrow.llm.common import in_batches, kept, load
-from windrow.llm.pair_merge import LONG, PairTable, merge_all, merge_one
 from windrow.llm.pretokens import Pieces
 from windrow.llm.registry import query
 
@@ -37,36 +37,6 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class HeapQueue:
-    """Positions by rank: a heap holds each waiting rank once. ``pop`` takes the smallest."""
-
-    def __init__(self):
-        self.heap: list[int] = []
-        self.buckets: dict[int, list[int]] = {}
-
-    def __bool__(self) -> bool:
-        return bool(self.heap)
-
-    def push_group(self, rank: int, positions: list[int]) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            bucket.extend(positions)
-            return
-        self.buckets[rank] = positions
-        heapq.heappush(self.heap, rank)
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            bucket.append(position)
-        else:
-            self.push_group(rank, [position])
-
-    def pop(self) -> tuple[int, list[int]]:
-        rank = heapq.heappop(self.heap)
-        return rank, self.buckets.pop(rank)
-
-
 class Counter:
     """Numbers of tokens of pre-tokens, by a list of merges."""
 
@@ -74,21 +44,49 @@ class Counter:
         number: dict[bytes, int] = {bytes([b]): b for b in range(256)}
         for left, right in merges:
             number.setdefault(left + right, len(number))
-        ranked = [(number[a], number[b], rank) for rank, (a, b) in reversed([*enumerate(merges)])]
-        self.table = PairTable(ranked, {rank: number[a + b] for rank, (a, b) in enumerate(merges)})
-        self.queue = HeapQueue()
+        #: What a merge leaves behind, by rank; only there to look up further pairs.
+        self.made = [number[a + b] for a, b in merges]
+        # Of equal pairs the first one counts.
+        self.rank_of = {number[a] << 32 | number[b]: rank for rank, (a, b) in reversed([*enumerate(merges)])}
+        #: Ranks of pairs of bytes, -1 where no merge joins them.
+        self.first = [self.rank_of.get(a << 32 | b, -1) for a in range(256) for b in range(256)]
+
+    def count(self, word: bytes) -> int:
+        """The bytes of a pre-token less its merges.
+
+        The heap holds a pair's rank and its place, so the lowest rank comes first and the leftmost of
+        equal ones. An entry is stale if the pair that now stands at its place has another rank.
+        """
+        first, get, made = self.first, self.rank_of.get, self.made
+        waiting = [first[a << 8 | b] for a, b in zip(word, word[1:])]
+        heap = [rank << 32 | i for i, rank in enumerate(waiting) if rank >= 0]
+        tokens = n = len(word)
+        if not heap:
+            return tokens
+        heapify(heap)
+        waiting += (-1, -1)
+        symbol = [*word, -1]
+        after, before = [*range(1, n + 2)], [*range(-1, n)]
+        while heap:
+            entry = heappop(heap)
+            rank, i = entry >> 32, entry & 0xFFFFFFFF
+            if waiting[i] != rank:
+                continue
+            tokens -= 1
+            j = after[i]
+            new, k, h = made[rank], after[j], before[i]
+            symbol[i], after[i], before[k], waiting[j] = new, k, i, -1
+            rank = waiting[i] = get(new << 32 | symbol[k], -1)
+            if rank >= 0:
+                heappush(heap, rank << 32 | i)
+            if h >= 0:
+                rank = waiting[h] = get(symbol[h] << 32 | new, -1)
+                if rank >= 0:
+                    heappush(heap, rank << 32 | h)
+        return tokens
 
     def __call__(self, words: list[bytes]) -> list[int]:
-        counts = [len(word) for word in words]
-        short = [i for i, word in enumerate(words) if 1 < len(word) <= LONG]
-        if short:
-            _, left = merge_all([words[i] for i in short], self.table, self.queue)
-            for i, count in zip(short, left.tolist()):
-                counts[i] = count
-        for i, word in enumerate(words):
-            if len(word) > LONG:
-                counts[i] = len(merge_one(word, self.table, self.queue))
-        return counts
+        return [*map(self.count, words)]
 
 
 def tokenizer(path: str, pattern: str) -> tuple[Pieces[int], regex.Pattern | None]:
