@@ -229,6 +229,27 @@ def test_forward_and_expected_counts_against_all_segmentations():
     assert into == pytest.approx(want)
 
 
+def test_long_runs_are_summed_whole(monkeypatch):
+    """Letter by letter or together, in plain products or logs: the same sums and the same expected pieces."""
+    assert piece_language.cut_words("ab" * 40 + " 東京" + "都" * 70) == ["▁" + "ab" * 40, "▁東京" + "都" * 70]
+    lattice = piece_language.Lattice(sorted(["▁", "▁a", "a", "b", "ab", "ba", "aba", "▁ab", "c", "bbbbbb"]))
+    random = np.random.default_rng(2)
+    chance = random.random((len(lattice.pieces) + 1, 3)) * [0.9, 1e-3, 1e-12]
+    pick = np.random.default_rng(4)
+    words = ["▁" + "".join(pick.choice(list("abcz"), p=[0.45, 0.45, 0.05, 0.05], size=n)) for n in (1, 31, 32, 33, 60, 64, 65, 130)]
+    logs = lattice.forward(words, chance)
+    assert logs == pytest.approx(lattice.forward_in_logs(words, chance), rel=1e-12)
+    weight, even = np.arange(1.0, len(words) + 1), np.full(len(chance), 0.1)
+    into = np.zeros(len(chance))
+    lattice.expected(words, weight, even, into)
+    monkeypatch.setattr(piece_language, "LONGEST", 1000)
+    together = np.zeros(len(chance))
+    lattice.expected(words, weight, even, together)
+    assert into == pytest.approx(together, rel=1e-9)
+    far = lattice.forward_long("▁" + "ab" * 20_000, chance)
+    assert np.isfinite(far).all() and (far < -1000).any()
+
+
 def test_sums_of_runs_of_untrained_letters_at_a_large_corpus():
     lattice = piece_language.Lattice(sorted(["▁", "▁th", "th", "t", "h", "e", "the", "▁the"]))
     chance = np.array([[0.2, 1e-6], [0.1, 1e-9], [0.05, 0.1], [0.3, 0.01], [0.02, 0.2], [1e-7, 0.1], [0.1, 0.2], [0.2, 0.1]])

@@ -9,8 +9,11 @@ one number per piece and language, however large the corpus.
 The sums run on plain products; a word whose products come near the smallest number that a
 float holds in any language (long runs of letters never learned) is summed again in logs.
 
-Words are runs of letters, lower-cased and marked at their start; runs of more than ``LONGEST``
-letters are scored in stretches of that length. Equal words of a batch are scored once.
+Words are runs of letters, lower-cased and marked at their start, each summed over whole, however long:
+scripts without blanks have runs of a paragraph. Words of up to ``LONGEST`` letters go together;
+a longer one goes letter by letter, with the states that a piece can reach back to and a scale
+per language, so its memory does not grow with it. Equal words of a batch are scored once.
+The probabilities come from one expectation step, from even ones.
 
 - null text or text without a letter: ``und``, score 0; null languages are never learned;
 - several rows with one id: one result each; equal likelihoods: the first language by name;
@@ -19,6 +22,7 @@ letters are scored in stretches of that length. Equal words of a batch are score
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -33,7 +37,7 @@ from pyspark.sql import functions as F
 from windrow.llm.common import fold_of, in_batches, kept, load
 from windrow.llm.registry import query
 
-#: Letters of a word scored together, words scored together, weight of the shared counts.
+#: Letters of words that are scored together, words scored together, weight of the shared counts.
 LONGEST, TOGETHER, SHARED = 32, 16_384, 200.0
 
 #: A sum of products this large has lost nothing that counts to underflow: what is lost is below 1e-300.
@@ -44,8 +48,15 @@ _words = re.compile(r"[^\W\d_]+").findall
 
 
 def cut_words(piece: str) -> list[str]:
-    """Marked words of a text, long ones in stretches."""
-    return [START + w[i : i + LONGEST] for w in _words(piece.lower()) for i in range(0, len(w), LONGEST)]
+    """Marked words of a text."""
+    return [START + w for w in _words(piece.lower())]
+
+
+def in_order(words: list[str]) -> tuple[np.ndarray, list[int]]:
+    """Places of the words that go together, by length, and of those that are too long for it."""
+    order = sorted(range(len(words)), key=lambda i: len(words[i]))
+    short = [i for i in order if len(words[i]) <= LONGEST + 1]
+    return np.array(short, np.int64), order[len(short) :]
 
 
 class Lattice:
@@ -64,6 +75,7 @@ class Lattice:
                     piece_at.append(-1)
                 node = child[key]
             piece_at[node] = number
+        self.child, self.depth = child, max(map(len, pieces))
         keys = np.array(sorted(child), np.int64)
         self.keys = np.append(keys, 1 << 62)
         self.children = np.array([child[k] for k in keys.tolist()] + [0], np.int32)
@@ -103,8 +115,10 @@ class Lattice:
     def forward(self, words: list[str], chance: np.ndarray) -> np.ndarray:
         """Log probability of each word under each column of ``chance`` (piece by language)."""
         logs = np.empty((len(words), chance.shape[1]))
-        order = np.array(sorted(range(len(words)), key=lambda i: len(words[i])), np.int64)
-        for first in range(0, len(words), TOGETHER):
+        order, long = in_order(words)
+        for i in long:
+            logs[i] = self.forward_long(words[i], chance)
+        for first in range(0, len(order), TOGETHER):
             rows = order[first : first + TOGETHER]
             size, width, steps = self.edges([words[i] for i in rows.tolist()])
             reach = np.zeros((width + 1, len(rows), chance.shape[1]))
@@ -129,10 +143,60 @@ class Lattice:
             reach[end, row] = np.logaddexp(reach[end, row], reach[start, row] + logs[piece])
         return reach[size, np.arange(len(words))]
 
+    def ways(self, word: str, start: int) -> Iterator[tuple[int, int]]:
+        """Ends and pieces of the steps from a place of a word."""
+        node, child, piece_at = 0, self.child, self.piece_at
+        for end in range(start, min(len(word), start + self.depth)):
+            node = child.get(node << 21 | ord(word[end]))
+            piece = -1 if node is None else int(piece_at[node])
+            if piece >= 0:
+                yield end + 1, piece
+            elif end == start:
+                yield end + 1, self.unknown
+            if node is None:
+                return
+
+    def forward_long(self, word: str, chance: np.ndarray) -> np.ndarray:
+        """The same for one word of any length, letter by letter."""
+        ring = self.depth + 1
+        reach = np.zeros((ring, chance.shape[1]))
+        reach[0], logs = 1.0, np.zeros(chance.shape[1])
+        for start in range(len(word)):
+            here = reach[start % ring].copy()
+            reach[start % ring] = 0.0
+            for end, piece in self.ways(word, start):
+                reach[end % ring] += here * chance[piece]
+            if start % 8 == 7:
+                scale = reach.max(axis=0)
+                reach /= scale
+                logs += np.log(scale)
+        return logs + np.log(reach[len(word) % ring])
+
+    def expected_long(self, word: str, weight: float, chance: np.ndarray, into: np.ndarray) -> None:
+        """Add the expected pieces of one word of any length, in logs."""
+        n, logs = len(word), np.log(chance).tolist()
+        ahead, back = [-math.inf] * (n + 1), [-math.inf] * (n + 1)
+        ahead[0] = back[n] = 0.0
+
+        def plus(a: float, b: float) -> float:
+            low, high = (a, b) if a < b else (b, a)
+            return high if low == -math.inf else high + math.log1p(math.exp(low - high))
+
+        for start in range(n):
+            for end, piece in self.ways(word, start):
+                ahead[end] = plus(ahead[end], ahead[start] + logs[piece])
+        for start in range(n - 1, -1, -1):
+            for end, piece in self.ways(word, start):
+                onward = logs[piece] + back[end]
+                into[piece] += weight * math.exp(ahead[start] + onward - ahead[n])
+                back[start] = plus(back[start], onward)
+
     def expected(self, words: list[str], weight: np.ndarray, chance: np.ndarray, into: np.ndarray) -> None:
         """Add the expected number of each piece in the words, each word ``weight`` times."""
-        order = np.array(sorted(range(len(words)), key=lambda i: len(words[i])), np.int64)
-        for first in range(0, len(words), TOGETHER):
+        order, long = in_order(words)
+        for i in long:
+            self.expected_long(words[i], float(weight[i]), chance, into)
+        for first in range(0, len(order), TOGETHER):
             rows = order[first : first + TOGETHER]
             size, width, steps = self.edges([words[i] for i in rows.tolist()])
             n = len(rows)
