@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -240,18 +241,22 @@ def pooled_estimates(counted: DataFrame, keys: list[str]) -> DataFrame:
     """
     cells = written(occupied_cells(counted, keys), "cells")
     grid = [f"cell{i}" for i in range(RATES)]
-    found = cells.select(*keys).distinct().withColumns({"centre": F.lit(None).cast("array<double>"), "whiten": F.lit(None).cast("array<double>")})
-    for size in range(len(keys), -1, -1):
+    none = F.lit(None).cast("array<double>")
+    found = cells.select(*keys).distinct().withColumns({"centre": none, "whiten": none})
+
+    def pooled(some: list[str]) -> DataFrame:
+        return cells.groupBy(*some, *grid).agg(F.sum("weight").alias("weight"), *[F.sum(c).alias(c) for c in _SUMS])
+
+    for size in range(len(keys), 0, -1):
         some = keys[:size]
-        pooled = cells.groupBy(*some, *grid).agg(F.sum("weight").alias("weight"), *[F.sum(c).alias(c) for c in _SUMS])
-        # The last one is a single row, alike for all groups.
-        level = estimates_of(pooled.withColumn("_all", F.lit(0)), [*some, "_all"])
+        level = estimates_of(pooled(some), some)
         level = level.withColumnsRenamed({**{k: f"_{k}" for k in some}, "centre": "_centre", "whiten": "_whiten"})
-        same = F.col("_one") == F.col("_all")
-        for key in some:
-            same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
-        joined = found.withColumn("_one", F.lit(0)).join(level, same, "left")
-        found = joined.select(*keys, *[F.coalesce(c, f"_{c}").alias(c) for c in ("centre", "whiten")])
+        same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in some])
+        found = found.join(level, same, "left").select(*keys, *[F.coalesce(c, f"_{c}").alias(c) for c in ("centre", "whiten")])
+    # The last estimate is one row of twenty numbers, alike for all groups.
+    last = estimates_of(pooled([]).withColumn("_all", F.lit(0)), ["_all"]).first()
+    if last:
+        found = found.withColumns({c: F.coalesce(c, F.array(*map(F.lit, last[c]))) for c in ("centre", "whiten")})
     return found.where(F.col("centre").isNotNull())
 
 
