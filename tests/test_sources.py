@@ -2,6 +2,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from task_memory import peak_mb
 from windrow import session
 from windrow.plans.inputs import FLIGHT_FIELDS
 from windrow.sources import catalog, readers, writers
@@ -157,6 +158,28 @@ def test_compaction_packs_each_folder_into_files_of_the_size_asked(spark, tmp_pa
     assert copy.agg(F.sum("id"), F.count("text")).first() == spark.read.parquet(small).agg(F.sum("id"), F.count("text")).first()
 
 
+def test_compaction_holds_no_rows_while_it_writes(tmp_path):
+    """A bin of a million rows is one task; a sort of them before the write takes more than 100 MB."""
+    code = """
+        from windrow.sources import writers
+        rows = spark.range(0, 1_000_000, 1, 8).select("id", (F.col("id") * 3).alias("v"), F.lit("a").alias("part"))
+        rows.write.partitionBy("part").parquet(folder + "/small")
+        copy = writers.compact_files(spark, folder + "/small", folder + "/packed")
+        assert copy.count() == 1_000_000 and len(spark.read.parquet(folder + "/packed").inputFiles()) == 1
+        assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    """
+    assert peak_mb(code, tmp_path) < 60
+
+
+def test_compaction_by_columns_that_are_no_folders(spark, tmp_path):
+    """A task that meets many values of a column sorts what is left of its rows."""
+    small, packed = str(tmp_path / "small"), str(tmp_path / "packed")
+    spark.range(1000).withColumn("day", (F.col("id") % 7).cast("int")).repartition(5).write.parquet(small)
+    copy = writers.compact_files(spark, small, packed, partition_by=["day"])
+    assert len(copy.inputFiles()) == 7
+    assert sorted(map(tuple, copy.select("id", "day").collect())) == [(i, i % 7) for i in range(1000)]
+
+
 def test_compaction_refuses_a_target_inside_the_source(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "small"))
     with pytest.raises(ValueError):

@@ -175,6 +175,10 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_csv(spark, path, schema=orders.schema)
 
 
+# Rows that a task deals to its small files at most, beyond the first sixteen tasks.
+SMALL_ROWS = 500_000
+
+
 @query(
     "compact_files",
     """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, CAST(o_orderdate AS VARCHAR) AS o_orderdate,
@@ -186,9 +190,11 @@ def compact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many small files in partition folders, a second batch with one more column, copied into few files."""
     small, packed = scratch_dir(spark, "small"), scratch_dir(spark, "packed")
     orders = load(spark, sf_dir, "orders")
-    orders.repartition(16).write.partitionBy("o_orderstatus").parquet(small)
+    # Dealt by key and place: to deal in turn, Spark would sort every input split first.
+    place, tasks = ["o_orderkey", F.col("_metadata.row_index")], orders.count() // SMALL_ROWS
+    orders.repartition(max(16, tasks), *place).write.partitionBy("o_orderstatus").parquet(small)
     wider = orders.withColumn("o_orderkey", -F.col("o_orderkey") - 1).withColumn("discount", F.col("o_totalprice") / 2)
-    wider.repartition(8).write.mode("append").partitionBy("o_orderstatus").parquet(small)
+    wider.repartition(max(8, tasks), *place).write.mode("append").partitionBy("o_orderstatus").parquet(small)
     rows = writers.compact_files(spark, small, packed)
     fewer = list_files(spark, packed).count() < list_files(spark, small).count()
     return rows.withColumn("o_orderdate", F.col("o_orderdate").cast("string")).withColumn("fewer_files", F.lit(fewer))

@@ -39,6 +39,23 @@ def create_table_as(spark: SparkSession, name: str, path: str, query: str, sourc
 # Files whose places are sent to every task; a longer list is joined like a table.
 LISTED = 100_000
 
+# With fewer folders than this, a task writes its rows as they come; from then on Spark sorts what is left of them.
+OPEN_FOLDERS = 2
+
+
+def _write_unsorted(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Write into partition folders without a sort of each task's rows, which would hold all of them.
+
+    For frames whose tasks have one folder each. The bound is Spark's, read when the write is planned.
+    """
+    key, conf = "spark.sql.maxConcurrentOutputFileWriters", df.sparkSession.conf
+    before = conf.get(key, None)
+    conf.set(key, str(OPEN_FOLDERS))
+    try:
+        df.write.partitionBy(*partition_by).parquet(path)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
+
 
 def _bins(files: DataFrame, file_bytes: int) -> tuple[DataFrame, int]:
     """Files with the folder's bins they go to, and the number of all bins.
@@ -70,8 +87,8 @@ def compact_files(
     """Copy a parquet folder of many small files into files of about ``file_bytes``, folder by folder.
 
     The listing's sizes are packed into bins within each partition folder, and every bin is one task
-    that writes one file: no task writes into several folders. Files larger than a bin are spread
-    over several. Rows are shuffled once. Files with other columns are merged: a column that a file
+    that writes one file: no task writes into several folders, so its rows go to the file as they come and
+    none are held. Files larger than a bin are spread over several. Rows are shuffled once. Files with other columns are merged: a column that a file
     lacks is null for its rows. Partition folders (``column=value``) stay; they are found in the file
     names, or given in ``partition_by``. Returns the copy, after a check of its rows and columns.
     """
@@ -95,7 +112,7 @@ def compact_files(
     place = F.floor((F.col("_start") + share * F.col("_size")) / F.col("_width"))
     own = F.col("_first_bin") + F.least(place, F.col("_bins") - 1)
     packed = placed.withColumn("_bin", own.cast("int")).repartitionById(bins, "_bin").select(rows.columns)
-    packed.write.partitionBy(*partition_by).parquet(target)
+    _write_unsorted(packed, target, partition_by)
     copy = spark.read.schema(rows.schema).parquet(target)
     if copy.count() != rows.count() or set(spark.read.parquet(target).columns) != set(rows.columns):
         raise RuntimeError(f"the copy in {target} has other rows or columns than {path}")
