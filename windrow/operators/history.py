@@ -4,7 +4,8 @@ A row of the change table says what happened to one row of the table: ``version`
 ``committed_at`` of the commit, ``operation`` (insert, update or delete), the row's key, and
 the row as it is from then on; a delete needs its key only. A commit changes a row once at most.
 Adding to the table's history is appending to the change table, in whatever format holds it.
-Any state is one aggregation by key, in partial steps, so a row changed very often is no hot key.
+Any state is one aggregation by key, in partial steps, so a row changed very often is no hot key; the
+changes are first dealt by key into tasks of like size, since the steps sort what their task has.
 Where changes of a key are set beside one another, they meet in spans of versions: a key has at most
 ``SPAN`` changes in one task.
 """
@@ -40,10 +41,21 @@ def check_changes(changes: DataFrame, keys: Sequence[str]) -> None:
         raise SchemaMismatch(f"a change table needs the columns {lacking}")
 
 
+def _by_key(changes: DataFrame, keys: Sequence[str], *values: Column) -> DataFrame:
+    """One row per key with aggregates that Spark sorts rows for, such as the last row.
+
+    Straight after a scan, such a sort holds a whole input split, unpacked. So the changes are dealt by
+    a hash of the key before the partial step: Spark joins small parts and splits large ones, also those
+    of one key, and the last step puts a split key together again.
+    """
+    dealt = changes.withColumn("_dealt", F.hash(*keys)).hint("rebalance", F.col("_dealt"))
+    return dealt.groupBy(*keys).agg(*values)
+
+
 def _latest(changes: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     payload = [c for c in changes.columns if c not in (*META, *keys)]
     last = F.max_by(F.struct("operation", *payload), order).alias("_last")
-    live = changes.groupBy(*keys).agg(last).where(F.col("_last.operation") != "delete")
+    live = _by_key(changes, keys, last).where(F.col("_last.operation") != "delete")
     return live.select(*keys, *[F.col(f"_last.`{c}`").alias(c) for c in payload])
 
 
@@ -116,7 +128,7 @@ def changes_between(changes: DataFrame, keys: Sequence[str], after: int, upto: i
     columns = ["version", "operation", *keys, *payload]
     now = F.struct("operation", *[F.col(f"`{c}`") for c in payload])
     # One row per key for all that was before, in partial steps.
-    start = changes.where(F.col("version") <= after).groupBy(*keys).agg(F.max_by(now, "version").alias("_now"))
+    start = _by_key(changes.where(F.col("version") <= after), keys, F.max_by(now, "version").alias("_now"))
     start = start.select(F.lit(after).cast("long").alias("version"), "_now.operation", *keys, *[F.col(f"_now.`{c}`") for c in payload])
     later = changes.where((F.col("version") > after) & (F.col("version") <= upto)).select(columns)
     steps = neighbour(start.unionByName(later), keys, now, "_before", bounds=(after, upto)).where(F.col("version") > after)
@@ -142,7 +154,7 @@ def net_changes(changes: DataFrame, keys: Sequence[str], a: int, b: int) -> Data
         known = F.col("version") <= version
         return F.max_by(F.when(known, now), F.when(known, F.col("version")))
 
-    ends = changes.where(F.col("version") <= max(a, b)).groupBy(*keys).agg(last(a).alias("_a"), last(b).alias("_b"))
+    ends = _by_key(changes.where(F.col("version") <= max(a, b)), keys, last(a).alias("_a"), last(b).alias("_b"))
     held, holds = (F.coalesce(F.col(f"{c}.operation") != "delete", F.lit(False)) for c in ("_a", "_b"))
     old, new = _row(payload, "_a."), _row(payload, "_b.")
     told = ends.where(~(held & holds & old.eqNullSafe(new))).select(*keys, F.explode(_transition(held, old, holds, new)).alias("_said"))
