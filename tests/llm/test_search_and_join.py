@@ -3,9 +3,12 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
+from urllib.parse import unquote, urlparse
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from conftest_llm import WORDS, hostile_rows, prose
 
@@ -104,6 +107,69 @@ def test_proximity(spark):
     assert got == want and want
 
 
+def test_row_groups_of_the_index_are_bounded(spark, monkeypatch):
+    """Spark decodes up to a whole row group at once for each task that reads."""
+    monkeypatch.setattr(positional_index, "SEGMENT_WORDS", 500)
+    monkeypatch.setattr(positional_index, "ROW_GROUP_BYTES", 10_000, raising=False)
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(200))) for i in range(60)]
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(key)
+    index = positional_index.build_index(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    assert spark.conf.get(key) == before
+    groups = []
+    for file in index.inputFiles():
+        meta = pq.ParquetFile(unquote(urlparse(file).path)).metadata
+        groups += [meta.row_group(g) for g in range(meta.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == index.count() == 30
+    assert max(g.total_byte_size for g in groups) < 30_000
+    items = spark.createDataFrame([(1, "w3x5 w3x6"), (2, "w59x198 w59x199 w60x0")], "item_id long, text string")
+    found = positional_index.contamination(positional_index.search_index(index, items)).where("n_hit > 0").collect()
+    assert [(r.doc_id, r.n_hit, list(r["items"])) for r in found] == [(3, 2, ["1"])]
+
+
+def test_a_segment_holds_no_end_of_texts_without_words(spark, monkeypatch):
+    monkeypatch.setattr(positional_index, "SEGMENT_WORDS", 50)
+    rows = [(i if i % 3 else None, [None, "", "..."][i % 3]) for i in range(400)] + [(400, "quiet jackals")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    index = positional_index.build_index(docs)
+    assert max(len(r.docs) for r in index.collect()) <= 50
+    items = spark.createDataFrame([(1, "quiet jackals")], "item_id long, text string")
+    found = positional_index.contamination(positional_index.search_index(index, items)).collect()
+    got = sorted((r.doc_id or -1, r.n_words, r.n_hit) for r in found)
+    assert got == sorted((k or -1, 2 * (k == 400), 2 * (k == 400)) for k, _ in rows)
+
+
+@pytest.mark.parametrize("window", [1, 2, 3, 13, None])
+def test_phrases_are_kept_as_places(window):
+    items = [(str(i), prose(i % 7, 5 + i)) for i in range(40)] + [("none", None), ("none", "..."), ("one", "fox")]
+    tests = positional_index.Tests(items, window)
+    said = [word.decode() for word in tests.words.to_pylist()]
+    got = {}
+    for size, places, holders, begins in tests.sizes:
+        for i, place in enumerate(places.tolist()):
+            phrase = tuple(said[n] for n in tests.ids[place : place + size].tolist())
+            assert phrase not in got
+            got[phrase] = holders[begins[i] : begins[i + 1]].tolist()
+    want = defaultdict(list)
+    for i, (_, text) in enumerate(items):
+        asked = words(text)
+        size = min(window or len(asked), len(asked))
+        for phrase in {tuple(asked[j : j + size]) for j in range(len(asked) - size + 1)} if asked else ():
+            want[phrase].append(i)
+    assert got == want
+
+
+def test_phrases_take_bounded_memory():
+    """A block of tests is held by every worker: some tens of bytes per word, not the words of every window."""
+    rng = random.Random(0)
+    items = [(str(i), " ".join(f"w{rng.randrange(5000)}" for _ in range(400))) for i in range(150)]
+    tracemalloc.start()
+    tests = positional_index.Tests(items, 13)
+    kept, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert tests.sizes and kept < 60 * 60_000 and peak < 200 * 60_000
+
+
 def test_index_of_nothing(spark, nothing):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert positional_index.search_index(positional_index.build_index(nothing), items).count() == 0

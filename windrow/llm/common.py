@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import TypeVar
 
 import pyarrow as pa
@@ -66,13 +67,33 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, size: int) -> Iterato
             yield batch.slice(start)
 
 
-def written(rows: DataFrame, label: str) -> DataFrame:
-    """Write rows to the shared folder and read them back: lineage ends here, work is done once."""
+def written(rows: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write rows to the shared folder and read them back: lineage ends here, work is done once.
+
+    ``options`` are those of the Parquet writer.
+    """
     folder = scratch_dir(rows.sparkSession, label)
-    rows.write.parquet(folder)
+    rows.write.options(**options).parquet(folder)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
+@contextmanager
+def short_reads(spark: SparkSession, size: int) -> Iterator[None]:
+    """Within, Spark's Parquet reader decodes ``size`` rows at once, unless the session has its own number.
+
+    The bound is read when a plan runs, so it holds for actions taken within.
+    """
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    if spark.conf.get(key, None) not in (None, "4096"):
+        yield
+        return
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
+
+
 def fold_of(key: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % folds

@@ -40,6 +40,12 @@ def unpack(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
+def pack_list(words: list[bytes]) -> tuple[bytes, bytes]:
+    """Words as one compressed text and their lengths."""
+    lengths = np.fromiter(map(len, words), np.int32, len(words))
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(words)), pack(lengths)
+
+
 def pack_words(words: pa.Array) -> tuple[bytes, bytes]:
     """Binary values as one compressed text and their lengths."""
     lengths = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int32)

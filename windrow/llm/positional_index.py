@@ -9,6 +9,10 @@ same way on the ranges of window starts from which a term is in reach. A segment
 another one, so nothing is shuffled and no term is hot. Tests are sent in blocks of bounded
 size, each searched against the whole index.
 
+What a segment holds is packed into a few binary values, and the stored table is cut into small row
+groups, as Spark decodes up to a whole one at once for each task that reads. Texts are read a few
+hundred at a time. Phrases of tests are kept as places in the words of their items, never written out.
+
 - null or empty text: no words, never hit; a null id: a row of its own;
 - an item without words: no phrase; items with one text or one id: each counts, equal ids once;
 - items with a null id are searched like others and cover words; those that hit count as one item
@@ -28,19 +32,22 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm.common import in_batches, load, written
+from windrow.llm.common import in_batches, load, short_reads, written
+from windrow.llm.packing import firsts, pack, pack_list, unpack, unpack_words
 from windrow.llm.registry import query
 
-#: Words of a segment, unless one document has more; test text sent to the tasks at once.
+#: Words and documents of a segment, unless one document has more; test text sent to the tasks at once.
 SEGMENT_WORDS, BLOCK_BYTES = 500_000, 8 << 20
 
+#: Bytes of a row group of the stored index, unless one segment has more; texts read at once.
+ROW_GROUP_BYTES, READ_ROWS = 4 << 20, 512
+
 # Words are runs of letters, digits and all characters beyond ASCII.
 _KEPT = set(b"0123456789abcdefghijklmnopqrstuvwxyz") | set(range(128, 256))
 _FOLD = bytes((b + 32 if 65 <= b <= 90 else b) if (b in _KEPT or 65 <= b <= 90) else 32 for b in range(256))
 
-INDEX = (
-    "docs array<long>, sizes array<int>, terms array<binary>, counts array<int>, steps array<int>"
-)
+PACKED = "sizes words lengths counts steps".split()
+INDEX = "docs array<long>, " + ", ".join(f"{c} binary" for c in PACKED)
 MATCHES = "array<struct<item:string,first:int,last:int>>"
 
 
@@ -55,11 +62,11 @@ def _segment_row(docs: list, sizes: list[int], ids: list[int], terms: dict[bytes
     at = np.argsort(of, kind="stable").astype(np.int32)
     counts = np.bincount(of, minlength=len(terms)).astype(np.int32)
     steps = np.diff(at, prepend=np.int32(0))
-    firsts = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)[counts > 0]
-    steps[firsts] = at[firsts]
-    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int32())
-    columns = [pa.array([c], pa.list_(k)) for c, k in zip((docs, sizes, list(terms), counts, steps), kinds)]
-    return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in INDEX.split(", ")])
+    begins = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)[counts > 0]
+    steps[begins] = at[begins]
+    packed = [pack(np.array(sizes, np.int32)), *pack_list(list(terms)), pack(counts), pack(steps)]
+    columns = [pa.array([docs], pa.list_(pa.int64())), *(pa.array([c], pa.binary()) for c in packed)]
+    return pa.RecordBatch.from_arrays(columns, ["docs", *PACKED])
 
 
 def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -71,7 +78,7 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             for key, value in zip(batch.column(0).to_pylist(), batch.column(1)):
                 words = words_of(value.as_py())
                 rows, sizes, ids, terms = held
-                if ids and len(ids) + len(words) > SEGMENT_WORDS:
+                if rows and len(ids) + len(rows) + len(words) >= SEGMENT_WORDS:
                     yield _segment_row(*held)
                     rows, sizes, ids, terms = held = ([], [], [], {})
                 rows.append(key)
@@ -82,19 +89,29 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         if held[0]:
             yield _segment_row(*held)
 
-    return written(in_batches(docs.select(F.col(doc_id).cast("long"), text), run, INDEX), "positions")
+    rows = in_batches(docs.select(F.col(doc_id).cast("long"), text), run, INDEX)
+    # The values are compressed, and sizes are looked at from a group's first row on.
+    options = {
+        "compression": "none",
+        "parquet.enable.dictionary": "false",
+        "parquet.block.size": str(ROW_GROUP_BYTES),
+        "parquet.page.size.row.check.min": "1",
+        "parquet.page.size.row.check.max": "1",
+    }
+    with short_reads(docs.sparkSession, READ_ROWS):
+        return written(rows, "positions", **options)
 
 
 class Segment:
     """One row of the index, its lists ready to be intersected."""
 
     def __init__(self, row: dict[str, pa.Scalar]):
+        sizes, words, lengths, counts, steps = (row[name].as_py() for name in PACKED)
         self.docs = row["docs"].values
-        self.starts = np.concatenate([[0], np.cumsum(np.asarray(row["sizes"].values, dtype=np.int64))])
-        self.terms = row["terms"].values
-        counts = np.asarray(row["counts"].values, dtype=np.int64)
-        self.ends = np.concatenate([[0], np.cumsum(counts)])
-        self.steps = np.asarray(row["steps"].values)
+        self.starts = np.concatenate([[0], np.cumsum(unpack(sizes, np.int32), dtype=np.int64)])
+        self.terms = unpack_words(words, lengths)
+        self.ends = np.concatenate([[0], np.cumsum(unpack(counts, np.int32), dtype=np.int64)])
+        self.steps = unpack(steps, np.int32)
 
     def number(self, words: pa.Array) -> np.ndarray:
         """Term numbers of words, -1 where the segment lacks one."""
@@ -154,21 +171,38 @@ class Segment:
 
 
 class Tests:
-    """The phrases of a block of test items: windows of consecutive words."""
+    """The phrases of a block of test items: windows of consecutive words.
+
+    The words of all items stand one after the other as numbers; a phrase is the place of its
+    first occurrence there.
+    """
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int | None):
+    def __init__(self, items: list[tuple[str, str | None]], window: int | None):
         self.items = [item for item, _ in items]
-        words = {w: None for _, some in items for w in some}
-        number = {w: i for i, w in enumerate(words)}
-        self.words = pa.array(list(words), pa.binary())
-        by_size: dict[int, dict[tuple[int, ...], set[int]]] = {}
-        for i, (_, some) in enumerate(items):
-            ids = [number[w] for w in some]
-            size = len(ids) if window is None else min(window, len(ids))
-            for start in range(len(ids) - size + 1 if ids else 0):
-                by_size.setdefault(size, {}).setdefault(tuple(ids[start : start + size]), set()).add(i)
-        # One row per distinct phrase of a size, and the items that hold it.
-        self.sizes = [(np.array(list(found)), list(found.values())) for found in by_size.values()]
+        number: dict[bytes, int] = {}
+        parts = [np.array([number.setdefault(w, len(number)) for w in words_of(text)], np.int32) for _, text in items]
+        self.words = pa.array(list(number), pa.binary())
+        self.ids = np.concatenate([np.zeros(0, np.int32), *parts])
+        lengths = np.array([len(part) for part in parts], np.int64)
+        sizes = lengths if window is None else np.minimum(lengths, window)
+        begins = np.cumsum(lengths) - lengths
+        # Runs of one, two, four ... words are numbered by twos of the runs before.
+        run, of_run = 1, self.ids.astype(np.int64)
+        #: By size: places of the distinct phrases, the items of each one, where these begin.
+        self.sizes: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+        for size in np.unique(sizes[sizes > 0]).tolist():
+            while 2 * run <= size:
+                code = of_run[:-run] * len(self.ids) + of_run[run:]
+                of_run, run = np.unique(code, return_inverse=True)[1], 2 * run
+            asked = np.flatnonzero(sizes == size)
+            held = lengths[asked] - size + 1
+            item = np.repeat(asked, held)
+            place = np.repeat(begins[asked] - (np.cumsum(held) - held), held) + np.arange(held.sum())
+            code = of_run[place] * len(self.ids) + of_run[place + size - run]
+            phrase = np.unique(code, return_index=True, return_inverse=True)[1:]
+            pairs = np.unique(phrase[1] * len(items) + item)
+            holder, item = np.divmod(pairs, len(items))
+            self.sizes.append((size, place[phrase[0]], item, np.append(firsts(holder), len(item))))
 
 
 def _search(segment: Segment, tests: Tests, span: int | None) -> list[list[dict] | None]:
@@ -176,13 +210,15 @@ def _search(segment: Segment, tests: Tests, span: int | None) -> list[list[dict]
     terms = segment.number(tests.words)
     lists: dict[int, np.ndarray] = {}
     hits: dict[int, list[tuple[np.ndarray, int]]] = {}
-    for phrases, items in tests.sizes:
-        numbers = terms[phrases]
-        for i in np.flatnonzero((numbers >= 0).all(axis=1)).tolist():
-            found = segment.phrase(numbers[i], lists) if span is None else segment.near(numbers[i], span)
+    ids = terms[tests.ids]
+    lacks = np.concatenate([[0], np.cumsum(ids < 0)])
+    for size, places, items, begins in tests.sizes:
+        for i in np.flatnonzero(lacks[places] == lacks[places + size]).tolist():
+            asked = ids[places[i] : places[i] + size]
+            found = segment.phrase(asked, lists) if span is None else segment.near(asked, span)
             if len(found):
-                for item in items[i]:
-                    hits.setdefault(item, []).append((found, phrases.shape[1] if span is None else span))
+                for item in items[begins[i] : begins[i + 1]].tolist():
+                    hits.setdefault(item, []).append((found, size if span is None else span))
     matches: list[list[dict] | None] = [None] * len(segment.docs)
     for item, some in hits.items():
         first = np.concatenate([f for f, _ in some])
@@ -202,14 +238,14 @@ def _search(segment: Segment, tests: Tests, span: int | None) -> list[list[dict]
     return matches
 
 
-def _blocks(items: DataFrame) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """Items as (id, words), in blocks of about ``BLOCK_BYTES`` of text."""
+def _blocks(items: DataFrame) -> Iterator[list[tuple[str, str | None]]]:
+    """Items as (id, text), in blocks of about ``BLOCK_BYTES`` of text."""
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = math.ceil(size / BLOCK_BYTES) or 1
     block = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
     for k in range(blocks):
         rows = items.where(block == k).collect()
-        yield [(row.item, words_of(row.text)) for row in rows]
+        yield [(row.item, row.text) for row in rows]
 
 
 def search_index(
